@@ -69,37 +69,41 @@ def payments(raw: DataFrame) -> DataFrame:
     return raw.select("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value")
 
 
+def parsed_reviews(raw: DataFrame) -> DataFrame:
+    return raw.select("review_id", "order_id", "review_score", "review_comment_title",
+                      F.col("review_comment_message").alias("review_comment"),
+                      lenient_timestamp(F.col("review_creation_date")).alias("review_creation_ts"),
+                      lenient_timestamp(F.col("review_answer_timestamp")).alias("review_answer_ts"))
+
+
 def newest_reviews(parsed: DataFrame) -> DataFrame:
     """One row per ``review_id``: the newest answer, where a missing answer time counts as newest.
 
     An aggregation, so copies of one review are reduced before the shuffle. Ties fall to the larger remaining columns.
     """
     order = [F.col("review_answer_ts").isNull().alias("_open"), F.col("review_answer_ts"),
-             F.col("review_creation_date"), F.col("order_id"), F.col("review_score"),
+             F.col("review_creation_ts"), F.col("order_id"), F.col("review_score"),
              F.col("review_comment_title"), F.col("review_comment")]
     newest = parsed.groupBy("review_id").agg(F.max(F.struct(*order)).alias("r"))
     return newest.select("review_id", "r.order_id", "r.review_score", "r.review_comment_title", "r.review_comment",
-                         "r.review_creation_date", "r.review_answer_ts")
+                         "r.review_creation_ts", "r.review_answer_ts")
 
 
-def reviews(raw: DataFrame) -> DataFrame:
-    return newest_reviews(raw.select(
-        "review_id", "order_id", "review_score", "review_comment_title",
-        F.col("review_comment_message").alias("review_comment"),
-        lenient_timestamp(F.col("review_creation_date")).cast("date").alias("review_creation_date"),
-        lenient_timestamp(F.col("review_answer_timestamp")).alias("review_answer_ts")))
+def review_dimension(newest: DataFrame) -> DataFrame:
+    return newest.select("review_id", "order_id", "review_score", "review_comment_title", "review_comment",
+                         F.col("review_creation_ts").cast("date").alias("review_creation_date"), "review_answer_ts")
 
 
-def first_review_scores(dim_reviews: DataFrame) -> DataFrame:
+def first_review_scores(newest: DataFrame) -> DataFrame:
     """Score of the earliest review of every order; undated reviews come last, ties fall to answer time, then id."""
-    order = F.struct(F.col("review_creation_date").isNull().alias("_undated"), F.col("review_creation_date"),
+    order = F.struct(F.col("review_creation_ts").isNull().alias("_undated"), F.col("review_creation_ts"),
                      F.col("review_answer_ts").isNull().alias("_open"), F.col("review_answer_ts"),
                      F.col("review_id"), F.col("review_score"))
-    return (dim_reviews.groupBy("order_id").agg(F.min(order).alias("r"))
+    return (newest.groupBy("order_id").agg(F.min(order).alias("r"))
             .select("order_id", F.col("r.review_score").alias("review_score")))
 
 
-def enriched_orders(raw: DataFrame, dim_reviews: DataFrame) -> DataFrame:
+def enriched_orders(raw: DataFrame, newest: DataFrame) -> DataFrame:
     """Orders with readable timestamps, delivery arithmetic and the first review's score.
 
     Delivery is judged by the delivery time, not by the status. Undelivered orders have no ``is_on_time``; a delivered
@@ -120,7 +124,7 @@ def enriched_orders(raw: DataFrame, dim_reviews: DataFrame) -> DataFrame:
             .withColumn("delivery_days", days_between(bought, arrived))
             .withColumn("is_delivered", arrived.isNotNull())
             .withColumn("is_on_time", F.when(arrived.isNotNull(), F.coalesce(arrived <= promised, F.lit(False))))
-            .join(first_review_scores(dim_reviews), "order_id", "left"))
+            .join(first_review_scores(newest), "order_id", "left"))
 
 
 def fact_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -136,10 +140,10 @@ def build_star(spark: SparkSession, raw: dict[str, DataFrame], first_day: str =
                last_day: str = "2020-12-31"):
     """The whole star from the raw frames, as lazy plans."""
     from orderlens.sources.star import Star
-    dim_reviews = reviews(raw["order_reviews"])
-    orders = enriched_orders(raw["orders"], dim_reviews)
+    newest = newest_reviews(parsed_reviews(raw["order_reviews"]))
+    orders = enriched_orders(raw["orders"], newest)
     return Star(dim_customers=customers(raw["customers"]),
                 dim_products=products(raw["products"], raw["category_translation"]),
-                dim_sellers=sellers(raw["sellers"]), dim_reviews=dim_reviews,
+                dim_sellers=sellers(raw["sellers"]), dim_reviews=review_dimension(newest),
                 dim_payments=payments(raw["order_payments"]), dim_date=calendar(spark, first_day, last_day),
                 fact_orders=fact_orders(raw["order_items"], orders))

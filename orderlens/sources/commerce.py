@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.operators.star import calendar, newest_reviews
+from orderlens.operators.star import calendar, newest_reviews, review_dimension
 from orderlens.schemas import MONEY
 from orderlens.sources.star import Star
 
@@ -134,11 +134,11 @@ def _review_rows(orders: DataFrame) -> DataFrame:
 
 
 def _reviews(orders: DataFrame) -> DataFrame:
-    raw = _review_rows(orders).select(
+    parsed = _review_rows(orders).select(
         "review_id", "order_id", "review_score", F.lit(None).cast("string").alias("review_comment_title"),
-        F.lit(None).cast("string").alias("review_comment"), F.to_date("created").alias("review_creation_date"),
+        F.lit(None).cast("string").alias("review_comment"), F.col("created").alias("review_creation_ts"),
         F.col("answered").alias("review_answer_ts"))
-    return newest_reviews(raw)
+    return review_dimension(newest_reviews(parsed))
 
 
 def raw_frames(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
