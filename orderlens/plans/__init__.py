@@ -4,7 +4,7 @@ import importlib
 
 from orderlens.plans.registry import QUERIES, Query
 
-_MODULES = ["kpi", "exploration", "reporting", "quality"]
+_MODULES = ["kpi", "exploration", "reporting", "quality", "texts"]
 
 
 def all_queries() -> dict[str, Query]:
