@@ -3,9 +3,10 @@
 from orderlens.operators import kpis, service
 from orderlens.plans.registry import star_query
 
-star_query("kpi_revenue_by_month", kpis.revenue_by_month, """
+REVENUE_BY_MONTH = """
 SELECT year_month, count(*) AS orders, round(sum(order_revenue), 2)::double AS revenue_brl
-FROM bought JOIN money USING (order_id) GROUP BY ALL""")
+FROM bought JOIN money USING (order_id) GROUP BY ALL"""
+star_query("kpi_revenue_by_month", kpis.revenue_by_month, REVENUE_BY_MONTH)
 
 star_query("kpi_revenue_by_state", kpis.revenue_by_state, """
 , s AS (SELECT customer_state, count(*) AS orders, sum(order_revenue) AS r

@@ -175,8 +175,8 @@ query("etl_customers", _raw("customers", lambda raw: build.customers(raw).drop("
 query("etl_sellers", _raw("sellers", lambda raw: build.sellers(raw).select("seller_id", "seller_state")),
       STAR_SQL + "SELECT * FROM sell")
 query("etl_products", _built("dim_products"), """
-SELECT p_partkey AS product_id, if(starts_with(p_name, 'tiny '), 'unknown', p_name) AS product_category_pt,
-       if(starts_with(p_name, 'tiny ') OR starts_with(p_name, 'old '), 'unknown', upper(p_name))
+SELECT p_partkey AS product_id, if(starts_with(p_name, 'new '), 'unknown', p_name) AS product_category_pt,
+       if(starts_with(p_name, 'new ') OR starts_with(p_name, 'old '), 'unknown', upper(p_name))
          AS product_category_en,
        length(p_name)::int AS name_length, length(p_type)::int AS description_length, p_size % 5 AS photos_qty,
        if(p_partkey % 50 = 0, NULL, p_size * 100.0::double) AS product_weight_g, p_size::double AS length_cm,

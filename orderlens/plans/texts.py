@@ -9,10 +9,12 @@ from orderlens.sources import commerce, texts
 
 # ---------------------------------------------------------------- documents
 
-MARKDOWN = r"""
+DERIVED = r"""
 md AS (SELECT doc_id, concat(if(lang = 'en', concat('# ', source, chr(10), chr(10)), ''),
                              replace(regexp_replace(text, '(?m)^(.{1,60})$', '## \1', 'g'), chr(10), chr(10) || chr(10)))
               AS text FROM documents),
+"""
+PARSED = r"""
 lines AS (SELECT doc_id, line, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS pos
           FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                        generate_subscripts(string_split(text, chr(10)), 1) AS i FROM md)),
@@ -22,6 +24,8 @@ titles AS (SELECT doc_id, coalesce((SELECT trim(substr(l.line, 3)) FROM lines l
 heads AS (SELECT doc_id, pos, trim(substr(line, 4)) AS section FROM lines WHERE starts_with(line, '## '))
 """
 
+MARKDOWN = DERIVED + PARSED
+
 query("corpus_titles", lambda spark, folder: texts.markdown(spark, folder).select(
     "doc_id", corpus.document_title(F.col("text"), F.col("doc_id").cast("string")).alias("title")),
     "WITH" + MARKDOWN + "SELECT * FROM titles")
@@ -35,7 +39,7 @@ SELECT doc_id, (SELECT count(*) FROM heads h WHERE h.doc_id = md.doc_id) AS head
        coalesce((SELECT section FROM heads h WHERE h.doc_id = md.doc_id AND h.pos <= length(md.text) // 2
                  ORDER BY pos DESC LIMIT 1), '') AS middle_section FROM md""")
 
-CHUNKS = "WITH RECURSIVE" + MARKDOWN + r"""
+CHUNKING = PARSED + r"""
 , para AS (SELECT doc_id, list_transform(regexp_split_to_array(text, '\n\s*\n'),
                                          lambda p: regexp_replace(p, '^\s+|\s+$', '', 'g')) AS ps FROM md),
 pack AS (
@@ -73,11 +77,15 @@ named AS (SELECT doc_id, chunk_no::int AS chunk_no, title, section,
                  if(section = '', title, concat(title, ' › ', section)) AS label, content FROM chunk),
 corpus AS (SELECT row_number() OVER (ORDER BY doc_id, chunk_no) - 1 AS chunk_id, * FROM named)
 """
+CHUNKS = "WITH RECURSIVE" + DERIVED + CHUNKING
 query("corpus_chunks", lambda spark, folder: corpus.chunk_documents(texts.markdown(spark, folder), "doc_id"),
       CHUNKS + "SELECT * FROM named")
 query("corpus_chunks_plain", lambda spark, folder: corpus.chunk_documents(
     commerce.table(spark, folder, "documents"), "doc_id").groupBy("doc_id").agg(
-    F.count("*").alias("chunks"), F.sum(F.length("content")).alias("chars"), F.max(F.length("content")).alias("longest")))
+    F.count("*").alias("chunks"), F.sum(F.length("content")).alias("chars"), F.max(F.length("content")).alias("longest")),
+    "WITH RECURSIVE md AS (SELECT doc_id, text FROM documents)," + CHUNKING + """
+SELECT doc_id, count(*) AS chunks, sum(length(content))::bigint AS chars, max(length(content))::int AS longest
+FROM named GROUP BY doc_id""")
 query("corpus_build", lambda spark, folder: corpus.build_corpus(texts.markdown(spark, folder), "doc_id"),
       CHUNKS + "SELECT * FROM corpus")
 

@@ -164,7 +164,7 @@ def raw_frames(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
                 F.col("s_name").alias("seller_city"), padded.alias("seller_state")),
         "products": of("part").select(
             F.col("p_partkey").alias("product_id"),
-            F.when(~F.col("p_name").like("tiny %"), F.col("p_name")).alias("product_category_name"),
+            F.when(~F.col("p_name").like("new %"), F.col("p_name")).alias("product_category_name"),
             F.length("p_name").alias("product_name_lenght"), F.length("p_type").alias("product_description_lenght"),
             (F.col("p_size") % 5).alias("product_photos_qty"),
             F.when(F.col("p_partkey") % 50 != 0, (F.col("p_size") * 100).cast("double")).alias("product_weight_g"),
