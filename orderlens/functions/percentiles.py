@@ -6,17 +6,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, value, n): how often each value occurs in each group, NULLs left out."""
+    return (df.select(*keys, F.col(value).cast("double").alias("value")).filter(F.col("value").isNotNull())
+            .groupBy(*keys, "value").agg(F.count("*").alias("n")))
+
+
 def exact_percentile(df: DataFrame, keys: list[str], value: str, fraction: float, bucket_width: float = 1.0,
                      name: str = "percentile") -> DataFrame:
-    """Interpolated percentile (SQL ``percentile_cont``) of ``value`` for each group, NULLs ignored.
+    """Interpolated percentile (SQL ``percentile_cont``) of ``value`` for each group, NULLs ignored."""
+    return percentile_of_counts(value_counts(df, keys, value), keys, fraction, bucket_width, name)
+
+
+def percentile_of_counts(counted: DataFrame, keys: list[str], fraction: float, bucket_width: float = 1.0,
+                         name: str = "percentile") -> DataFrame:
+    """The same from (keys, value, n) with distinct values.
 
-    A group may hold any share of the rows: values are first counted (map-side combine), then placed in buckets of
+    A group may hold any share of the rows: values are counted first (map-side combine) and placed in buckets of
     ``bucket_width``. Running counts over the buckets tell which one or two buckets hold the wanted ranks, and only
     the distinct values of those buckets are put in order. Choose the width so that one bucket has few distinct values.
     """
-    bucket = F.floor(F.col("_value") / F.lit(bucket_width))
-    counts = (df.select(*keys, F.col(value).cast("double").alias("_value")).filter(F.col("_value").isNotNull())
-              .groupBy(*keys, "_value").agg(F.count("*").alias("_n")).withColumn("_bucket", bucket))
+    counts = counted.select(*keys, F.col("value").alias("_value"), F.col("n").alias("_n"),
+                            F.floor(F.col("value") / F.lit(bucket_width)).alias("_bucket"))
 
     by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
     position = F.lit(float(fraction)) * (F.col("_total") - 1)
@@ -29,7 +40,9 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, fraction: float
                        (F.col("_upto") - F.col("_n")).alias("_before"), "_low", "_high",
                        (position - F.col("_low")).alias("_weight")))
 
-    on = F.col("_bucket") == F.col("_wanted")
+    # Null-safe throughout: a plain equality would push a null check into one side only, and the two reads of the counts
+    # would no longer be the same plan, which is computed once.
+    on = F.col("_bucket").eqNullSafe(F.col("_wanted"))
     for key in keys:
         on = on & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
     inside = Window.partitionBy(*keys, "_bucket").orderBy("_value")

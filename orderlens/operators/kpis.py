@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions.measures import count_where, item_revenue, late, mean, money, percent, share
-from orderlens.functions.percentiles import exact_percentile
+from orderlens.functions.percentiles import percentile_of_counts, value_counts
 from orderlens.operators.grain import order_grain, order_money, person_orders
 from orderlens.sources.star import Star
 
@@ -90,10 +90,11 @@ def on_time_rate(star: Star) -> DataFrame:
 def delivery_days_by_month(star: Star) -> DataFrame:
     """Mean and exact median days; both come from one count of orders per month and duration."""
     delivered = order_grain(star.fact_orders.filter("delivery_days IS NOT NULL"), "purchase_date_key", "delivery_days")
-    by_month = with_month(delivered, star.dim_date).select("year_month", "delivery_days")
-    averages = by_month.groupBy("year_month").agg(F.count("*").alias("delivered_orders"),
-                                                  F.round(F.avg("delivery_days"), 1).alias("avg_delivery_days"))
-    medians = exact_percentile(by_month, ["year_month"], "delivery_days", 0.5, name="m")
+    counts = value_counts(with_month(delivered, star.dim_date), ["year_month"], "delivery_days")
+    averages = counts.groupBy("year_month").agg(
+        F.sum("n").alias("delivered_orders"),
+        F.round(F.sum(F.col("value") * F.col("n")) / F.sum("n"), 1).alias("avg_delivery_days"))
+    medians = percentile_of_counts(counts, ["year_month"], 0.5, name="m")
     return (averages.join(medians, "year_month")
             .select("year_month", "delivered_orders", "avg_delivery_days",
                     F.round("m", 1).alias("median_delivery_days"))

@@ -65,21 +65,30 @@ def draw(keys: list[str], seed: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint")
 
 
+def stratified_cuts(rows: DataFrame, keys: list[str], test_share: float = 0.20, seed: int = 42,
+                    label: str = LABEL) -> DataFrame:
+    """(label, cut): the draw up to which a row of the class is test data; an exact distributed percentile."""
+    drawn = rows.select(label, draw(keys, seed).alias("_u"))
+    return exact_percentile(drawn, [label], "_u", test_share, bucket_width=float(2 ** 36), name="cut")
+
+
+def is_test(keys: list[str], seed: int, cut_late: Column, cut_on_time: Column, label: str = LABEL) -> Column:
+    return draw(keys, seed).cast("double") <= F.when(F.col(label) == 1, cut_late).otherwise(cut_on_time)
+
+
 def stratified_split(rows: DataFrame, keys: list[str], test_share: float = 0.20, seed: int = 42,
                      label: str = LABEL) -> DataFrame:
     """Adds ``is_test``: exactly the given share (to one row) of each class is test, chosen by a hash of the key.
 
-    The cut of each class is an exact distributed percentile of the hash, so both parts have the same late rate. Pass
-    the item's key to split items, or only ``order_id`` to keep the items of an order together.
+    Both parts have the same late rate. Pass the item's key to split items, or only ``order_id`` to keep the items of an
+    order together.
     """
-    drawn = rows.withColumn("_u", draw(keys, seed))
-    cuts = exact_percentile(drawn.select(label, "_u"), [label], "_u", test_share, bucket_width=float(2 ** 40), name="cut")
+    cuts = stratified_cuts(rows, keys, test_share, seed, label)
 
     def cut(value: int) -> Column:
         return cuts.filter(F.col(label) == value).agg(F.max("cut")).scalar()
 
-    limit = F.when(F.col(label) == 1, cut(1)).otherwise(cut(0))
-    return drawn.withColumn("is_test", F.col("_u").cast("double") <= limit).drop("_u")
+    return rows.withColumn("is_test", is_test(keys, seed, cut(1), cut(0), label))
 
 
 def medians(rows: DataFrame, columns: list[str]) -> dict[str, float]:
@@ -195,13 +204,15 @@ class Trained:
 
 def train(spark: SparkSession, star: Star, folder: str, forest: ForestSize = ForestSize(), seed: int = 42,
           split_by: str = "item") -> Trained:
-    """The training job. The split matrix is written once under ``folder`` (shared storage), so the fits read a table
-    instead of repeating the joins, also after a lost executor."""
+    """The training job. The matrix is written once under ``folder`` (shared storage), so the split and the fits read a
+    table instead of repeating the joins, also after a lost executor."""
     keys = ["order_id", "order_item_id"] if split_by == "item" else ["order_id"]
     matrix = with_label(with_features(training_set(star))).select("order_id", "order_item_id", *FEATURES, LABEL)
     path = f"{folder}/matrix"
-    stratified_split(matrix, keys, seed=seed).write.mode("overwrite").parquet(path)
-    rows = spark.read.parquet(path)
+    matrix.write.mode("overwrite").parquet(path)
+    stored = spark.read.parquet(path)
+    cuts = {r[LABEL]: r["cut"] for r in stratified_cuts(stored, keys, seed=seed).collect()}  # one row per class
+    rows = stored.withColumn("is_test", is_test(keys, seed, F.lit(cuts.get(1)), F.lit(cuts.get(0))))
     fitted = fit_models(rows.filter("NOT is_test"), forest, seed)
     test = rows.filter("is_test")
     parts = [evaluate(name, scores(model, test)) for name, model in fitted.items()]

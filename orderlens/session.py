@@ -39,10 +39,13 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: the cluster's ``spark.checkpoint.dir``, or a temporary one where it is unset."""
+    """The folder all executors see: the cluster's ``spark.checkpoint.dir``. Only a local session that has none, as in
+    tests, gets a temporary one."""
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         folder = tempfile.mkdtemp(prefix="orderlens-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
