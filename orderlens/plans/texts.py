@@ -132,8 +132,9 @@ def _m(pattern: str) -> str:
     return f"regexp_matches(l, {_text(pattern)})"
 
 
+# This engine knows only ASCII word characters, so accented letters are replaced by another word character first.
 ROUTED = ASKED + f""",
-lowered AS (SELECT *, lower(question) AS l FROM q),
+lowered AS (SELECT *, regexp_replace(lower(question), '[À-ÖØ-öø-ɏ]', '_', 'g') AS l FROM q),
 scoped AS (SELECT *, list_filter(regexp_extract_all(l, {_text(routing.YEAR)}),
                                  lambda y: y NOT IN {texts.YEARS}) AS ys,
                   regexp_extract(l, {_text(routing.OUT_OF_SCOPE)}) AS word FROM lowered),
