@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.sources.star import Star
+
 UNKNOWN = "unknown"
 # The three text layouts a raw timestamp may have.
 TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd")
@@ -119,11 +123,12 @@ def enriched_orders(raw: DataFrame, newest: DataFrame) -> DataFrame:
     bought, arrived, promised = F.col("purchase_ts"), F.col("customer_delivery_ts"), F.col("estimated_delivery_ts")
     parsed = raw.select("order_id", "customer_id", "order_status",
                         *[lenient_timestamp(F.col(old)).alias(new) for new, old in stamps.items()])
-    return (parsed
-            .withColumn("purchase_date_key", date_key(bought))
-            .withColumn("delivery_days", days_between(bought, arrived))
-            .withColumn("is_delivered", arrived.isNotNull())
-            .withColumn("is_on_time", F.when(arrived.isNotNull(), F.coalesce(arrived <= promised, F.lit(False))))
+    return (parsed.withColumns({
+        "purchase_date_key": date_key(bought),
+        "delivery_days": days_between(bought, arrived),
+        "is_delivered": arrived.isNotNull(),
+        "is_on_time": F.when(arrived.isNotNull(), F.coalesce(arrived <= promised, F.lit(False))),
+    })
             .join(first_review_scores(newest), "order_id", "left"))
 
 
@@ -136,14 +141,18 @@ def fact_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
         "price", "freight_value", "delivery_days", "is_delivered", "is_on_time", "review_score")
 
 
-def build_star(spark: SparkSession, raw: dict[str, DataFrame], first_day: str = "2016-01-01",
-               last_day: str = "2020-12-31"):
+def build_star(spark: SparkSession, raw: Mapping[str, DataFrame], first_day: str = "2016-01-01",
+               last_day: str = "2020-12-31") -> Star:
     """The whole star from the raw frames, as lazy plans."""
-    from orderlens.sources.star import Star
-    newest = newest_reviews(parsed_reviews(raw["order_reviews"]))
-    orders = enriched_orders(raw["orders"], newest)
-    return Star(dim_customers=customers(raw["customers"]),
-                dim_products=products(raw["products"], raw["category_translation"]),
-                dim_sellers=sellers(raw["sellers"]), dim_reviews=review_dimension(newest),
-                dim_payments=payments(raw["order_payments"]), dim_date=calendar(spark, first_day, last_day),
-                fact_orders=fact_orders(raw["order_items"], orders))
+    def newest() -> DataFrame:
+        return newest_reviews(parsed_reviews(raw["order_reviews"]))
+
+    return Star({
+        "dim_customers": lambda: customers(raw["customers"]),
+        "dim_products": lambda: products(raw["products"], raw["category_translation"]),
+        "dim_sellers": lambda: sellers(raw["sellers"]),
+        "dim_reviews": lambda: review_dimension(newest()),
+        "dim_payments": lambda: payments(raw["order_payments"]),
+        "dim_date": lambda: calendar(spark, first_day, last_day),
+        "fact_orders": lambda: fact_orders(raw["order_items"], enriched_orders(raw["orders"], newest())),
+    })

@@ -22,7 +22,9 @@ RUNTIME_CONF = {
 def build_session(app: str = "orderlens", master: str | None = None, shuffle_partitions: int | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
     """A session with the settings above; on a cluster leave ``master`` unset and let spark-submit decide."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    # Recording the Python call site of every column expression costs more than planning the small reports.
+    builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+               .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:

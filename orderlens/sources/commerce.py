@@ -16,14 +16,31 @@ from pyspark.sql import functions as F
 
 from orderlens.operators.star import calendar, newest_reviews, review_dimension
 from orderlens.schemas import MONEY
-from orderlens.sources.star import Star
+from orderlens.sources.star import Frames, Star
 
 # A fixed window around the order dates of the tables; purchases outside a calendar drop out of monthly reports.
 CALENDAR = ("1990-01-01", "2029-12-31")
 
 
+# Schemas of the test tables that are read; given, so that no job is started to infer them.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _plus_hours(ts: str, hours: Column) -> Column:
@@ -44,19 +61,20 @@ def order_facts(spark: SparkSession, folder: str) -> DataFrame:
         (F.year("o_orderdate") * 10000 + F.month("o_orderdate") * 100 + F.day("o_orderdate")).alias("purchase_date_key"),
         promise.alias("_promise"),
         F.when(F.col("o_orderstatus") != "P", quarters).alias("_quarters"))
-    late = F.col("delivery_days") > F.col("promise_days")
+    late = F.col("_quarters") > F.col("_promise") * 4
     score = (F.col("order_id") + F.col("o_custkey")) % 3
-    return (base
-            .withColumn("delivery_days", F.col("_quarters").cast("double") / 4)
-            .withColumn("promise_days", F.col("_promise").cast("double"))
-            .withColumn("is_delivered", F.col("delivery_days").isNotNull())
-            .withColumn("is_on_time", F.col("delivery_days") <= F.col("promise_days"))
-            .withColumn("review_score", F.when((F.col("order_id") * 31) % 20 == 0, F.lit(None))
-                        .when(late, score + 1).otherwise(score + 3).cast("int"))
-            .withColumn("approved_ts", _plus_hours("purchase_ts", F.lit(1)))
-            .withColumn("carrier_delivery_ts", F.when(F.col("is_delivered"), _plus_hours("purchase_ts", F.lit(24))))
-            .withColumn("customer_delivery_ts", _plus_hours("purchase_ts", F.col("_quarters") * 6))
-            .withColumn("estimated_delivery_ts", _plus_hours("purchase_ts", F.col("_promise") * 24)))
+    delivered = F.col("_quarters").isNotNull()
+    return base.withColumns({
+        "delivery_days": F.col("_quarters").cast("double") / 4,
+        "is_delivered": delivered,
+        "is_on_time": F.col("_quarters") <= F.col("_promise") * 4,
+        "review_score": F.when((F.col("order_id") * 31) % 20 == 0, F.lit(None))
+        .when(late, score + 1).otherwise(score + 3).cast("int"),
+        "approved_ts": _plus_hours("purchase_ts", F.lit(1)),
+        "carrier_delivery_ts": F.when(delivered, _plus_hours("purchase_ts", F.lit(24))),
+        "customer_delivery_ts": _plus_hours("purchase_ts", F.col("_quarters") * 6),
+        "estimated_delivery_ts": _plus_hours("purchase_ts", F.col("_promise") * 24),
+    })
 
 
 def item_key() -> Column:
@@ -65,41 +83,59 @@ def item_key() -> Column:
                        F.round(F.col("l_extendedprice") * 100).cast("bigint"), F.date_format("l_shipdate", "yyyyMMdd"))
 
 
-def star(spark: SparkSession, folder: str) -> Star:
-    """The star, as lazy frames: a report reads only the tables and columns it uses."""
-    def of(name: str) -> DataFrame:
-        return table(spark, folder, name)
+FACT = ["order_id", "order_item_id", "customer_id", "product_id", "seller_id", "purchase_date_key", "order_status",
+        "purchase_ts", "approved_ts", "carrier_delivery_ts", "customer_delivery_ts", "estimated_delivery_ts",
+        "price", "freight_value", "delivery_days", "is_delivered", "is_on_time", "review_score"]
 
-    orders = order_facts(spark, folder)
-    nation = of("nation").select(F.col("n_nationkey"), F.col("n_name"))
-    items = of("lineitem").select(
+
+def _items(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), item_key().alias("order_item_id"),
         F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"),
         F.col("l_extendedprice").cast(MONEY).alias("price"), F.col("l_quantity").cast(MONEY).alias("freight_value"))
-    fact = items.join(orders, "order_id").select(
-        "order_id", "order_item_id", "customer_id", "product_id", "seller_id", "purchase_date_key", "order_status",
-        "purchase_ts", "approved_ts", "carrier_delivery_ts", "customer_delivery_ts", "estimated_delivery_ts",
-        "price", "freight_value", "delivery_days", "is_delivered", "is_on_time", "review_score")
-    customers = (orders.select("customer_id", "customer_unique_id", "o_custkey")
-                 .join(of("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")),
-                       F.col("o_custkey") == F.col("c_custkey"))
-                 .select("customer_id", "customer_unique_id", F.lit(None).cast("int").alias("customer_zip_code"),
-                         F.col("c_mktsegment").alias("customer_city"), F.col("n_name").alias("customer_state")))
-    sellers = (of("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-               .select(F.col("s_suppkey").alias("seller_id"), F.lit(None).cast("int").alias("seller_zip_code"),
-                       F.col("s_name").alias("seller_city"), F.col("n_name").alias("seller_state")))
+
+
+def _buyers(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per order: its customer id, the person, segment and nation."""
+    ids = order_facts(spark, folder).select("customer_id", "customer_unique_id", "o_custkey")
+    places = table(spark, folder, "customer").join(table(spark, folder, "nation"),
+                                                   F.col("c_nationkey") == F.col("n_nationkey"))
+    return ids.join(places, F.col("o_custkey") == F.col("c_custkey"))
+
+
+def _sellers(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "supplier").join(table(spark, folder, "nation"),
+                                                 F.col("s_nationkey") == F.col("n_nationkey"))
+
+
+def _sizes() -> list[Column]:
     size = F.col("p_size")
-    products = of("part").select(
-        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_category_pt"),
-        F.when(F.col("p_name").like("old %"), "unknown").otherwise(F.col("p_name")).alias("product_category_en"),
-        F.length("p_name").alias("name_length"), F.length("p_type").alias("description_length"),
-        (size % 5).alias("photos_qty"),
-        F.when(F.col("p_partkey") % 50 != 0, (size * 100).cast("double")).alias("product_weight_g"),
-        size.cast("double").alias("length_cm"), (size % 7 + 1).cast("double").alias("height_cm"),
-        (size % 11 + 1).cast("double").alias("width_cm"))
-    return Star(dim_customers=customers, dim_products=products, dim_sellers=sellers,
-                dim_reviews=_reviews(orders), dim_payments=_payments(spark, folder),
-                dim_date=calendar(spark, *CALENDAR), fact_orders=fact)
+    return [F.length("p_name").alias("name_length"), F.length("p_type").alias("description_length"),
+            (size % 5).alias("photos_qty"),
+            F.when(F.col("p_partkey") % 50 != 0, (size * 100).cast("double")).alias("product_weight_g"),
+            size.cast("double").alias("length_cm"), (size % 7 + 1).cast("double").alias("height_cm"),
+            (size % 11 + 1).cast("double").alias("width_cm")]
+
+
+def star(spark: SparkSession, folder: str) -> Star:
+    """The star, as lazy frames: a report reads only the tables and columns it uses."""
+    no_zip = F.lit(None).cast("int")
+    return Star({
+        "dim_customers": lambda: _buyers(spark, folder).select(
+            "customer_id", "customer_unique_id", no_zip.alias("customer_zip_code"),
+            F.col("c_mktsegment").alias("customer_city"), F.col("n_name").alias("customer_state")),
+        "dim_products": lambda: table(spark, folder, "part").select(
+            F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_category_pt"),
+            F.when(F.col("p_name").like("old %"), "unknown").otherwise(F.col("p_name")).alias("product_category_en"),
+            *_sizes()),
+        "dim_sellers": lambda: _sellers(spark, folder).select(
+            F.col("s_suppkey").alias("seller_id"), no_zip.alias("seller_zip_code"),
+            F.col("s_name").alias("seller_city"), F.col("n_name").alias("seller_state")),
+        "dim_reviews": lambda: _reviews(order_facts(spark, folder)),
+        "dim_payments": lambda: _payments(spark, folder),
+        "dim_date": lambda: calendar(spark, *CALENDAR),
+        "fact_orders": lambda: _items(spark, folder).join(order_facts(spark, folder), "order_id").select(*FACT),
+    })
 
 
 def _payments(spark: SparkSession, folder: str) -> DataFrame:
@@ -141,52 +177,40 @@ def _reviews(orders: DataFrame) -> DataFrame:
     return review_dimension(newest_reviews(parsed))
 
 
-def raw_frames(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def raw_frames(spark: SparkSession, folder: str) -> Frames:
     """The same data shaped like the raw files: text timestamps (some unreadable), untrimmed states, untranslated names."""
-    def of(name: str) -> DataFrame:
-        return table(spark, folder, name)
-
     def text(column: str) -> Column:
         return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
 
-    orders = order_facts(spark, folder)
-    nation = of("nation").select("n_nationkey", "n_name")
-    order_id = F.col("order_id")
     padded = F.concat(F.lit(" "), F.col("n_name"), F.lit("  "))
-    names = of("part").select(F.col("p_name").alias("product_category_name")).distinct()
-    return {
-        "customers": orders.join(of("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("customer_id", "customer_unique_id", F.lit(None).cast("int").alias("customer_zip_code_prefix"),
-                F.col("c_mktsegment").alias("customer_city"), padded.alias("customer_state")),
-        "sellers": of("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(F.col("s_suppkey").alias("seller_id"), F.lit(None).cast("int").alias("seller_zip_code_prefix"),
-                F.col("s_name").alias("seller_city"), padded.alias("seller_state")),
-        "products": of("part").select(
+    no_zip, no_text = F.lit(None).cast("int"), F.lit(None).cast("string")
+    raw_sizes = ["product_name_lenght", "product_description_lenght", "product_photos_qty", "product_weight_g",
+                 "product_length_cm", "product_height_cm", "product_width_cm"]
+    name = F.col("product_category_name")
+    return Frames({
+        "customers": lambda: _buyers(spark, folder).select(
+            "customer_id", "customer_unique_id", no_zip.alias("customer_zip_code_prefix"),
+            F.col("c_mktsegment").alias("customer_city"), padded.alias("customer_state")),
+        "sellers": lambda: _sellers(spark, folder).select(
+            F.col("s_suppkey").alias("seller_id"), no_zip.alias("seller_zip_code_prefix"),
+            F.col("s_name").alias("seller_city"), padded.alias("seller_state")),
+        "products": lambda: table(spark, folder, "part").select(
             F.col("p_partkey").alias("product_id"),
             F.when(~F.col("p_name").like("new %"), F.col("p_name")).alias("product_category_name"),
-            F.length("p_name").alias("product_name_lenght"), F.length("p_type").alias("product_description_lenght"),
-            (F.col("p_size") % 5).alias("product_photos_qty"),
-            F.when(F.col("p_partkey") % 50 != 0, (F.col("p_size") * 100).cast("double")).alias("product_weight_g"),
-            F.col("p_size").cast("double").alias("product_length_cm"),
-            (F.col("p_size") % 7 + 1).cast("double").alias("product_height_cm"),
-            (F.col("p_size") % 11 + 1).cast("double").alias("product_width_cm")),
-        "category_translation": names.filter(~F.col("product_category_name").like("old %"))
-        .select("product_category_name", F.upper("product_category_name").alias("product_category_name_english")),
-        "orders": orders.select(
+            *[size.alias(raw) for size, raw in zip(_sizes(), raw_sizes)]),
+        "category_translation": lambda: table(spark, folder, "part").select(
+            F.col("p_name").alias("product_category_name")).distinct().filter(~name.like("old %")).select(
+            name, F.upper(name).alias("product_category_name_english")),
+        "orders": lambda: order_facts(spark, folder).select(
             "order_id", "customer_id", "order_status", text("purchase_ts").alias("order_purchase_timestamp"),
-            F.when(order_id % 50 == 0, "garbage").otherwise(text("approved_ts")).alias("order_approved_at"),
+            F.when(F.col("order_id") % 50 == 0, "garbage").otherwise(text("approved_ts")).alias("order_approved_at"),
             text("carrier_delivery_ts").alias("order_delivered_carrier_date"),
             text("customer_delivery_ts").alias("order_delivered_customer_date"),
             text("estimated_delivery_ts").alias("order_estimated_delivery_date")),
-        "order_items": of("lineitem").select(
-            F.col("l_orderkey").alias("order_id"), item_key().alias("order_item_id"),
-            F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"),
-            F.col("l_extendedprice").cast(MONEY).alias("price"),
-            F.col("l_quantity").cast(MONEY).alias("freight_value")),
-        "order_reviews": _review_rows(orders).select(
-            "review_id", "order_id", "review_score", F.lit(None).cast("string").alias("review_comment_title"),
-            F.lit(None).cast("string").alias("review_comment_message"),
-            text("created").alias("review_creation_date"), text("answered").alias("review_answer_timestamp")),
-        "order_payments": _payments(spark, folder),
-    }
+        "order_items": lambda: _items(spark, folder),
+        "order_reviews": lambda: _review_rows(order_facts(spark, folder)).select(
+            "review_id", "order_id", "review_score", no_text.alias("review_comment_title"),
+            no_text.alias("review_comment_message"), text("created").alias("review_creation_date"),
+            text("answered").alias("review_answer_timestamp")),
+        "order_payments": lambda: _payments(spark, folder),
+    })

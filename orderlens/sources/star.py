@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,22 +10,44 @@ from pyspark.sql import functions as F
 from orderlens.schemas import STAR
 
 
-@dataclass(frozen=True)
+class Frames(Mapping[str, DataFrame]):
+    """Named DataFrames, each made when it is first asked for: a report plans only the tables it reads."""
+
+    def __init__(self, makers: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+        self._makers, self._made = dict(makers), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            maker = self._makers[name]
+            self._made[name] = maker if isinstance(maker, DataFrame) else maker()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 class Star:
-    dim_customers: DataFrame
-    dim_products: DataFrame
-    dim_sellers: DataFrame
-    dim_reviews: DataFrame
-    dim_payments: DataFrame
-    dim_date: DataFrame
-    fact_orders: DataFrame
-
-    def tables(self) -> dict[str, DataFrame]:
-        """Name to frame, dimensions before the fact."""
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+    """The seven tables of the star; dimensions come before the fact."""
+
+    NAMES = ("dim_customers", "dim_products", "dim_sellers", "dim_reviews", "dim_payments", "dim_date", "fact_orders")
+
+    def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+        self._frames = Frames({name: frames[name] for name in self.NAMES})
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in Star.NAMES:
+            return self._frames[name]
+        raise AttributeError(name)
+
+    def tables(self) -> Mapping[str, DataFrame]:
+        return self._frames
 
     def with_fact(self, fact: DataFrame) -> Star:
-        return replace(self, fact_orders=fact)
+        makers: dict = {name: (lambda n=name: self._frames[n]) for name in self.NAMES}
+        return Star({**makers, "fact_orders": fact})
 
 
 def register(star: Star) -> None:
@@ -56,4 +78,4 @@ def read_star(spark: SparkSession, folder: str, with_schema: bool = False) -> St
             reader = reader.schema(STAR[name])
         return reader.parquet(f"{folder}/{name}")
 
-    return Star(**{f.name: scan(f.name) for f in fields(Star)})
+    return Star({name: (lambda n=name: scan(n)) for name in Star.NAMES})
