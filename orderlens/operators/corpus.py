@@ -19,7 +19,7 @@ WHITE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\
          "\u2028\u2029\u202f\u205f\u3000")
 BLANK_LINE = f"\n[{WHITE}]*\n"
 
-_CHUNKS = "array<struct<body:string,start:int>>"
+_CHUNKS = "array<struct<body:string,size:int,start:int>>"
 
 
 def stripped(text: Column) -> Column:
@@ -52,43 +52,45 @@ def section_at(heads: Column, position: Column) -> Column:
     return F.coalesce(F.try_element_at(before, F.lit(-1))["title"], F.lit(""))
 
 
-def _chunk(body: Column, start: Column) -> Column:
-    return F.array(F.struct(body.alias("body"), start.alias("start")))
+def _chunk(body: Column, size: Column, start: Column) -> Column:
+    """Text, its length (kept, because lambdas would count the characters again at every use) and position."""
+    return F.struct(body.alias("body"), size.alias("size"), start.alias("start"))
+
+
+def _with(done: Column, last: Column) -> Column:
+    return F.concat(done, F.array(_chunk(last["body"], last["size"], last["start"])))
 
 
 def _packed(text: Column) -> Column:
     """Paragraphs joined up to the chunk size. Positions add two characters per paragraph, whatever separated them."""
-    paragraphs = F.transform(F.split(text, BLANK_LINE), stripped)
+    bodies = F.transform(F.split(text, BLANK_LINE), stripped)
+    paragraphs = F.transform(bodies, lambda b: F.struct(b.alias("body"), F.length(b).alias("size")))
     start = F.struct(F.lit("").alias("body"), F.lit(0).alias("size"), F.lit(0).alias("start"), F.lit(0).alias("at"),
                      F.array().cast(_CHUNKS).alias("done"))
 
     def step(now: Column, paragraph: Column) -> Column:
-        size = F.length(paragraph)
+        body, size = paragraph["body"], paragraph["size"]
         blank, first = size == 0, now["size"] == 0
         full = ~blank & ~first & (now["size"] + 2 + size > MAX_CHARS)
         fresh = first | full
         return F.struct(
-            F.when(blank, now["body"]).when(fresh, paragraph)
-            .otherwise(F.concat(now["body"], F.lit("\n\n"), paragraph)).alias("body"),
+            F.when(blank, now["body"]).when(fresh, body).otherwise(F.concat(now["body"], F.lit("\n\n"), body))
+            .alias("body"),
             F.when(blank, now["size"]).when(fresh, size).otherwise(now["size"] + 2 + size).alias("size"),
             F.when(~blank & fresh, now["at"]).otherwise(now["start"]).alias("start"),
-            (now["at"] + size + 2).alias("at"),
-            F.when(full, F.concat(now["done"], _chunk(now["body"], now["start"]))).otherwise(now["done"]).alias("done"))
+            (now["at"] + size + 2).alias("at"), F.when(full, _with(now["done"], now)).otherwise(now["done"]).alias("done"))
 
-    def finish(now: Column) -> Column:
-        return F.when(now["size"] > 0, F.concat(now["done"], _chunk(now["body"], now["start"]))).otherwise(now["done"])
-
-    return F.aggregate(paragraphs, start, step, finish)
+    return F.aggregate(paragraphs, start, step,
+                       lambda now: F.when(now["size"] > 0, _with(now["done"], now)).otherwise(now["done"]))
 
 
 def _cut(chunks: Column) -> Column:
     """Chunks that are too long become pieces of the chunk size; one linear pass over each."""
     def pieces(chunk: Column) -> Column:
         parts = F.regexp_extract_all(chunk["body"], F.lit(f"(?s).{{1,{MAX_CHARS}}}"), F.lit(0))
-        return F.transform(parts, lambda p: F.struct(p.alias("body"), chunk["start"].alias("start")))
+        return F.transform(parts, lambda p: _chunk(p, F.length(p), chunk["start"]))
 
-    return F.flatten(F.transform(chunks, lambda c: F.when(
-        F.length(c["body"]) <= WHOLE, _chunk(c["body"], c["start"])).otherwise(pieces(c))))
+    return F.flatten(F.transform(chunks, lambda c: F.when(c["size"] <= WHOLE, F.array(c)).otherwise(pieces(c))))
 
 
 def _without_fragments(chunks: Column) -> Column:
@@ -97,20 +99,17 @@ def _without_fragments(chunks: Column) -> Column:
                      F.array().cast(_CHUNKS).alias("done"))
 
     def step(last: Column, chunk: Column) -> Column:
-        size = F.length(chunk["body"])
+        size = chunk["size"]
         none = last["size"] < 0
         joins = ~none & (size < FRAGMENT) & (last["size"] + 2 + size <= WHOLE)
         return F.struct(
             F.when(joins, F.concat(last["body"], F.lit("\n\n"), chunk["body"])).otherwise(chunk["body"]).alias("body"),
             F.when(joins, last["size"] + 2 + size).otherwise(size).alias("size"),
             F.when(joins, last["start"]).otherwise(chunk["start"]).alias("start"),
-            F.when(joins | none, last["done"])
-            .otherwise(F.concat(last["done"], _chunk(last["body"], last["start"]))).alias("done"))
-
-    def finish(last: Column) -> Column:
-        return F.when(last["size"] >= 0, F.concat(last["done"], _chunk(last["body"], last["start"]))).otherwise(last["done"])
+            F.when(joins | none, last["done"]).otherwise(_with(last["done"], last)).alias("done"))
 
-    return F.aggregate(chunks, start, step, finish)
+    return F.aggregate(chunks, start, step,
+                       lambda last: F.when(last["size"] >= 0, _with(last["done"], last)).otherwise(last["done"]))
 
 
 def chunk_documents(documents: DataFrame, key: str, text: str = "text", fallback_title: str | None = None) -> DataFrame:

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from orderlens.sources.star import Star
 
 UNKNOWN = "unknown"
-# The three text layouts a raw timestamp may have.
-TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd")
 
 
 def stripped(text: str) -> Column:
@@ -20,8 +18,7 @@ def stripped(text: str) -> Column:
 
 def lenient_timestamp(text: Column) -> Column:
     """Text to timestamp; NULL for text that is not a timestamp."""
-    parsed = [F.try_to_timestamp(text, F.lit(layout)).cast("timestamp_ntz") for layout in TIMESTAMP_FORMATS]
-    return F.coalesce(*parsed)
+    return text.try_cast("timestamp_ntz")
 
 
 def days_between(start: Column, end: Column) -> Column:

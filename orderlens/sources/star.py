@@ -59,14 +59,14 @@ def register(star: Star) -> None:
 def write_star(star: Star, folder: str) -> None:
     """Full refresh, dimensions first. The fact is split into purchase months, so date filters skip whole folders.
 
-    Rows are spread over the writers by order as well as month: one busy month is not one task, and one order's items
-    stay together.
+    Rebalancing brings a month's rows together for few, evenly sized files; at run time small months share a task and a
+    busy month, or an order with very many items, is cut into several.
     """
     for name, frame in star.tables().items():
         if name != "fact_orders":
             frame.write.mode("overwrite").parquet(f"{folder}/{name}")
     (star.fact_orders.withColumn("purchase_month", F.floor(F.col("purchase_date_key") / 100).cast("int"))
-     .repartition("purchase_month", "order_id")
+     .hint("rebalance", "purchase_month")
      .write.mode("overwrite").partitionBy("purchase_month").parquet(f"{folder}/fact_orders"))
 
 
