@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.measures import count_where
@@ -87,21 +87,38 @@ def row_count_check(star: Star, expected: dict[str, int | None]) -> DataFrame:
                               F.when(F.col("w") >= 0, F.col("n") == F.col("w")).otherwise(F.col("n") > 0).alias("ok"))
 
 
+def _outside(first_day: str, end_day: str) -> Column:
+    ts = F.col("purchase_ts")
+    return (ts < F.lit(first_day).cast("timestamp_ntz")) | (ts >= F.lit(end_day).cast("timestamp_ntz"))
+
+
+def _null_keys() -> list[Column]:
+    return [count_where(F.col("purchase_ts").isNull()).alias("null_ts"),
+            count_where(F.col("price").isNull()).alias("null_price"),
+            count_where(F.col("customer_id").isNull()).alias("null_cust"),
+            count_where(F.col("customer_delivery_ts").isNotNull() & F.col("delivery_days").isNull())
+            .alias("delivered_wo_days")]
+
+
+def _impossible(slow_days: int) -> list[Column]:
+    days = F.col("delivery_days")
+    return [count_where(days < 0).alias("negative_days"),
+            count_where(days > slow_days).alias(f"slow_over_{slow_days}d_info")]
+
+
 def date_range(star: Star, first_day: str, end_day: str) -> DataFrame:
     """First and last purchase day and the items bought outside [first_day, end_day)."""
     ts = F.col("purchase_ts")
-    outside = (ts < F.lit(first_day).cast("timestamp_ntz")) | (ts >= F.lit(end_day).cast("timestamp_ntz"))
     return star.fact_orders.agg(F.min(ts).cast("date").alias("min_d"), F.max(ts).cast("date").alias("max_d"),
-                                count_where(outside).alias("out_of_range"))
+                                count_where(_outside(first_day, end_day)).alias("out_of_range"))
 
 
 def null_keys(star: Star) -> DataFrame:
-    return star.fact_orders.agg(
-        count_where(F.col("purchase_ts").isNull()).alias("null_ts"),
-        count_where(F.col("price").isNull()).alias("null_price"),
-        count_where(F.col("customer_id").isNull()).alias("null_cust"),
-        count_where(F.col("customer_delivery_ts").isNotNull() & F.col("delivery_days").isNull())
-        .alias("delivered_wo_days"))
+    return star.fact_orders.agg(*_null_keys())
+
+
+def impossible_values(star: Star, slow_days: int = 90) -> DataFrame:
+    return star.fact_orders.agg(*_impossible(slow_days))
 
 
 def duplicate_keys(star: Star) -> DataFrame:
@@ -129,12 +146,6 @@ def referential_integrity(star: Star) -> DataFrame:
                                    for alias, (parent, key) in pairs.items()])
 
 
-def impossible_values(star: Star, slow_days: int = 90) -> DataFrame:
-    days = F.col("delivery_days")
-    return star.fact_orders.agg(count_where(days < 0).alias("negative_days"),
-                                count_where(days > slow_days).alias(f"slow_over_{slow_days}d_info"))
-
-
 def join_cardinality(star: Star, items: DataFrame) -> DataFrame:
     """The fact must have exactly the rows of the item table: no fan-out, no orphan items."""
     counts = row_counts({"fact_orders": star.fact_orders, "order_items": items}, total=None)
@@ -144,35 +155,40 @@ def join_cardinality(star: Star, items: DataFrame) -> DataFrame:
         "ok", F.col("fact_rows") == F.col("item_rows"))
 
 
-def _metrics(check: str, report: DataFrame, expected: dict[str, int | None]) -> DataFrame:
+def _metrics(report: DataFrame, checks: dict[str, dict[str, int | None]]) -> DataFrame:
     """A one-row report as (check_name, metric, value, expected, ok); ``None`` marks a metric that is only shown."""
-    rows = [F.struct(F.lit(metric).alias("metric"), F.col(metric).cast("bigint").alias("value"),
-                     F.lit(want).cast("bigint").alias("expected"),
+    rows = [F.struct(F.lit(check).alias("check_name"), F.lit(metric).alias("metric"),
+                     F.col(metric).cast("bigint").alias("value"), F.lit(want).cast("bigint").alias("expected"),
                      (F.lit(True) if want is None else F.col(metric) == F.lit(want)).alias("ok"))
-            for metric, want in expected.items()]
-    return report.select(F.lit(check).alias("check_name"), F.inline(F.array(*rows)))
+            for check, expected in checks.items() for metric, want in expected.items()]
+    return report.select(F.inline(F.array(*rows)))
+
+
+def _zero(*metrics: str) -> dict[str, int | None]:
+    return dict.fromkeys(metrics, 0)
 
 
 def check_suite(star: Star, expected_rows: dict[str, int | None], first_day: str, end_day: str,
                 items: DataFrame | None = None) -> DataFrame:
-    """All checks as one table: (check_name, metric, value, expected, ok)."""
+    """All checks as one table: (check_name, metric, value, expected, ok). All row-wise checks of the fact share one
+    scan."""
     counts = row_count_check(star, expected_rows).select(
         F.lit("row counts").alias("check_name"), F.col("table_name").alias("metric"), F.col("n").alias("value"),
         "expected", "ok")
+    row_wise = star.fact_orders.agg(count_where(_outside(first_day, end_day)).alias("out_of_range"), *_null_keys(),
+                                    *_impossible(90))
     parts = [
         counts,
-        _metrics("date range", date_range(star, first_day, end_day), {"out_of_range": 0}),
-        _metrics("nulls in key columns", null_keys(star),
-                 dict.fromkeys(("null_ts", "null_price", "null_cust", "delivered_wo_days"), 0)),
-        _metrics("duplicate keys", duplicate_keys(star),
-                 dict.fromkeys(("dup_fact", "dup_cust", "dup_prod", "dup_rev", "dup_dt"), 0)),
-        _metrics("referential integrity", referential_integrity(star),
-                 dict.fromkeys(("orphan_cust", "orphan_prod", "orphan_sell"), 0)),
-        _metrics("delivery days", impossible_values(star), {"negative_days": 0, "slow_over_90d_info": None}),
+        _metrics(row_wise, {"date range": _zero("out_of_range"),
+                            "nulls in key columns": _zero("null_ts", "null_price", "null_cust", "delivered_wo_days"),
+                            "delivery days": {"negative_days": 0, "slow_over_90d_info": None}}),
+        _metrics(duplicate_keys(star), {"duplicate keys": _zero("dup_fact", "dup_cust", "dup_prod", "dup_rev", "dup_dt")}),
+        _metrics(referential_integrity(star),
+                 {"referential integrity": _zero("orphan_cust", "orphan_prod", "orphan_sell")}),
     ]
     if items is not None:
         cardinality = join_cardinality(star, items).withColumn("missing_or_extra", F.col("fact_rows") - F.col("item_rows"))
-        parts.append(_metrics("join cardinality", cardinality, {"missing_or_extra": 0}))
+        parts.append(_metrics(cardinality, {"join cardinality": _zero("missing_or_extra")}))
     return _stack(parts)
 
 

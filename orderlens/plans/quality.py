@@ -85,10 +85,16 @@ SELECT table_name, n, e::bigint AS expected, if(e IS NULL, n > 0, n = e) AS ok
 FROM n LEFT JOIN (VALUES ('fact_orders', 60000), ('dim_customers', 15000), ('dim_date', 14610)) x(table_name, e)
 USING (table_name)""")
 
+def _text(frame, *dates):
+    """Dates as text: engines hand them to the caller in different types."""
+    return frame.withColumns({c: F.col(c).cast("string") for c in dates})
+
+
 DATES = """
-SELECT min(purchase_ts)::date AS min_d, max(purchase_ts)::date AS max_d,
+SELECT min(purchase_ts)::date::varchar AS min_d, max(purchase_ts)::date::varchar AS max_d,
        count_if(year(purchase_ts) NOT BETWEEN 1996 AND 2000) AS out_of_range FROM fact"""
-star_query("quality_date_range", lambda star: quality.date_range(star, "1996-01-01", "2001-01-01"), DATES)
+star_query("quality_date_range", lambda star: _text(
+    quality.date_range(star, "1996-01-01", "2001-01-01"), "min_d", "max_d"), DATES)
 
 star_query("quality_null_keys", quality.null_keys, """
 SELECT count(*) - count(purchase_ts) AS null_ts, count(*) - count(price) AS null_price,
@@ -200,9 +206,10 @@ newest AS (SELECT * FROM rv QUALIFY row_number() OVER (
 firsts AS (SELECT order_id, review_score AS score FROM newest QUALIFY row_number() OVER (
              PARTITION BY order_id ORDER BY created NULLS LAST, answered NULLS LAST, review_id) = 1)
 """
-query("etl_reviews", _built("dim_reviews", "review_id", "order_id", "review_score", "review_creation_date",
-                            "review_answer_ts"), STAR_SQL + RAW_REVIEWS + """
-SELECT review_id, order_id, review_score, created::date AS review_creation_date, answered AS review_answer_ts
+query("etl_reviews", lambda spark, folder: _text(_built(
+    "dim_reviews", "review_id", "order_id", "review_score", "review_creation_date", "review_answer_ts")(spark, folder),
+    "review_creation_date"), STAR_SQL + RAW_REVIEWS + """
+SELECT review_id, order_id, review_score, created::date::varchar AS review_creation_date, answered AS review_answer_ts
 FROM newest""")
 query("etl_first_review_scores", _raw("order_reviews", lambda raw: build.first_review_scores(
     build.newest_reviews(build.parsed_reviews(raw)))), STAR_SQL + RAW_REVIEWS + """
@@ -236,13 +243,13 @@ def _calendar(spark, folder):
     """The calendar of the years in which orders were placed."""
     bounds = commerce.table(spark, folder, "orders").agg(F.year(F.min("o_orderdate")).alias("lo"),
                                                          F.year(F.max("o_orderdate")).alias("hi")).first()
-    return build.calendar(spark, f"{bounds['lo']}-01-01", f"{bounds['hi']}-12-31")
+    return _text(build.calendar(spark, f"{bounds['lo']}-01-01", f"{bounds['hi']}-12-31"), "full_date")
 
 
 query("etl_calendar", _calendar, """
 WITH b AS (SELECT date_trunc('year', min(o_orderdate))::date AS lo,
                   (date_trunc('year', max(o_orderdate)) + INTERVAL 1 YEAR)::date AS hi FROM orders),
 d AS (SELECT unnest(generate_series(lo, hi - 1, INTERVAL 1 DAY))::date AS d FROM b)
-SELECT strftime(d, '%Y%m%d')::int AS date_key, d AS full_date, year(d)::int AS year, month(d)::int AS month,
+SELECT strftime(d, '%Y%m%d')::int AS date_key, d::varchar AS full_date, year(d)::int AS year, month(d)::int AS month,
        strftime(d, '%B') AS month_name, quarter(d)::int AS quarter, isodow(d)::int AS day_of_week,
        strftime(d, '%A') AS day_name, isodow(d) > 5 AS is_weekend, strftime(d, '%Y-%m') AS year_month FROM d""")
