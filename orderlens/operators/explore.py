@@ -73,57 +73,69 @@ def revenue_by_buyer(star: Star) -> DataFrame:
     return kpis.revenue_by_buyer_type(star, "buyer_type", REPEAT, ONE_TIME)
 
 
-def findings(star: Star, min_orders: int = MIN_ORDERS, n: int = TOP_N) -> DataFrame:
-    """One row with the headline of every report above. Each part is a small finished report reduced to one struct."""
-    def headline(report: DataFrame, *columns) -> Column:
-        return report.agg(F.struct(*columns).alias("h")).scalar()
-
-    def best(value: str, measure, tie: str):
-        """The value at the largest measure; ties go to the first value in order."""
-        return F.min_by(F.col(value), F.struct(-measure, F.col(tie)))
-
-    months = kpis.revenue_by_month(star)
-    cats = category_extremes(star, n)
-    states = on_time_by_state(star, min_orders)
-    slow = delivery_days_by_state(star, min_orders)
-    reviews = kpis.reviews_by_punctuality(star)
-    side = F.col("side")
-    revenue, pct, days = F.col("revenue_brl"), F.col("on_time_pct"), F.col("avg_delivery_days")
+def reports(star: Star, min_orders: int = MIN_ORDERS, n: int = TOP_N) -> dict[str, DataFrame]:
+    """All exploratory reports by name; written with ``run_corpus`` or ``write_result``, they are a few rows each."""
+    return {
+        "01_monthly_revenue": kpis.revenue_by_month(star),
+        "02_category_rank_top_bottom": category_extremes(star, n),
+        "03a_ontime_overall": on_time_overall(star),
+        "03b_ontime_by_state": on_time_by_state(star, min_orders),
+        "04_delivery_days_by_state": delivery_days_by_state(star, min_orders),
+        "05a_review_score_distribution": review_distribution(star),
+        "05b_late_vs_ontime_reviews": kpis.reviews_by_punctuality(star),
+        "06_repeat_purchase_rate": repeat_rate(star),
+        "07_revenue_repeat_vs_onetime": revenue_by_buyer(star),
+    }
+
 
-    def of_group(flag: bool, column: str):
+def findings(made: dict[str, DataFrame]) -> DataFrame:
+    """One row with the headline of every report. Pass reports read back from their files to avoid computing them again;
+    each is reduced to one struct."""
+    def headline(name: str, *columns: Column) -> Column:
+        return made[name].agg(F.struct(*columns).alias("h")).scalar()
+
+    def at_smallest(value: str, measure: Column, tie: str) -> Column:
+        """The value at the smallest measure; ties go to the first in order."""
+        return F.min_by(F.col(value), F.struct(measure, F.col(tie)))
+
+    def of_group(flag: bool, column: str) -> Column:
         return F.max(F.when(F.col("is_on_time") == flag, F.col(column)))
 
+    top = F.col("side").startswith("top")
+    revenue, pct, days = F.col("revenue_brl"), F.col("on_time_pct"), F.col("avg_delivery_days")
     parts = {
-        "m": headline(months, best("year_month", revenue, "year_month").alias("peak_month"),
+        "m": headline("01_monthly_revenue", at_smallest("year_month", -revenue, "year_month").alias("peak_month"),
                       F.max("revenue_brl").alias("peak_month_brl")),
-        "c": headline(cats, F.round(F.sum(F.when(side == f"top{n}", revenue)), 2).alias("top_brl"),
-                      F.round(F.sum(F.when(side != f"top{n}", revenue)), 2).alias("bottom_brl"),
+        "c": headline("02_category_rank_top_bottom", F.round(F.sum(F.when(top, revenue)), 2).alias("top_brl"),
+                      F.round(F.sum(F.when(~top, revenue)), 2).alias("bottom_brl"),
                       F.min_by("category", "rank_desc").alias("top_category"),
                       F.max_by("category", "rank_desc").alias("last_category")),
-        "o": headline(kpis.on_time_rate(star), F.max("on_time_pct").alias("on_time_pct"),
+        "o": headline("03a_ontime_overall", F.max("on_time_pct").alias("on_time_pct"),
                       F.max("on_time_orders").alias("on_time_orders"),
                       F.max("delivered_orders").alias("delivered_orders")),
-        "s": headline(states, best("customer_state", -pct, "customer_state").alias("worst_state"),
+        "s": headline("03b_ontime_by_state", at_smallest("customer_state", pct, "customer_state").alias("worst_state"),
                       F.min("on_time_pct").alias("worst_state_pct"),
                       F.max_by("customer_state", F.struct("on_time_pct", "customer_state")).alias("best_state"),
                       F.max("on_time_pct").alias("best_state_pct")),
-        "d": headline(slow, best("customer_state", days, "customer_state").alias("slowest_state"),
+        # The national mean is told as the slowest state's mean less its distance, both as shown.
+        "d": headline("04_delivery_days_by_state",
+                      at_smallest("customer_state", -days, "customer_state").alias("slowest_state"),
                       F.max("avg_delivery_days").alias("slowest_days"),
-                      F.round(F.max("natl_avg"), 1).alias("national_days")),
-        "r": headline(reviews, of_group(True, "avg_review_score").alias("on_time_score"),
+                      F.round(F.max("avg_delivery_days") - at_smallest("days_vs_natl_avg", -days, "customer_state"), 1)
+                      .alias("national_days")),
+        "r": headline("05b_late_vs_ontime_reviews", of_group(True, "avg_review_score").alias("on_time_score"),
                       of_group(False, "avg_review_score").alias("late_score"),
                       of_group(False, "pct_1star").alias("late_pct_1star"),
                       of_group(True, "pct_1star").alias("on_time_pct_1star")),
-        "p": headline(repeat_rate(star), F.max("repeat_rate_pct").alias("repeat_rate_pct"),
+        "p": headline("06_repeat_purchase_rate", F.max("repeat_rate_pct").alias("repeat_rate_pct"),
                       F.max("repeat_customers").alias("repeat_customers"),
                       F.max("total_customers").alias("total_customers"),
                       F.max("avg_orders_per_customer").alias("avg_orders_per_customer")),
-        "b": headline(revenue_by_buyer(star),
+        "b": headline("07_revenue_repeat_vs_onetime",
                       F.max(F.when(F.col("buyer_type") == REPEAT, F.col("pct_of_revenue")))
                       .alias("repeat_pct_of_revenue")),
     }
-    spark = star.fact_orders.sparkSession
-    row = spark.range(1).select(*[column.alias(name) for name, column in parts.items()])
+    row = made["01_monthly_revenue"].sparkSession.range(1).select(*[c.alias(name) for name, c in parts.items()])
     return row.select(*[f"{name}.*" for name in parts])
 
 

@@ -99,16 +99,17 @@ def kpi_cards(items: DataFrame) -> DataFrame:
         F.sum("item_revenue").alias("r"))
     people = orders.groupBy("customer_unique_id").agg(
         F.count("*").alias("n"), F.sum("r").alias("r"), F.sum("review_score").alias("score"),
-        F.count("review_score").alias("scored"), count_where(F.col("is_delivered")).alias("delivered"),
+        F.count("review_score").alias("scored"),
+        count_where(F.col("is_delivered") & F.col("is_on_time").isNotNull()).alias("judged"),
         count_where(F.col("is_delivered") & F.col("is_on_time")).alias("on_time"))
     known = F.col("customer_unique_id").isNotNull()
     totals = people.agg(
-        F.sum("r").alias("r"), F.sum("on_time").alias("on_time"), F.sum("delivered").alias("delivered"),
+        F.sum("r").alias("r"), F.sum("on_time").alias("on_time"), F.sum("judged").alias("judged"),
         F.sum("score").alias("score"), F.sum("scored").alias("scored"),
         count_where(known & (F.col("n") >= 2)).alias("repeat"), count_where(known).alias("people"))
     score = F.try_divide(F.col("score").cast("double"), F.col("scored").cast("double"))
     return totals.select(F.coalesce(money(F.col("r")), F.lit(0.0)).alias("revenue"),
-                         percent(F.col("on_time"), F.col("delivered"), 1).alias("on_time_pct"),
+                         percent(F.col("on_time"), F.col("judged"), 1).alias("on_time_pct"),
                          F.round(score, 2).alias("avg_score"),
                          percent(F.col("repeat"), F.col("people"), 1).alias("repeat_rate"))
 

@@ -16,6 +16,7 @@ from orderlens.functions.measures import count_where
 from orderlens.functions.percentiles import exact_percentile
 from orderlens.operators.quality import forbidden_features
 from orderlens.operators.star import UNKNOWN, days_between
+from orderlens.session import shared_folder
 from orderlens.sources.star import Star
 
 # The features of the model, and the columns that must never be among them.
@@ -116,23 +117,27 @@ def fit_preprocessing(train: DataFrame) -> PipelineModel:
 
 @dataclass(frozen=True)
 class ForestSize:
+    """``memory_mb`` is the room for split statistics: more of it means fewer passes over the rows."""
+
     trees: int = 200
     depth: int = 20
     min_leaf: int = 5
+    memory_mb: int = 1024
 
 
 def fit_models(train: DataFrame, forest: ForestSize = ForestSize(), seed: int = 42) -> dict[str, PipelineModel]:
     """Both candidates on one shared preprocessing. The classes are not reweighted: probabilities must stay honest."""
     prep = fit_preprocessing(train)
     ready = prep.transform(train).select("features", F.col(LABEL).cast("double").alias("label"))
-    rows = ready.count()
+    rows = train.count()
     candidates = {
         # A penalty weight of 1 on the summed loss; Spark minimises the mean loss, hence 1/n.
         "logistic_regression": LogisticRegression(regParam=1.0 / max(rows, 1), elasticNetParam=0.0, maxIter=1000,
                                                   standardization=False),
         "random_forest": RandomForestClassifier(numTrees=forest.trees, maxDepth=forest.depth,
                                                 minInstancesPerNode=forest.min_leaf, featureSubsetStrategy="sqrt",
-                                                seed=seed),
+                                                maxMemoryInMB=forest.memory_mb, cacheNodeIds=True,
+                                                checkpointInterval=10, seed=seed),
     }
     return {name: PipelineModel(stages=[*prep.stages, learner.fit(ready)]) for name, learner in candidates.items()}
 
@@ -213,12 +218,17 @@ def train(spark: SparkSession, star: Star, folder: str, forest: ForestSize = For
     stored = spark.read.parquet(path)
     cuts = {r[LABEL]: r["cut"] for r in stratified_cuts(stored, keys, seed=seed).collect()}  # one row per class
     rows = stored.withColumn("is_test", is_test(keys, seed, F.lit(cuts.get(1)), F.lit(cuts.get(0))))
+    shared_folder(spark)  # deep trees checkpoint their node ids
     fitted = fit_models(rows.filter("NOT is_test"), forest, seed)
     test = rows.filter("is_test")
-    parts = [evaluate(name, scores(model, test)) for name, model in fitted.items()]
+    scored = {}
+    for name, model in fitted.items():  # scored once, read by every evaluation
+        scores(model, test).write.mode("overwrite").parquet(f"{folder}/scores/{name}")
+        scored[name] = spark.read.parquet(f"{folder}/scores/{name}")
+    parts = [evaluate(name, frame) for name, frame in scored.items()]
     metrics = spark.createDataFrame([r for part in parts for r in part.collect()], parts[0].schema)  # one row per model
     winner = best_model(metrics).first()["model"]
-    return Trained(winner, fitted[winner], fitted, metrics, band_quality(scores(fitted[winner], test)), test)
+    return Trained(winner, fitted[winner], fitted, metrics, band_quality(scored[winner]), test)
 
 
 def save(trained: Trained, folder: str) -> None:

@@ -46,7 +46,7 @@ star_query("explore_repeat_rate", explore.repeat_rate, REPEAT_RATE.format(digits
 star_query("explore_revenue_by_buyer", explore.revenue_by_buyer,
            BUYER_REVENUE.format(label="buyer_type", repeat="repeat", one="one_time"))
 
-star_query("explore_findings", explore.findings, RANKED + f"""
+star_query("explore_findings", lambda star: explore.findings(explore.reports(star)), RANKED + f"""
 , m AS (SELECT year_month, round(sum(rev), 2)::double AS r FROM fact GROUP BY year_month),
 s AS ({ON_TIME_STATES}), d AS ({DAYS_BY_STATE}), v AS ({REVIEWS_BY_PUNCTUALITY}),
 o AS ({ON_TIME_ALL}), p AS ({REPEAT_RATE.format(digits=3)}),
@@ -64,7 +64,8 @@ SELECT (SELECT year_month FROM m ORDER BY r DESC, year_month LIMIT 1) AS peak_mo
        (SELECT max(on_time_pct) FROM s) AS best_state_pct,
        (SELECT customer_state FROM d ORDER BY avg_delivery_days DESC, customer_state LIMIT 1) AS slowest_state,
        (SELECT max(avg_delivery_days) FROM d) AS slowest_days,
-       (SELECT round(max(natl_avg), 1) FROM d) AS national_days,
+       (SELECT round(avg_delivery_days - days_vs_natl_avg, 1) FROM d
+        ORDER BY avg_delivery_days DESC, customer_state LIMIT 1) AS national_days,
        (SELECT avg_review_score FROM v WHERE is_on_time) AS on_time_score,
        (SELECT avg_review_score FROM v WHERE NOT is_on_time) AS late_score,
        (SELECT pct_1star FROM v WHERE NOT is_on_time) AS late_pct_1star,
