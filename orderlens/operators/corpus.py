@@ -126,13 +126,16 @@ def chunk_documents(documents: DataFrame, key: str, text: str = "text", fallback
     return titled.select(key, "chunk_no", "title", "section", label.alias("label"), "content")
 
 
-def document_offsets(counts: DataFrame, key: str, parts: int = 64) -> DataFrame:
+def document_offsets(counts: DataFrame, key: str, parts: int | None = None) -> DataFrame:
     """For (key, n): the number of chunks in all documents before each, in key order.
 
     A running sum over all documents without one task seeing them all: documents are placed in key ranges, the ranges
-    are fixed by a checkpoint in the shared folder, sums run inside each range and over the few range totals.
+    are fixed by a checkpoint in the shared folder, sums run inside each range and over the few range totals. There are
+    as many ranges as shuffle partitions unless told otherwise.
     """
-    shared_folder(counts.sparkSession)
+    spark = counts.sparkSession
+    shared_folder(spark)
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (counts.repartitionByRange(parts, key).withColumn("_range", F.spark_partition_id())
               .checkpoint(eager=True))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -144,7 +147,7 @@ def document_offsets(counts: DataFrame, key: str, parts: int = 64) -> DataFrame:
 
 
 def build_corpus(documents: DataFrame, key: str, text: str = "text", fallback_title: str | None = None,
-                 parts: int = 64) -> DataFrame:
+                 parts: int | None = None) -> DataFrame:
     """All chunks with a corpus-wide ``chunk_id``: 0, 1, 2, ... by document key, then chunk number."""
     chunks = chunk_documents(documents, key, text, fallback_title)
     offsets = document_offsets(chunks.groupBy(key).agg(F.count("*").alias("n")), key, parts)
