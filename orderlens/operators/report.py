@@ -61,6 +61,21 @@ def filtered_items(view: DataFrame, filters: Filters = Filters()) -> DataFrame:
     return view.filter(keep)
 
 
+def within_months(star: Star, filters: Filters) -> Star:
+    """The star with its fact cut to the purchase months of the date filter.
+
+    A stored fact is partitioned by ``purchase_month``; months outside the range are then never listed or read. A fact
+    without that column is returned as it is. Use it before ``item_view``; the exact dates are still ``filtered_items``'.
+    """
+    if "purchase_month" not in star.fact_orders.columns:
+        return star
+    fact, month = star.fact_orders, F.col("purchase_month")
+    for bound, keep in ((filters.date_from, month.__ge__), (filters.date_to, month.__le__)):
+        if bound is not None:
+            fact = fact.filter(keep(bound.year * 100 + bound.month))
+    return star.with_fact(fact)
+
+
 def filter_domains(view: DataFrame) -> DataFrame:
     """What can be filtered: (domain, value) with the first and last purchase date, all states and all categories.
 

@@ -19,7 +19,8 @@ star_query("quality_null_profile",
 u AS (UNPIVOT f ON COLUMNS(* EXCLUDE (n)) INTO NAME column_name VALUE nulls)
 SELECT 'fact_orders' AS table_name, n AS row_count, 18 AS column_count, column_name, nulls FROM u WHERE nulls > 0
 UNION ALL
-SELECT 'dim_products', count(*), 10, 'product_weight_g', count_if(product_weight_g IS NULL) FROM prod
+SELECT 'dim_products', count(*), 11, 'product_weight_g', count_if(product_weight_g IS NULL) FROM prod
+UNION ALL SELECT 'dim_products', count(*), 11, 'embedding', count(*) FROM prod
 UNION ALL SELECT 'dim_payments', count(*), 5, NULL, 0 FROM pay""")
 
 query("quality_duplicate_profiles", lambda spark, folder: quality.duplicate_profiles({
@@ -180,7 +181,7 @@ query("etl_customers", _raw("customers", lambda raw: build.customers(raw).drop("
       STAR_SQL + "SELECT * FROM cust")
 query("etl_sellers", _raw("sellers", lambda raw: build.sellers(raw).select("seller_id", "seller_state")),
       STAR_SQL + "SELECT * FROM sell")
-query("etl_products", _built("dim_products"), """
+query("etl_products", lambda spark, folder: _built("dim_products")(spark, folder).drop("embedding"), """
 SELECT p_partkey AS product_id, if(starts_with(p_name, 'new '), 'unknown', p_name) AS product_category_pt,
        if(starts_with(p_name, 'new ') OR starts_with(p_name, 'old '), 'unknown', upper(p_name))
          AS product_category_en,

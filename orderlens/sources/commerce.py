@@ -127,7 +127,7 @@ def star(spark: SparkSession, folder: str) -> Star:
         "dim_products": lambda: table(spark, folder, "part").select(
             F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_category_pt"),
             F.when(F.col("p_name").like("old %"), "unknown").otherwise(F.col("p_name")).alias("product_category_en"),
-            *_sizes()),
+            *_sizes(), F.lit(None).cast("array<float>").alias("embedding")),
         "dim_sellers": lambda: _sellers(spark, folder).select(
             F.col("s_suppkey").alias("seller_id"), no_zip.alias("seller_zip_code"),
             F.col("s_name").alias("seller_city"), F.col("n_name").alias("seller_state")),
