@@ -84,12 +84,12 @@ def stratified_split(rows: DataFrame, keys: list[str], test_share: float = 0.20,
     Both parts have the same late rate. Pass the item's key to split items, or only ``order_id`` to keep the items of an
     order together.
     """
-    cuts = stratified_cuts(rows, keys, test_share, seed, label)
-
     def cut(value: int) -> Column:
-        return cuts.filter(F.col(label) == value).agg(F.max("cut")).scalar()
+        return F.max(F.when(F.col(label) == value, F.col("cut")))
 
-    return rows.withColumn("is_test", is_test(keys, seed, cut(1), cut(0), label))
+    cuts = stratified_cuts(rows, keys, test_share, seed, label)
+    both = cuts.agg(F.struct(cut(1).alias("late"), cut(0).alias("on_time"))).scalar()
+    return rows.withColumn("is_test", is_test(keys, seed, both["late"], both["on_time"], label))
 
 
 def medians(rows: DataFrame, columns: list[str]) -> dict[str, float]:

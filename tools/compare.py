@@ -6,8 +6,6 @@
 from __future__ import annotations
 
 import argparse
-import datetime
-import decimal
 import math
 import os
 import sys
