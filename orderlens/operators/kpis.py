@@ -229,3 +229,24 @@ def monthly_experience(star: Star) -> DataFrame:
     return (months.select("year_month", "orders", percent(F.col("on_time"), F.col("orders"), 1).alias("on_time_pct"),
                           "avg_review_score", "avg_delivery_days")
             .orderBy("year_month"))
+
+
+def reports(star: Star) -> dict[str, DataFrame]:
+    """All KPI reports by the name they are stored under; run them with ``run_corpus``."""
+    return {
+        "01_revenue_by_month": revenue_by_month(star),
+        "02_revenue_by_state": revenue_by_state(star),
+        "03_revenue_by_category": revenue_by_category(star),
+        "04_on_time_delivery_pct": on_time_rate(star),
+        "05_avg_delivery_days": delivery_days_by_month(star),
+        "06_avg_review_score": review_scores(star),
+        "07_repeat_purchase_rate": repeat_rate(star),
+        "08_late_vs_ontime_review_scores": reviews_by_punctuality(star),
+        "09_top10_categories": top_categories(star),
+        "10_delivery_days_distribution": delivery_distribution(star),
+        "11_payment_types": payment_types(star),
+        "12_repeat_vs_onetime_revenue": repeat_vs_one_time_revenue(star),
+        "13_worst_states_on_time": worst_states(star),
+        "14_worst_categories_on_time": worst_categories(star),
+        "15_monthly_ontime_vs_reviews": monthly_experience(star),
+    }
