@@ -75,6 +75,7 @@ def revenue_by_buyer(star: Star) -> DataFrame:
 
 def reports(star: Star, min_orders: int = MIN_ORDERS, n: int = TOP_N) -> dict[str, DataFrame]:
     """All exploratory reports by name; written with ``run_corpus`` or ``write_result``, they are a few rows each."""
+    # Names of the stored reports.
     return {
         "01_monthly_revenue": kpis.revenue_by_month(star),
         "02_category_rank_top_bottom": category_extremes(star, n),

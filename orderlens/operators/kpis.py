@@ -233,6 +233,7 @@ def monthly_experience(star: Star) -> DataFrame:
 
 def reports(star: Star) -> dict[str, DataFrame]:
     """All KPI reports by the name they are stored under; run them with ``run_corpus``."""
+    # Names of the stored reports.
     return {
         "01_revenue_by_month": revenue_by_month(star),
         "02_revenue_by_state": revenue_by_state(star),

@@ -5,19 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.operators.routing import ACCEPTANCE
 from orderlens.sources.commerce import table
 
-# A question for every order; {year} is the year it was placed in.
-QUESTIONS = [
-    "What was total revenue?",
-    "Which state has the worst on-time delivery?",
-    "Average review score of late vs on-time orders?",
-    "How do we define on-time delivery?",
-    "What are the three recommendations?",
-    "How does the late-delivery model work and what are its limitations?",
-    "Why are customers unhappy - summarize the main evidence?",
-    "What is our escalation policy for very late orders?",
-    "What was our marketing budget for Q3 {year}?",
+# A question for every order: the acceptance questions, the last one with the year {year} the order was placed in, and a
+# few more.
+QUESTIONS = [question.replace("2019", "{year}") for _, question in ACCEPTANCE] + [
     "How much money did repeat customers spend in {year}?",
     "Explain the top product category of 2017",
     "Combien de colis en {year} ?",
