@@ -148,7 +148,11 @@ def document_offsets(counts: DataFrame, key: str, parts: int | None = None) -> D
 
 def build_corpus(documents: DataFrame, key: str, text: str = "text", fallback_title: str | None = None,
                  parts: int | None = None) -> DataFrame:
-    """All chunks with a corpus-wide ``chunk_id``: 0, 1, 2, ... by document key, then chunk number."""
+    """All chunks with a corpus-wide ``chunk_id``: 0, 1, 2, ... by document key, then chunk number.
+
+    Numbering reads the documents twice and joins on their key. Where any unique key will do, ``(key, chunk_no)`` of
+    ``chunk_documents`` needs neither.
+    """
     chunks = chunk_documents(documents, key, text, fallback_title)
     offsets = document_offsets(chunks.groupBy(key).agg(F.count("*").alias("n")), key, parts)
     return chunks.join(offsets, key).select((F.col("offset") + F.col("chunk_no")).alias("chunk_id"), key, "chunk_no",
