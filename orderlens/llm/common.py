@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +45,36 @@ def rows_of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     order = "row_number() OVER (PARTITION BY __id ORDER BY text NULLS FIRST)"
     return (keyed.join(wanted, "__id", "left_semi").withColumn("__n", F.expr(order)).filter("__n = 1")
             .drop("__id", "__n"))
+
+
+class Memo(dict):
+    """A cache that computes what it lacks and starts anew at ``limit`` entries, so its memory is bounded."""
+
+    def __init__(self, compute: Callable, limit: int):
+        super().__init__()
+        self.compute, self.limit = compute, limit
+
+    def __missing__(self, key):
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[key] = self.compute(key)
+        return value
+
+
+def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The Arrow batches cut into runs of rows with about ``size`` bytes in ``column``; a larger value is a run alone."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
+def int_lists(parts: list[bytes]) -> pa.ListArray:
+    """Little-endian 32-bit integers, one bytes object per row, as an Arrow list column."""
+    ends = np.cumsum([0, *map(len, parts)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(parts), np.int32)))

@@ -4,12 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderlens.llm import exact_dedup
+from orderlens.llm import bpe, exact_dedup, simhash
 from orderlens.llm.common import documents
 
 
+def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = bpe.encode(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"), decoded=True)
+    return tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, folder))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.resolve_duplicates(documents(spark, folder))
 
@@ -22,6 +35,8 @@ FROM d
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
 }
 SQL: dict[str, str] = {
