@@ -17,6 +17,10 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def labels(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/labels.parquet")
+
+
 def whole_texts(docs: DataFrame, *extra: str) -> DataFrame:
     """doc_id, the named extra columns and the whole text, null read as empty; all other columns are left behind."""
     return docs.select("doc_id", *extra, F.coalesce(F.col("text"), F.lit("")).alias("text"))

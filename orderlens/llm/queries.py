@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import bpe, exact_dedup, simhash
-from orderlens.llm.common import documents
+from orderlens.llm import bpe, exact_dedup, html_extract, quality, simhash, token_counts, token_files, toxicity
+from orderlens.llm.common import documents, labels
+from orderlens.session import scratch_path
 
 
 def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,6 +20,26 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
                          F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return toxicity.score(docs, toxicity.fit(docs, labels(spark, folder)))
+
+
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return quality.score(docs, quality.fit(docs, labels(spark, folder)))
+
+
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    text = html_extract.extract(pages, html_extract.fit(pages))
+    return text.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
@@ -27,6 +48,12 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.resolve_duplicates(documents(spark, folder))
 
 
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = scratch_path(spark, "token-files")
+    token_files.write_tokens(documents(spark, folder), files, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.token_index(token_files.read_tokens(spark, files))
+
+
 EXACT_DEDUP_SQL = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
@@ -36,8 +63,13 @@ FROM d
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_toxicity": op2_toxicity,
+    "op3_quality": op3_quality,
+    "op4_html_text": op4_html_text,
+    "op6_token_counts": op6_token_counts,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_token_files": op10_token_files,
 }
 SQL: dict[str, str] = {
     "op8_exact_dedup": EXACT_DEDUP_SQL,
