@@ -19,6 +19,7 @@ import pyarrow as pa  # noqa: E402
 from pyspark.sql import DataFrame  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
+from orderlens.llm.bpe import byte_symbols  # noqa: E402
 from orderlens.llm.common import Memo, int_lists, pieces, whole_texts  # noqa: E402
 
 #: Remembered pieces in each Python worker.
@@ -40,12 +41,23 @@ class ByteEncoder:
         cut = spec["pre_tokenizer"] or {}
         self.plain = (spec["normalizer"] is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
                       and not cut.get("add_prefix_space"))
-        self.known = Memo(self.by_library, PIECES)
+        self.model = self.tool.model
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.token_bytes = [i.to_bytes(4, "little") for i in range(self.tool.get_vocab_size())]
+        self.known = Memo(self.piece, PIECES)
 
     def by_library(self, text: str) -> bytes:
         ids = self.tool.encode(text, add_special_tokens=False).ids
         return b"".join([i.to_bytes(4, "little") for i in ids])
 
+    def piece(self, text: str) -> bytes:
+        """The ids of one piece, from the library's model; it reads bytes as printable symbols."""
+        if text.isascii() and text.isprintable():
+            symbols = text.replace(" ", self.symbols[32])
+        else:
+            symbols = text.encode().decode("latin-1").translate(self.symbols)
+        return b"".join([self.token_bytes[t.id] for t in self.model.tokenize(symbols)])
+
     def encode(self, text: str) -> bytes:
         """The ids of a whole text as little-endian 32-bit integers."""
         if self.plain and not ("<" in text and self.special.search(text)):
