@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import bpe, exact_dedup, html_extract, quality, simhash, token_counts, token_files, toxicity
+from orderlens.llm import bpe, decontam, exact_dedup, html_extract, pii, quality, simhash, token_counts, token_files, toxicity
 from orderlens.llm.common import documents, labels
 from orderlens.session import scratch_path
 
@@ -36,6 +36,10 @@ def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contaminated(documents(spark, folder), decontam.benchmark(spark, folder))
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -48,6 +52,16 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.resolve_duplicates(documents(spark, folder))
 
 
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pii.documents_with_spans(documents(spark, folder))
+    base = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, lambda k: k == F.lit(n))).cast("long").alias(f"n_{kind}")
+              for n, kind in enumerate(pii.KINDS)]
+    return rows.select("doc_id", *counts, F.sha2(pii.span_text(base), 256).alias("base_sha256"),
+                       pii.span_text(F.col("spans")).alias("spans"))
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = scratch_path(spark, "token-files")
     token_files.write_tokens(documents(spark, folder), files, public_tokenizers.path("byte_bpe_50k.json"))
@@ -66,9 +80,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
     "op4_html_text": op4_html_text,
+    "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_pii": op9_pii,
     "op10_token_files": op10_token_files,
 }
 SQL: dict[str, str] = {
