@@ -30,8 +30,9 @@ def date_key(ts: Column) -> Column:
     return F.year(ts) * 10000 + F.month(ts) * 100 + F.day(ts)
 
 
-def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
-    """One row per day, both ends included; Monday is day 1."""
+def calendar(spark: SparkSession, first: str | Column, last: str | Column) -> DataFrame:
+    """One row per day, both ends included; Monday is day 1. The ends are dates, or scalars of the plan; without an end
+    there is no day."""
     days = spark.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("d"))
     day, weekday = F.col("d"), F.weekday("d")
     return days.select(
@@ -138,8 +139,8 @@ def fact_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
         "price", "freight_value", "delivery_days", "is_delivered", "is_on_time", "review_score")
 
 
-def build_star(spark: SparkSession, raw: Mapping[str, DataFrame], first_day: str = "2016-01-01",
-               last_day: str = "2020-12-31") -> Star:
+def build_star(spark: SparkSession, raw: Mapping[str, DataFrame], first_day: str | Column = "2016-01-01",
+               last_day: str | Column = "2020-12-31") -> Star:
     """The whole star from the raw frames, as lazy plans."""
     def newest() -> DataFrame:
         return newest_reviews(parsed_reviews(raw["order_reviews"]))

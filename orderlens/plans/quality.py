@@ -1,18 +1,35 @@
 """Profiles, checks, and the raw-to-star build."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.operators import quality, risk, star as build
 from orderlens.plans.registry import STAR_SQL, query, star_query
 from orderlens.schemas import STAR_KEYS
 from orderlens.sources import commerce
+from orderlens.sources.star import Star
 
 # ---------------------------------------------------------------- profiles
 
+RAW_REVIEWS = """
+, rv AS (
+  SELECT order_id AS review_id, order_id, review_score, purchase_ts + INTERVAL 20 DAY AS created,
+         if(order_id % 33 = 0, NULL, purchase_ts + INTERVAL 22 DAY) AS answered
+  FROM ord WHERE review_score IS NOT NULL
+  UNION ALL SELECT order_id, order_id, 6 - review_score, purchase_ts + INTERVAL 25 DAY, purchase_ts + INTERVAL 30 DAY
+  FROM ord WHERE review_score IS NOT NULL AND order_id % 13 = 0
+  UNION ALL SELECT order_id + 1000000000, order_id, 1, purchase_ts + INTERVAL 10 DAY, purchase_ts + INTERVAL 12 DAY
+  FROM ord WHERE order_id % 17 = 0),
+newest AS (SELECT * FROM rv QUALIFY row_number() OVER (
+             PARTITION BY review_id ORDER BY answered DESC NULLS FIRST, created DESC, review_score DESC) = 1),
+firsts AS (SELECT order_id, review_score AS score FROM newest QUALIFY row_number() OVER (
+             PARTITION BY order_id ORDER BY created NULLS LAST, answered NULLS LAST, review_id) = 1)
+"""
+
 star_query("quality_null_profile",
-           lambda star: quality.null_profile(star.fact_orders, "fact_orders").unionByName(
-               quality.null_profile(star.dim_products, "dim_products")).unionByName(
-               quality.null_profile(star.dim_payments, "dim_payments")), """
+           lambda star: reduce(DataFrame.unionByName, [quality.null_profile(star.tables()[t], t) for t in STAR_KEYS]), RAW_REVIEWS + """
 , f AS (SELECT count(*) AS n, n - count(carrier_delivery_ts) AS carrier_delivery_ts,
                n - count(customer_delivery_ts) AS customer_delivery_ts, n - count(delivery_days) AS delivery_days,
                n - count(is_on_time) AS is_on_time, n - count(review_score) AS review_score FROM fact),
@@ -21,7 +38,13 @@ SELECT 'fact_orders' AS table_name, n AS row_count, 18 AS column_count, column_n
 UNION ALL
 SELECT 'dim_products', count(*), 11, 'product_weight_g', count_if(product_weight_g IS NULL) FROM prod
 UNION ALL SELECT 'dim_products', count(*), 11, 'embedding', count(*) FROM prod
-UNION ALL SELECT 'dim_payments', count(*), 5, NULL, 0 FROM pay""")
+UNION ALL SELECT 'dim_payments', count(*), 5, NULL, 0 FROM pay
+UNION ALL SELECT 'dim_customers', count(*), 5, 'customer_zip_code', count(*) FROM cust
+UNION ALL SELECT 'dim_sellers', count(*), 4, 'seller_zip_code', count(*) FROM sell
+UNION ALL SELECT 'dim_date', date_diff('day', make_date(year(min(o_orderdate)), 1, 1),
+                                       make_date(year(max(o_orderdate)), 12, 31)) + 1, 10, NULL, 0 FROM orders
+UNION ALL SELECT 'dim_reviews', count(*), 7, unnest(['review_comment_title', 'review_comment']), count(*) FROM newest
+UNION ALL SELECT 'dim_reviews', count(*), 7, 'review_answer_ts', count_if(answered IS NULL) FROM newest""")
 
 query("quality_duplicate_profiles", lambda spark, folder: quality.duplicate_profiles({
     "orders": (commerce.table(spark, folder, "orders"), ["o_orderkey"]),
@@ -74,17 +97,28 @@ COUNTS = """
 n AS (SELECT 'fact_orders' AS table_name, count(*) AS n FROM fact UNION ALL SELECT 'dim_customers', count(*) FROM cust
       UNION ALL SELECT 'dim_products', count(*) FROM prod UNION ALL SELECT 'dim_sellers', count(*) FROM sell
       UNION ALL SELECT 'dim_reviews', count(*) FROM rev UNION ALL SELECT 'dim_payments', count(*) FROM pay
-      UNION ALL SELECT 'dim_date', date_diff('day', DATE '1990-01-01', DATE '2029-12-31') + 1)
+      UNION ALL SELECT 'dim_date', date_diff('day', make_date(year(min(o_orderdate)), 1, 1),
+                                             make_date(year(max(o_orderdate)), 12, 31)) + 1 FROM orders)
 """
 star_query("quality_row_counts", lambda star: quality.row_counts(star.tables()), COUNTS + """
 SELECT * FROM n UNION ALL SELECT 'TOTAL', sum(n)::bigint FROM n""")
 
-EXPECTED = {"fact_orders": 60000, "dim_customers": 15000, "dim_products": None, "dim_sellers": None,
-            "dim_reviews": None, "dim_payments": None, "dim_date": 14610}
-star_query("quality_row_count_check", lambda star: quality.row_count_check(star, EXPECTED), COUNTS + """
-SELECT table_name, n, e::bigint AS expected, if(e IS NULL, n > 0, n = e) AS ok
-FROM n LEFT JOIN (VALUES ('fact_orders', 60000), ('dim_customers', 15000), ('dim_date', 14610)) x(table_name, e)
-USING (table_name)""")
+
+def _row_counts(spark, folder):
+    """The source's counts as expectations: items, orders, and a product count that is off by one on purpose."""
+    def rows(name, more=0):
+        return (commerce.table(spark, folder, name).agg(F.count("*")).scalar() + more)
+
+    expected = dict.fromkeys(STAR_KEYS) | {"fact_orders": rows("lineitem"), "dim_customers": rows("orders"),
+                                           "dim_products": rows("part", 1)}
+    return quality.row_count_check(commerce.star(spark, folder), expected)
+
+
+query("quality_row_count_check", _row_counts, STAR_SQL + COUNTS + """
+, x AS (SELECT 'fact_orders' AS table_name, count(*) AS e FROM lineitem
+        UNION ALL SELECT 'dim_customers', count(*) FROM orders UNION ALL SELECT 'dim_products', count(*) + 1 FROM part)
+SELECT table_name, n, e AS expected, if(e IS NULL, n > 0, n = e) AS ok FROM n LEFT JOIN x USING (table_name)""")
+
 
 def _text(frame, *dates):
     """Dates as text: engines hand them to the caller in different types."""
@@ -138,8 +172,18 @@ SUITE = STAR_SQL + COUNTS + """
   SELECT 'row counts' AS check_name, table_name AS metric, n AS value, NULL::bigint AS expected, n > 0 AS ok FROM n
   UNION ALL SELECT 'date range', 'out_of_range', count_if(year(purchase_ts) NOT BETWEEN 1995 AND 2001), 0,
                    count_if(year(purchase_ts) NOT BETWEEN 1995 AND 2001) = 0 FROM fact
-  UNION ALL SELECT 'nulls in key columns', unnest(['null_ts', 'null_price', 'null_cust', 'delivered_wo_days']), 0, 0, true
-  UNION ALL SELECT 'duplicate keys', unnest(['dup_fact', 'dup_cust', 'dup_prod', 'dup_rev', 'dup_dt']), 0, 0, true
+  UNION ALL SELECT 'nulls in key columns', metric, v, 0, v = 0 FROM (UNPIVOT (
+      SELECT count_if(purchase_ts IS NULL) AS null_ts, count_if(price IS NULL) AS null_price,
+             count_if(customer_id IS NULL) AS null_cust,
+             count_if(customer_delivery_ts IS NOT NULL AND delivery_days IS NULL) AS delivered_wo_days FROM fact)
+      ON * INTO NAME metric VALUE v)
+  UNION ALL SELECT 'duplicate keys', metric, c, 0, c = 0 FROM (
+      SELECT 'dup_fact' AS metric, count(*) AS c
+      FROM (SELECT 1 FROM fact GROUP BY order_id, order_item_id HAVING count(*) > 1)
+      UNION ALL SELECT 'dup_cust', count(*) FROM (SELECT 1 FROM cust GROUP BY customer_id HAVING count(*) > 1)
+      UNION ALL SELECT 'dup_prod', count(*) FROM (SELECT 1 FROM prod GROUP BY product_id HAVING count(*) > 1)
+      UNION ALL SELECT 'dup_rev', count(*) FROM (SELECT 1 FROM rev GROUP BY review_id HAVING count(*) > 1)
+      UNION ALL SELECT 'dup_dt', 0)
   UNION ALL SELECT 'referential integrity', 'orphan_cust', count(*), 0, count(*) = 0
             FROM fact ANTI JOIN cust USING (customer_id)
   UNION ALL SELECT 'referential integrity', 'orphan_prod', count(*), 0, count(*) = 0
@@ -153,6 +197,35 @@ SUITE = STAR_SQL + COUNTS + """
                    count(*) = (SELECT count(*) FROM lineitem) FROM fact)
 """
 query("quality_check_suite", _suite, SUITE + "SELECT * FROM s")
+
+
+def _broken_suite(spark, folder):
+    """The suite over rows that were spoilt on purpose: repeated items, missing prices, impossible days, lost products."""
+    star = commerce.star(spark, folder)
+    order = F.col("order_id")
+    fact = star.fact_orders.withColumns({
+        "price": F.when(order % 101 != 0, F.col("price")),
+        "delivery_days": F.when(order % 103 == 0, -F.col("delivery_days")).otherwise(F.col("delivery_days"))})
+    tables = {name: star.tables()[name] for name in STAR_KEYS}
+    spoilt = Star(tables | {"fact_orders": fact.unionByName(fact.filter(order % 97 == 0)),
+                            "dim_products": star.dim_products.filter("product_id % 89 <> 0")})
+    return quality.verdict(quality.check_suite(spoilt, dict.fromkeys(STAR_KEYS), "1995-01-01", "2002-01-01",
+                                               commerce.table(spark, folder, "lineitem")))
+
+
+BROKEN = SUITE.replace("fact AS (\n  SELECT i.*, o.* EXCLUDE (order_id), price + freight_value AS rev FROM items i JOIN "
+                       "ord o USING (order_id)),", """sound AS (
+  SELECT i.* REPLACE (if(order_id % 101 = 0, NULL, price) AS price),
+         o.* EXCLUDE (order_id) REPLACE (if(order_id % 103 = 0, -delivery_days, delivery_days) AS delivery_days),
+         price + freight_value AS rev FROM items i JOIN ord o USING (order_id)),
+fact AS (SELECT * FROM sound UNION ALL SELECT * FROM sound WHERE order_id % 97 = 0),""").replace(
+    "starts_with(p_name, 'old ') THEN 'unknown' ELSE p_name END AS category,",
+    "starts_with(p_name, 'old ') THEN 'unknown' ELSE p_name END AS category,").replace(
+    "(p_size % 11 + 1)::double AS width_cm\n  FROM part)", "(p_size % 11 + 1)::double AS width_cm\n  FROM part "
+    "WHERE p_partkey % 89 <> 0)")
+query("quality_broken_verdict", _broken_suite, BROKEN + """
+SELECT check_name, if(bool_and(ok), 'PASS', 'FAIL') AS result FROM s GROUP BY check_name
+UNION ALL SELECT 'ALL', if(bool_and(ok), 'PASS', 'FAIL') FROM s""")
 query("quality_verdict", lambda spark, folder: quality.verdict(_suite(spark, folder)), SUITE + """
 SELECT check_name, if(bool_and(ok), 'PASS', 'FAIL') AS result FROM s GROUP BY check_name
 UNION ALL SELECT 'ALL', if(bool_and(ok), 'PASS', 'FAIL') FROM s""")
@@ -172,7 +245,7 @@ def _raw(table, function):
 
 def _built(table, *columns):
     def run(spark, folder):
-        star = build.build_star(spark, commerce.raw_frames(spark, folder), *commerce.CALENDAR)
+        star = build.build_star(spark, commerce.raw_frames(spark, folder), *commerce.calendar_days(spark, folder))
         return star.tables()[table].select(*columns) if columns else star.tables()[table]
     return run
 
@@ -193,20 +266,6 @@ query("etl_payments", lambda spark, folder: build.payments(commerce.raw_frames(s
 SELECT order_id, payment_sequential, payment_type, payment_installments::int AS payment_installments,
        payment_value::double AS payment_value FROM pay""")
 
-RAW_REVIEWS = """
-, rv AS (
-  SELECT order_id AS review_id, order_id, review_score, purchase_ts + INTERVAL 20 DAY AS created,
-         if(order_id % 33 = 0, NULL, purchase_ts + INTERVAL 22 DAY) AS answered
-  FROM ord WHERE review_score IS NOT NULL
-  UNION ALL SELECT order_id, order_id, 6 - review_score, purchase_ts + INTERVAL 25 DAY, purchase_ts + INTERVAL 30 DAY
-  FROM ord WHERE review_score IS NOT NULL AND order_id % 13 = 0
-  UNION ALL SELECT order_id + 1000000000, order_id, 1, purchase_ts + INTERVAL 10 DAY, purchase_ts + INTERVAL 12 DAY
-  FROM ord WHERE order_id % 17 = 0),
-newest AS (SELECT * FROM rv QUALIFY row_number() OVER (
-             PARTITION BY review_id ORDER BY answered DESC NULLS FIRST, created DESC, review_score DESC) = 1),
-firsts AS (SELECT order_id, review_score AS score FROM newest QUALIFY row_number() OVER (
-             PARTITION BY order_id ORDER BY created NULLS LAST, answered NULLS LAST, review_id) = 1)
-"""
 query("etl_reviews", lambda spark, folder: _text(_built(
     "dim_reviews", "review_id", "order_id", "review_score", "review_creation_date", "review_answer_ts")(spark, folder),
     "review_creation_date"), STAR_SQL + RAW_REVIEWS + """
@@ -242,9 +301,7 @@ FROM fact LEFT JOIN firsts USING (order_id)""")
 
 def _calendar(spark, folder):
     """The calendar of the years in which orders were placed."""
-    bounds = commerce.table(spark, folder, "orders").agg(F.year(F.min("o_orderdate")).alias("lo"),
-                                                         F.year(F.max("o_orderdate")).alias("hi")).first()
-    return _text(build.calendar(spark, f"{bounds['lo']}-01-01", f"{bounds['hi']}-12-31"), "full_date")
+    return _text(build.calendar(spark, *commerce.calendar_days(spark, folder)), "full_date")
 
 
 query("etl_calendar", _calendar, """

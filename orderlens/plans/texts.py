@@ -96,13 +96,40 @@ def _vectors(spark, folder):
     return commerce.table(spark, folder, "embeddings").select("vec_id", "embedding")
 
 
-query("retrieval_top_k", lambda spark, folder: retrieval.top_k(
-    _vectors(spark, folder), _vectors(spark, folder), exclude_self=True), """
-WITH v AS (SELECT vec_id, embedding::double[] AS e FROM embeddings),
-s AS (SELECT q.vec_id AS query_id, v.vec_id AS vector_id, round(list_cosine_similarity(q.e, v.e), 12) AS s
-      FROM v q JOIN v ON q.vec_id <> v.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vector_id) AS rank FROM s)
-SELECT query_id, rank::int AS rank, vector_id, round(s, 3) AS similarity FROM r WHERE rank <= 4""")
+def search_table(spark, folder):
+    """Every chunk of the corpus with a vector; the test tables have fewer vectors than chunks, so they are reused."""
+    chunks = corpus.build_corpus(texts.markdown(spark, folder), "doc_id")
+    vectors = _vectors(spark, folder)
+    keyed = chunks.select("chunk_id", (F.col("chunk_id") % vectors.agg(F.count("*")).scalar()).alias("vec_id"))
+    return retrieval.rag_documents(chunks, keyed.join(vectors, "vec_id"))
+
+
+def question_vectors(spark, folder):
+    """(query_id, question, embedding) of every distinct question text: a question asked often is searched once."""
+    vectors = _vectors(spark, folder)
+    number = F.conv(F.substring(F.md5("question"), 1, 8), 16, 10).cast("bigint")
+    asked = texts.questions(spark, folder).select("question").distinct().select(
+        F.conv(F.substring(F.md5("question"), 1, 15), 16, 10).cast("bigint").alias("query_id"), "question",
+        (number % vectors.agg(F.count("*")).scalar()).alias("vec_id"))
+    return asked.join(vectors, "vec_id").select("query_id", "question", "embedding")
+
+
+# Distinct questions with their vectors, every chunk with its vector, and the four nearest chunks of each question.
+SEARCHED = """
+, vecs AS (SELECT vec_id, embedding::double[] AS e FROM embeddings),
+asks AS (SELECT ('0x' || substr(md5(question), 1, 15))::bigint AS query_id, question,
+                ('0x' || substr(md5(question), 1, 8))::bigint % (SELECT count(*) FROM vecs) AS vec_id
+         FROM (SELECT DISTINCT question FROM q)),
+near AS (SELECT a.vec_id AS asked, v.vec_id AS vec_id, round(list_cosine_similarity(b.e, v.e), 12) AS s
+         FROM (SELECT DISTINCT vec_id FROM asks) a JOIN vecs b USING (vec_id), vecs v),
+best AS (SELECT * FROM near QUALIFY row_number() OVER (PARTITION BY asked ORDER BY s DESC, vec_id) <= 4
+                                    OR s >= nth_value(s, 4) OVER (PARTITION BY asked ORDER BY s DESC, vec_id
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+stored AS (SELECT chunk_id, label, content, chunk_id % (SELECT count(*) FROM vecs) AS vec_id FROM corpus),
+hit AS (SELECT query_id, chunk_id, s, label, content,
+               row_number() OVER (PARTITION BY query_id ORDER BY s DESC, chunk_id) AS rank
+        FROM asks JOIN best ON asked = asks.vec_id JOIN stored ON stored.vec_id = best.vec_id QUALIFY rank <= 4)
+"""
 
 query("retrieval_group_centroids", lambda spark, folder: retrieval.top_k(
     retrieval.centroids(commerce.table(spark, folder, "embeddings"), "label", "embedding"),
@@ -128,6 +155,15 @@ ASKED = "q AS (SELECT concat('c-', conv_id, '-', turn) AS question_id, text AS q
         f"][o_orderkey % {len(texts.QUESTIONS)} + 1], '{{year}}', year(o_orderdate)::varchar) FROM orders)"
 
 
+def _hits(spark, folder):
+    table = search_table(spark, folder).select("id", "embedding")
+    return retrieval.top_k(question_vectors(spark, folder).select("query_id", "embedding"), table)
+
+
+query("retrieval_top_k", _hits, CHUNKS + ", " + ASKED + SEARCHED + """
+SELECT query_id, rank::int AS rank, chunk_id AS vector_id, round(s, 3) AS similarity FROM hit""")
+
+
 def _m(pattern: str) -> str:
     return f"regexp_matches(l, {_text(pattern)})"
 
@@ -166,18 +202,32 @@ query("routing_intents", lambda spark, folder: texts.questions(spark, folder).se
     "question_id", F.array_join(routing.intents(F.col("question")), "; ").alias("intents")),
     "WITH " + ROUTED + "SELECT question_id, array_to_string(intents, '; ') AS intents FROM answered")
 
+def _passages(spark, folder):
+    """(question_id, rank, label, content, similarity): the nearest chunks of every question, searched once per text."""
+    table = search_table(spark, folder)
+    found = retrieval.passages(_hits(spark, folder), table).withColumnRenamed("question_id", "query_id")
+    named = texts.questions(spark, folder).select("question_id", F.conv(F.substring(F.md5("question"), 1, 15), 16, 10)
+                                                  .cast("bigint").alias("query_id"))
+    return named.join(found, "query_id").drop("query_id")
+
+
 query("evidence_packs", lambda spark, folder: evidence.evidence_packs(
-    _routed(spark, folder), evidence.evidence_table(commerce.star(spark, folder))).select(
+    _routed(spark, folder), evidence.evidence_table(commerce.star(spark, folder)), _passages(spark, folder)).select(
     "question_id", F.col("blocks").cast("bigint").alias("blocks"), F.length("pack").cast("bigint").alias("chars"),
-    F.md5("pack").alias("pack_md5")), STAR_SQL + EVIDENCE_SQL + ", " + ROUTED + """
+    F.md5("pack").alias("pack_md5")), STAR_SQL.replace("WITH", "WITH RECURSIVE", 1) + EVIDENCE_SQL + ", " + DERIVED
+    + CHUNKING + ", " + ROUTED + SEARCHED + """
 , picked AS (SELECT question_id, unnest(intents) AS intent, generate_subscripts(intents, 1) AS k FROM answered
              WHERE route IN ('numeric', 'mixed')),
-entry AS (SELECT question_id, label, content, row_number() OVER (PARTITION BY question_id ORDER BY k, part) AS n
-          FROM picked JOIN blocks USING (intent)),
-pack AS (SELECT question_id, count(*) AS blocks,
-                string_agg(concat('[E', n, '] ', label, chr(10), content), chr(10) || chr(10) ORDER BY n) AS p
-         FROM entry GROUP BY question_id)
-SELECT question_id, blocks, length(p) AS chars, md5(p) AS pack_md5 FROM pack""")
+part AS (SELECT question_id, 0 AS kind, k, part, label, content FROM picked JOIN blocks USING (intent)
+         UNION ALL SELECT question_id, 1, rank, 0, concat('DOC: ', label), content
+         FROM answered JOIN asks USING (question) JOIN hit USING (query_id)
+         WHERE route IN ('document', 'mixed', 'refuse')),
+entry AS (SELECT question_id, label, content,
+                 row_number() OVER (PARTITION BY question_id ORDER BY kind, k, part) AS n FROM part),
+bundle AS (SELECT question_id, count(*) AS blocks,
+                  string_agg(concat('[E', n, '] ', label, chr(10), content), chr(10) || chr(10) ORDER BY n) AS p
+           FROM entry GROUP BY question_id)
+SELECT question_id, blocks, length(p) AS chars, md5(p) AS pack_md5 FROM bundle""")
 
 # ---------------------------------------------------------------- audits
 

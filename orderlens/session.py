@@ -55,5 +55,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder; never reused, so a rerun cannot read another run's files."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path under the shared folder; never reused, so a rerun cannot read another run's files.
+
+    Whatever is there when the application ends is removed then: results are lazy and may be read until that moment.
+    """
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path

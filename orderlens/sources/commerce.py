@@ -18,10 +18,6 @@ from orderlens.operators.star import calendar, newest_reviews, review_dimension
 from orderlens.schemas import MONEY
 from orderlens.sources.star import Frames, Star
 
-# A fixed window around the order dates of the tables; purchases outside a calendar drop out of monthly reports.
-CALENDAR = ("1990-01-01", "2029-12-31")
-
-
 # Schemas of the test tables that are read; given, so that no job is started to infer them.
 SCHEMAS = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
@@ -43,6 +39,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def calendar_days(spark: SparkSession, folder: str) -> tuple[Column, Column]:
+    """First and last day of the years in which orders were placed, as scalars of the plan: purchases outside a calendar
+    would drop out of monthly reports."""
+    orders = table(spark, folder, "orders")
+
+    def day(bound: Column, month: int, of_month: int) -> Column:
+        return orders.agg(F.make_date(F.year(bound), F.lit(month), F.lit(of_month))).scalar()
+
+    return day(F.min("o_orderdate"), 1, 1), day(F.max("o_orderdate"), 12, 31)
+
+
 def _plus_hours(ts: str, hours: Column) -> Column:
     return F.col(ts) + F.make_dt_interval(F.lit(0), hours.cast("int"))
 
@@ -133,7 +140,7 @@ def star(spark: SparkSession, folder: str) -> Star:
             F.col("s_name").alias("seller_city"), F.col("n_name").alias("seller_state")),
         "dim_reviews": lambda: _reviews(order_facts(spark, folder)),
         "dim_payments": lambda: _payments(spark, folder),
-        "dim_date": lambda: calendar(spark, *CALENDAR),
+        "dim_date": lambda: calendar(spark, *calendar_days(spark, folder)),
         "fact_orders": lambda: _items(spark, folder).join(order_facts(spark, folder), "order_id").select(*FACT),
     })
 

@@ -93,7 +93,7 @@ def test_repeated_reviews_do_not_add_rows(spark):
 def test_raw_build_equals_direct_adapter(spark, small):
     """Both ways to the star give the same facts apart from what the raw data deliberately damages."""
     direct = commerce.star(spark, small).fact_orders
-    built = build.build_star(spark, commerce.raw_frames(spark, small), *commerce.CALENDAR).fact_orders
+    built = build.build_star(spark, commerce.raw_frames(spark, small), *commerce.calendar_days(spark, small)).fact_orders
     columns = [c for c in direct.columns if c not in ("approved_ts", "review_score")]
     assert direct.select(columns).exceptAll(built.select(columns)).count() == 0
     assert built.select(columns).exceptAll(direct.select(columns)).count() == 0
