@@ -23,7 +23,7 @@ from orderlens.llm.bpe import byte_symbols  # noqa: E402
 from orderlens.llm.common import Memo, int_lists, pieces, whole_texts  # noqa: E402
 
 #: Remembered pieces in each Python worker.
-PIECES = 600_000
+PIECES = 1_000_000
 #: The piece pattern of byte-level vocabularies for Latin-1 text: letters, digits, contractions, symbols, white space.
 _SPACE, _LETTER, _DIGIT = r"\t-\r \x85\xa0", "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾"
 LATIN_PIECES = re.compile(f" ?[{_LETTER}]+| ?[{_DIGIT}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^{_SPACE}{_LETTER}{_DIGIT}]+|"

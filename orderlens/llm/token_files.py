@@ -20,18 +20,20 @@ from orderlens.llm.byte_tokens import with_end
 from orderlens.llm.common import stored, whole_texts
 
 #: Writer settings: bytes of a stripe, rows of an index entry, Bloom filter on the document ids.
-ORC = {"compression": "zstd", "orc.stripe.size": str(16 << 20), "orc.create.index": "true",
+ORC = {"compression": "none", "orc.stripe.size": str(16 << 20), "orc.create.index": "true",
        "orc.row.index.stride": "2000", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
 
 
 def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int = 0) -> None:
     """Encodes every row's whole text, appends ``end_id`` and writes doc_id, first, ids in ascending doc_id.
 
-    Null text counts as empty and yields the end id alone. Null doc_ids come first; rows with one doc_id are in the order
-    of their texts. Other columns are ignored. An empty table gives a folder without rows. path: a byte-level tokenizer
+    Null text counts as empty and yields the end id alone. Null doc_ids come first; rows with one doc_id are in a
+    fixed order that depends on their texts. Other columns are ignored. An empty table gives a folder without rows. path: a byte-level tokenizer
     file that every executor can read.
     """
-    ordered = whole_texts(docs).repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # The hash spreads rows that share a doc_id; the texts themselves would travel to the driver as range samples.
+    texts = whole_texts(docs).withColumn("h", F.xxhash64("text"))
+    ordered = texts.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
     with_end(ordered, path, end_id).write.options(**ORC).orc(folder)
 
 
