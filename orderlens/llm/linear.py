@@ -19,8 +19,8 @@ class Sparse:
     """A sparse matrix by rows: values at ``columns``, rows from first[r] to first[r + 1]."""
 
     def __init__(self, first: np.ndarray, columns: np.ndarray, values: np.ndarray):
-        self.first, self.columns, self.values = first.astype(np.int64), columns.astype(np.int64), values
-        self.row = np.repeat(np.arange(len(first) - 1), np.diff(self.first))
+        self.first, self.columns, self.values = first.astype(np.int64), columns.astype(np.int32), values
+        self.row = np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(self.first))
 
     def __len__(self) -> int:
         return len(self.first) - 1
@@ -37,6 +37,12 @@ class Sparse:
         sizes = np.diff(self.first)[wanted]
         return Sparse(np.concatenate(([0], np.cumsum(sizes))), self.columns[keep], self.values[keep])
 
+    def without(self, dropped: np.ndarray) -> Sparse:
+        """All rows, less the entries in columns that are ``dropped``."""
+        keep = ~dropped[self.columns]
+        sizes = np.bincount(self.row[keep], minlength=len(self))
+        return Sparse(np.concatenate(([0], np.cumsum(sizes))), self.columns[keep], self.values[keep])
+
 
 #: Features of a text column: one row per text.
 Featurizer = Callable[[pa.Array], Sparse]
@@ -45,17 +51,22 @@ Featurizer = Callable[[pa.Array], Sparse]
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, allowed: Column | None = None) -> DataFrame:
     """doc_id, label, text of at most ``rows`` labelled documents, those with the smallest hash of doc_id.
 
-    A null label is none; of several labels of one doc_id the smallest counts. Only the bounded sample is broadcast.
+    A null label is none; of several labels of one doc_id the smallest counts, of several texts the first in order. Only
+    the bounded sample is broadcast, and only its rows are shuffled.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).dropna()
     known = known.filter(allowed) if allowed is not None else known
     chosen = (known.groupBy("doc_id").agg(F.min("label").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    return whole_texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text").limit(rows)
+    sample = whole_texts(docs).join(F.broadcast(chosen), "doc_id")
+    return sample.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def collect_features(sample: DataFrame, features: Featurizer) -> tuple[np.ndarray, np.ndarray, Sparse]:
-    """doc_ids, labels and features of a bounded sample, made in the tasks and in ascending order of doc_id."""
+    """doc_ids, labels and features of a bounded sample, made in the tasks and in ascending order of doc_id.
+
+    The driver holds about nine bytes a feature: tens of MB for the largest sample.
+    """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             made = features(batch.column("text"))
@@ -71,7 +82,7 @@ def collect_features(sample: DataFrame, features: Featurizer) -> tuple[np.ndarra
     sizes = table.column("columns").combine_chunks().value_lengths().to_numpy() if len(table) else np.zeros(0, int)
     flat = [np.asarray(pa.compute.list_flatten(table.column(c)).combine_chunks()) for c in ("columns", "weights")]
     return (table.column("doc_id").to_numpy(), table.column("label").to_numpy(),
-            Sparse(np.concatenate(([0], np.cumsum(sizes))), flat[0], flat[1].astype(np.float64)))
+            Sparse(np.concatenate(([0], np.cumsum(sizes))), flat[0], flat[1]))
 
 
 def fold(ids: np.ndarray, folds: int = 4) -> np.ndarray:

@@ -79,9 +79,8 @@ def fit_ordinal(rows: Sparse, grade: np.ndarray, penalty: float = PENALTY, steps
     known = telling(rows, grade > 0)
     length = np.sqrt(np.bincount(rows.columns, rows.values ** 2, WIDTH))
     scale = np.where(known, 1 / np.maximum(length, 1e-12), 0.0) * np.sqrt(len(rows))
-    kept = known[rows.columns]
-    x = Sparse(np.concatenate(([0], np.cumsum(np.bincount(rows.row[kept], minlength=len(rows))))), rows.columns[kept],
-               (rows.values * scale[rows.columns])[kept])
+    x = rows.without(~known)
+    x.values = x.values * scale[x.columns]
     share = [(np.sum(grade >= j) + 0.5) / (len(grade) + 1) for j in range(1, GRADES + 1)]
     thresholds = np.log([(1 - s) / s for s in share])
     thresholds = np.maximum.accumulate(thresholds + np.arange(GRADES) * 1e-3)
@@ -125,6 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """The model of at most ``rows`` labelled documents (bounded sample, see labelled_sample). One fold of four sets the
     cut. With no labelled toxic document nothing is toxic."""
     ids, label, x = collect_features(labelled_sample(docs, labels, "toxic", rows), features)
+    x = x.without(np.bincount(x.columns, minlength=WIDTH) < RARE)  # most features; they could not be learned anyway
     toxic = label == 1
     if not toxic.any() or toxic.all():
         return Model(np.zeros(WIDTH), np.arange(GRADES) + 20.0, float(GRADES))
