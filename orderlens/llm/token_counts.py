@@ -14,7 +14,7 @@ from orderlens.llm.byte_tokens import counts
 from orderlens.llm.common import stored
 
 #: Lengths in one bucket of the two-level sums.
-BUCKET = 4096
+BUCKET = 256
 
 
 def histogram(lengths: DataFrame) -> DataFrame:
@@ -41,13 +41,12 @@ def suffix_sums(counted: DataFrame, bucket: int = BUCKET) -> DataFrame:
               .withColumn("longer_documents", F.col("later_documents")
                           + F.coalesce(F.sum("documents").over(inside), F.lit(0)))
               .withColumn("longer_tokens", F.col("later_tokens") + F.coalesce(F.sum(tokens).over(inside), F.lit(0))))
-    whole = counted.agg(F.sum(tokens).alias("total_tokens"), F.sum("documents").alias("all_documents"))
-    return (longer.join(F.broadcast(whole))  # one row
-            .select("n_tokens", "documents", "longer_documents", "longer_tokens", "total_tokens",
-                    (F.col("total_tokens") - F.col("longer_tokens")
-                     + F.col("n_tokens") * F.col("longer_documents")).alias("truncated_tokens"),
-                    ((F.col("all_documents") - F.col("longer_documents")) / F.col("all_documents"))
-                    .alias("share_within")))
+    whole = counted.agg(F.struct(F.sum(tokens).alias("tokens"), F.sum("documents").alias("documents"))).scalar()
+    return longer.select("n_tokens", "documents", "longer_documents", "longer_tokens",
+                         whole["tokens"].alias("total_tokens"),
+                         (whole["tokens"] - F.col("longer_tokens") + F.col("n_tokens") * F.col("longer_documents"))
+                         .alias("truncated_tokens"),
+                         ((whole["documents"] - F.col("longer_documents")) / whole["documents"]).alias("share_within"))
 
 
 def quantile(sums: DataFrame, share: float) -> DataFrame:
