@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from orderlens.llm.common import pieces, whole_texts
 
 #: Labelled rows a classifier learns from at most; a parameter of both.
-SAMPLE_ROWS = 8192
+SAMPLE_ROWS = 6144
 
 
 class Sparse:
@@ -26,10 +26,10 @@ class Sparse:
         return len(self.first) - 1
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, self.values * weights[self.columns], len(self))
+        return np.bincount(self.row, self.values * weights[self.columns], len(self)).astype(float)
 
     def back(self, rows: np.ndarray, width: int) -> np.ndarray:
-        return np.bincount(self.columns, self.values * rows[self.row], width)
+        return np.bincount(self.columns, self.values * rows[self.row], width).astype(float)
 
     def only(self, wanted: np.ndarray) -> Sparse:
         """The rows where ``wanted``."""
@@ -78,11 +78,16 @@ def collect_features(sample: DataFrame, features: Featurizer) -> tuple[np.ndarra
 
     kind = sample.schema["doc_id"].dataType.simpleString()
     table = sample.mapInArrow(run, f"doc_id {kind}, label int, columns array<int>, weights array<float>").toArrow()
-    table = table.sort_by("doc_id")
-    sizes = table.column("columns").combine_chunks().value_lengths().to_numpy() if len(table) else np.zeros(0, int)
-    flat = [np.asarray(pa.compute.list_flatten(table.column(c)).combine_chunks()) for c in ("columns", "weights")]
-    return (table.column("doc_id").to_numpy(), table.column("label").to_numpy(),
-            Sparse(np.concatenate(([0], np.cumsum(sizes))), flat[0], flat[1]))
+    ids, label = (table.column(c).to_numpy() for c in ("doc_id", "label"))
+    sizes = np.concatenate([c.value_lengths().to_numpy() for c in table.column("columns").chunks] or [np.zeros(0, int)])
+    order, starts = np.argsort(ids, kind="stable"), np.cumsum(sizes) - sizes
+    place = np.repeat(starts[order] - (np.cumsum(sizes[order]) - sizes[order]), sizes[order]) + np.arange(sizes.sum())
+    flat = []
+    for name, kind in (("columns", np.int32), ("weights", np.float32)):
+        parts = [c.flatten().to_numpy() for c in table.column(name).chunks]
+        table = table.drop_columns(name)  # each column is let go before the next is copied
+        flat.append(np.concatenate(parts or [np.zeros(0, kind)])[place])
+    return ids[order], label[order], Sparse(np.concatenate(([0], np.cumsum(sizes[order]))), *flat)
 
 
 def fold(ids: np.ndarray, folds: int = 4) -> np.ndarray:
