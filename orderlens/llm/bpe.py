@@ -11,22 +11,22 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from orderlens.llm.common import Memo, int_lists, pieces, whole_texts
 
 #: Bounds of the caches in each Python worker.
-WORDS, PAIRS = 600_000, 1_000_000
+WORDS, PAIRS = 400_000, 500_000
 NEVER = 1 << 62
-#: The word pattern of the vocabulary, and the same for lower-case Latin-1 text in the faster standard library.
+#: The word pattern of the vocabulary, and the same for lower-case Latin-1 text. Other texts are normalised and cut into
+#: words by the tokenizer file's own rules, since libraries differ in the Unicode version their letters are from.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LATIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|"
                          "[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
@@ -51,10 +51,10 @@ class Encoder:
         self.ids: dict[str, int] = {self._symbols(t): i for t, i in model["vocab"].items()}
         names = {i: t for t, i in model["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.find_words = regex.compile(pattern).findall
-        self.find_latin = LATIN_WORDS.findall if pattern == WORD_PATTERN else self.find_words
+        self.special_pattern = re.compile("(" + ("|".join(map(re.escape, self.special)) or "(?!)") + ")")
+        self.simple = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] == WORD_PATTERN
+        rules = Tokenizer.from_str(json.dumps(spec))
+        self.normalise, self.cut = rules.normalizer.normalize_str, rules.pre_tokenizer.pre_tokenize_str
         self.token_bytes = {i: i.to_bytes(4, "little") for i in [*self.ids.values(), *self.special.values()]}
         self.size = {i: len(s) for s, i in self.ids.items()}
         self._merge_tables(model["merges"])
@@ -67,6 +67,7 @@ class Encoder:
                                  if self.ids.get(s[:n]) in self.valid), -1) for s, i in self.ids.items()}
         self.pairs = Memo(lambda pair: not self._joins(*pair, NEVER), PAIRS)
         self.words = Memo(self.encode_word, WORDS)
+        self.others = Memo(self.encode_symbols, WORDS // 4)
         table = [names.get(i, "").encode() + b" " for i in range(max(names) + 1)]
         self.table = np.frombuffer(b"".join(table), np.uint8)
         self.offsets = np.cumsum([0, *map(len, table)])
@@ -122,6 +123,10 @@ class Encoder:
         else:
             data = word.encode()
             text = "".join([symbols[b] for b in data[:-1]]) + chr(0xE000 + ord(symbols[data[-1]]))
+        return self.encode_symbols(text)
+
+    def encode_symbols(self, text: str) -> bytes:
+        """The same for a word given as symbols."""
         whole = self.ids.get(text)
         if whole in self.valid:
             return self.token_bytes[whole]
@@ -152,12 +157,13 @@ class Encoder:
         if "<" in text and self.special_pattern.search(text):
             return b"".join(self.token_bytes[self.special[p]] if p in self.special else self.encode(p)
                             for p in self.special_pattern.split(text))
-        try:
-            text.encode("latin-1")
-            found = self.find_latin(text.lower())
-        except UnicodeEncodeError:  # lower() alone would turn some sigmas into final ones
-            found = self.find_words(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
-        return b"".join(map(self.words.__getitem__, found))
+        if self.simple:
+            try:
+                text.encode("latin-1")
+                return b"".join(map(self.words.__getitem__, LATIN_WORDS.findall(text.lower())))
+            except UnicodeEncodeError:
+                pass
+        return b"".join([self.others[w[:-1] + chr(0xE000 + ord(w[-1]))] for w, _ in self.cut(self.normalise(text))])
 
     def decode(self, ids: pa.ListArray) -> pa.StringArray:
         """Tokens as written in the file, joined by a space: slices of one buffer, placed by the offset table."""
