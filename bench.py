@@ -26,6 +26,7 @@ HEADLINE = [
     "kpi_monthly_experience", "explore_category_extremes", "explore_findings", "evidence_states_worst_first",
     "report_item_view", "report_kpi_cards", "report_buyer_types", "quality_check_suite", "etl_fact_orders",
     "etl_reviews", "risk_features", "corpus_chunks", "retrieval_top_k", "routing_route", "audit_acceptance",
+    "risk_split", "risk_logistic_mean", "files_warehouse_load", "corpus_build", "evidence_packs",
 ]
 
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.session import shared_folder
+from orderlens.functions.arrays import let
+from orderlens.session import scratch_path
 
 # Chunk size, the length up to which a chunk is left whole (10% more), and the length of a fragment.
 MAX_CHARS, WHOLE, FRAGMENT = 500, 550, 80
@@ -118,26 +119,32 @@ def chunk_documents(documents: DataFrame, key: str, text: str = "text", fallback
     fallback = F.col(fallback_title) if fallback_title else F.col(key).cast("string")
     parsed = documents.select(F.col(key), document_title(body, fallback).alias("title"),
                               section_heads(body).alias("heads"), _packed(body).alias("packed"))
-    chunks = parsed.select(key, "title", "heads", F.posexplode(_without_fragments(_cut(F.col("packed"))))
-                           .alias("chunk_no", "chunk"))
-    section = section_at(F.col("heads"), F.col("chunk.start"))
-    titled = chunks.select(key, "chunk_no", "title", section.alias("section"), F.col("chunk.body").alias("content"))
+    # The section is looked up before the chunks become rows, so the heads of a document are not copied to each.
+    both = F.struct(F.col("heads").alias("heads"), _without_fragments(_cut(F.col("packed"))).alias("chunks"))
+    named = let(both, lambda b: F.transform(b["chunks"], lambda c: F.struct(
+        section_at(b["heads"], c["start"]).alias("section"), c["body"].alias("content"))))
+    titled = parsed.select(key, "title", F.posexplode(named).alias("chunk_no", "c")).select(
+        key, "chunk_no", "title", "c.section", "c.content")
     label = F.when(F.col("section") == "", F.col("title")).otherwise(F.concat_ws(" › ", "title", "section"))
     return titled.select(key, "chunk_no", "title", "section", label.alias("label"), "content")
 
 
+def _written(frame: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def document_offsets(counts: DataFrame, key: str, parts: int | None = None) -> DataFrame:
     """For (key, n): the number of chunks in all documents before each, in key order.
 
     A running sum over all documents without one task seeing them all: documents are placed in key ranges, the ranges
-    are fixed by a checkpoint in the shared folder, sums run inside each range and over the few range totals. There are
+    are fixed by a small table in the shared folder, sums run inside each range and over the few range totals. There are
     as many ranges as shuffle partitions unless told otherwise.
     """
     spark = counts.sparkSession
-    shared_folder(spark)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (counts.repartitionByRange(parts, key).withColumn("_range", F.spark_partition_id())
-              .checkpoint(eager=True))
+    ranged = _written(counts.repartitionByRange(parts, key).withColumn("_range", F.spark_partition_id()), "ranges")
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = (ranged.groupBy("_range").agg(F.sum("n").alias("_n"))  # one row per range
               .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")))
@@ -150,10 +157,10 @@ def build_corpus(documents: DataFrame, key: str, text: str = "text", fallback_ti
                  parts: int | None = None) -> DataFrame:
     """All chunks with a corpus-wide ``chunk_id``: 0, 1, 2, ... by document key, then chunk number.
 
-    Numbering reads the documents twice and joins on their key. Where any unique key will do, ``(key, chunk_no)`` of
-    ``chunk_documents`` needs neither.
+    The documents are read and cut once: the chunks are written to the shared folder, and counts and numbers come from
+    there. Where any unique key will do, ``(key, chunk_no)`` of ``chunk_documents`` needs no second step.
     """
-    chunks = chunk_documents(documents, key, text, fallback_title)
+    chunks = _written(chunk_documents(documents, key, text, fallback_title), "chunks")
     offsets = document_offsets(chunks.groupBy(key).agg(F.count("*").alias("n")), key, parts)
     return chunks.join(offsets, key).select((F.col("offset") + F.col("chunk_no")).alias("chunk_id"), key, "chunk_no",
                                             "title", "section", "label", "content")

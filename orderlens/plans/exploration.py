@@ -2,7 +2,8 @@
 
 from orderlens.operators import evidence, explore
 from orderlens.plans.kpi import BUYER_REVENUE, REPEAT_RATE, REVIEWS_BY_PUNCTUALITY
-from orderlens.plans.registry import star_query
+from orderlens.plans.registry import STAR_SQL, query, star_query
+from orderlens.sources import commerce
 from orderlens.operators import kpis
 
 star_query("explore_monthly_revenue", kpis.revenue_by_month, """
@@ -46,7 +47,8 @@ star_query("explore_repeat_rate", explore.repeat_rate, REPEAT_RATE.format(digits
 star_query("explore_revenue_by_buyer", explore.revenue_by_buyer,
            BUYER_REVENUE.format(label="buyer_type", repeat="repeat", one="one_time"))
 
-star_query("explore_findings", lambda star: explore.findings(explore.reports(star)), RANKED + f"""
+query("explore_findings", lambda spark, folder: explore.findings(
+    explore.reports(commerce.stored_star(spark, folder))), STAR_SQL + RANKED + f"""
 , m AS (SELECT year_month, round(sum(rev), 2)::double AS r FROM fact GROUP BY year_month),
 s AS ({ON_TIME_STATES}), d AS ({DAYS_BY_STATE}), v AS ({REVIEWS_BY_PUNCTUALITY}),
 o AS ({ON_TIME_ALL}), p AS ({REPEAT_RATE.format(digits=3)}),
@@ -190,4 +192,5 @@ EVIDENCE_SQL = ONE_STARS + ", blocks AS (" + " UNION ALL ".join([
     _block("headline KPIs (fallback)", 0, "headline KPIs (fallback)", ITEM_HEADLINE,
            {"revenue_brl": 2, "ontime_pct_delivered": 2, "avg_delivery_days": 1, "avg_review_score": 2}),
 ]) + ")"
-star_query("evidence_blocks", evidence.evidence_table, EVIDENCE_SQL + " SELECT * FROM blocks")
+query("evidence_blocks", lambda spark, folder: evidence.evidence_table(commerce.stored_star(spark, folder)),
+      STAR_SQL + EVIDENCE_SQL + " SELECT * FROM blocks")

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.session import tune
 from orderlens.sources import commerce
 from orderlens.sources.star import Star
 
@@ -26,10 +25,7 @@ def query(name: str, build: Callable[[SparkSession, str], DataFrame], sql: str |
     if name in QUERIES:
         raise ValueError(f"query {name} is registered twice")
 
-    def tuned(spark: SparkSession, folder: str) -> DataFrame:
-        return build(tune(spark), folder)
-
-    QUERIES[name] = Query(name, tuned, sql)
+    QUERIES[name] = Query(name, build, sql)
 
 
 def star_query(name: str, report: Callable[[Star], DataFrame], select: str | None = None) -> None:

@@ -1,14 +1,17 @@
 """Late-delivery risk: training data, split, evaluation, models, batch scoring."""
 
+from functools import lru_cache
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from orderlens.operators import risk, service
-from orderlens.plans.registry import query, star_query
+from orderlens.operators import quality, risk, service
+from orderlens.plans.registry import STAR_SQL, query, star_query
 from orderlens.session import scratch_path
 from orderlens.sources import commerce
 
-# Small forest: the query shows the job, not the best model.
-FOREST = risk.ForestSize(trees=10, depth=6)
+# The full forest; only the labelled rows it is fitted on are bounded.
+FOREST = risk.ForestSize(fitting_rows=10_000)
 KEYS = ["order_id", "order_item_id"]
 
 
@@ -106,8 +109,17 @@ SELECT CASE WHEN p < 0.3 THEN 'Low' WHEN p <= 0.6 THEN 'Medium' ELSE 'High' END
 FROM s GROUP BY 1""")
 
 
+@lru_cache(maxsize=4)
+def _trained_once(spark, folder):
+    """Trained once per session and folder and saved: the queries below ask the same job for different results."""
+    trained = risk.train(spark, commerce.star(spark, folder), scratch_path(spark, "risk"), FOREST)
+    saved = scratch_path(spark, "risk-model")
+    risk.save(trained, saved)
+    return trained, saved
+
+
 def _trained(spark, folder):
-    return risk.train(spark, commerce.star(spark, folder), scratch_path(spark, "risk"), FOREST)
+    return _trained_once(spark, folder)[0]
 
 
 def _model_metrics(spark, folder):
@@ -116,14 +128,90 @@ def _model_metrics(spark, folder):
 
 
 def _bands_after_reload(spark, folder):
-    """Trains, saves, loads and scores the test rows with the loaded model."""
-    trained = _trained(spark, folder)
-    path = scratch_path(spark, "risk-model")
-    risk.save(trained, path)
-    name, model = risk.load(spark, path)
+    """Scores the test rows with the model as loaded from where it was saved."""
+    trained, saved = _trained_once(spark, folder)
+    name, model = risk.load(spark, saved)
     return risk.band_quality(risk.scores(model, trained.test)).withColumn("model", F.lit(name))
 
 
+def _training_checks(spark, folder):
+    """What must hold for any trained models: size of the forest, mean prediction of the logistic model (its intercept is
+    free, so it equals the late rate of the rows it was fitted on), the choice, and the scores after a reload."""
+    trained, saved = _trained_once(spark, folder)
+    name, model = risk.load(spark, saved)
+    keys = ["order_id", "order_item_id"]
+    before = risk.scores(trained.model, trained.test).withColumnRenamed("late_probability", "p")
+    after = risk.scores(model, trained.test).select(*keys, "late_probability")
+    gap = before.join(after, keys).agg(F.max(F.abs(F.col("p") - F.col("late_probability"))).alias("v"))
+    best = trained.metrics.agg(F.max("roc_auc").alias("top"), F.max(F.when(F.col("model") == name, F.col("roc_auc")))
+                               .alias("own"))
+    forest = trained.models["random_forest"].stages[-1]
+    bounds = trained.metrics.agg(F.min("roc_auc").alias("lo"))
+    rows = [
+        ("forest has its trees", spark.range(1).select((F.lit(forest.getNumTrees) == 200).alias("ok"))),
+        ("models are compared", trained.metrics.agg((F.count("*") == 2).alias("ok"))),
+        ("selected model has the highest area", best.select((F.col("top") == F.col("own")).alias("ok"))),
+        ("areas are above chance less noise", bounds.select((F.col("lo") > 0.4).alias("ok"))),
+        ("scores after reload differ by nothing", gap.select((F.col("v") == 0).alias("ok"))),
+    ]
+    parts = [frame.select(F.lit(check).alias("check_name"), "ok") for check, frame in rows]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def _logistic_mean(spark, folder):
+    """Logistic model fitted on all training rows: mean prediction and late rate, equal up to the solver's tolerance."""
+    rows = risk.stratified_split(_matrix(commerce.star(spark, folder)).select(*KEYS, *risk.FEATURES, risk.LABEL), KEYS)
+    train = stored_rows(spark, rows.filter("NOT is_test").drop("is_test"))
+    model = risk.fit_logistic(train)
+    mean = risk.scores(model, train).agg(F.avg("late_probability").alias("p"), F.avg(risk.LABEL).alias("r"),
+                                         F.count("*").alias("training_rows"))
+    return mean.select("training_rows", F.round("r", 6).alias("late_rate"),
+                       (F.abs(F.col("p") - F.col("r")) < 1e-3).alias("mean_prediction_agrees"))
+
+
+def stored_rows(spark, frame):
+    path = scratch_path(spark, "rows")
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def _preprocessed(spark, folder):
+    """Imputed and scaled numbers and the position of each category, long: one row per item and feature."""
+    rows = stored_rows(spark, _matrix(commerce.star(spark, folder)).select(*KEYS, *risk.FEATURES, risk.LABEL))
+    ready = risk.fit_preprocessing(rows).transform(rows)
+    numbers = vector_to_array("scaled")
+    entries = [F.struct(F.lit(c).alias("feature"), F.round(F.get(numbers, F.lit(i)), 6).alias("value"))
+               for i, c in enumerate(risk.NUMERIC)]
+    entries += [F.struct(F.lit(c).alias("feature"), F.col(f"{c}_i").alias("value")) for c in risk.CATEGORICAL]
+    sums = ready.select(F.inline(F.array(*entries))).groupBy("feature").agg(
+        F.count("*").alias("rows"), F.round(F.sum("value"), 2).alias("total"),
+        F.round(F.sum(F.col("value") * F.col("value")) / F.count("*"), 4).alias("mean_square"),
+        F.round(F.min("value"), 5).alias("lowest"), F.round(F.max("value"), 5).alias("highest"))
+    return sums.withColumn("total", F.abs("total"))
+
+
+def _leakage(spark, folder):
+    """Every feature of the model and every column known only later, with the verdict of the guard on each."""
+    star = commerce.star(spark, folder)
+    columns = star.fact_orders.columns
+    names = spark.createDataFrame([(c,) for c in sorted({*risk.FEATURES, *columns})], "column_name string")
+
+    def refused(column):
+        try:
+            quality.forbidden_features([column], risk.FORBIDDEN)
+        except ValueError:
+            return True
+        return False
+
+    verdicts = F.create_map(*[F.lit(x) for c in sorted({*risk.FEATURES, *columns}) for x in (c, refused(c))])
+    return names.select("column_name", F.col("column_name").isin(risk.FEATURES).alias("is_feature"),
+                        verdicts[F.col("column_name")].alias("refused"),
+                        star.fact_orders.agg(F.count("*")).scalar().alias("items"))
+
+
 def _order_requests(star):
     """Every item as a scoring request; some are impossible (promise before purchase, free, negative size)."""
     rows = risk.training_set(star)
@@ -140,12 +228,21 @@ def _order_requests(star):
 
 def _scored_requests(spark, folder):
     star = commerce.star(spark, folder)
-    trained = risk.train(spark, star, scratch_path(spark, "risk"), FOREST)
+    trained = _trained(spark, folder)
     scored, rejected = service.score_orders(_order_requests(star), trained.model, trained.name)
     return (scored.select(*KEYS, "late_probability", "risk_band", "model", F.lit(None).cast("string").alias("reason"))
             .unionByName(rejected.select(*KEYS, F.col("reject_reason").alias("reason")), allowMissingColumns=True))
 
 
+def _checked_requests(spark, folder):
+    """What can be said of every request without the model's numbers: its reason, or a score in range and its band."""
+    p, band = F.col("late_probability"), F.col("risk_band")
+    agrees = F.when(p.isNull(), F.lit(None)).when(p < 0.2999, band == "Low").when((p > 0.3001) & (p < 0.5999), band == "Medium").when(
+        p > 0.6001, band == "High").otherwise(band.isNotNull())
+    return _scored_requests(spark, folder).select(*KEYS, "reason", p.between(0, 1).alias("in_range"),
+                                                  agrees.alias("band_agrees"))
+
+
 query("risk_model_metrics", _model_metrics)
 query("risk_saved_model_bands", _bands_after_reload)
 query("service_risk_scoring", _scored_requests)
@@ -155,3 +252,42 @@ star_query("service_rejected_requests", lambda star: _order_requests(star).selec
 SELECT order_id, order_item_id, CASE WHEN order_id % 7 = 0 THEN 'estimated_delivery_ts must be on or after purchase_ts'
        WHEN order_id % 11 = 0 THEN 'price must be positive' ELSE 'length_cm must not be negative' END AS reason
 FROM t WHERE order_id % 7 = 0 OR order_id % 11 = 0 OR order_id % 13 = 0""")
+
+query("risk_training_checks", _training_checks, """
+SELECT unnest(['forest has its trees', 'models are compared', 'selected model has the highest area',
+               'areas are above chance less noise', 'scores after reload differ by nothing']) AS check_name, true AS ok""")
+query("risk_logistic_mean", _logistic_mean, STAR_SQL + SPLIT + """
+SELECT count(*) AS training_rows, round(avg(is_late), 6) AS late_rate, true AS mean_prediction_agrees
+FROM split WHERE NOT is_test""")
+query("risk_preprocessing", _preprocessed, STAR_SQL + TRAINING + """
+, raw AS (SELECT month(purchase_ts)::double AS purchase_month, hour(purchase_ts)::double AS purchase_hour,
+                 (isodow(purchase_ts) - 1)::double AS purchase_dow, promise::double AS estimated_lead_days,
+                 freight_value, price, product_weight_g, length_cm, height_cm, width_cm FROM t),
+m AS (SELECT median(COLUMNS(*)) FROM raw),
+long AS (UNPIVOT (SELECT r.* REPLACE (coalesce(r.product_weight_g, m.product_weight_g) AS product_weight_g)
+                  FROM raw r, m) ON * INTO NAME feature VALUE value),
+s AS (SELECT feature, avg(value) AS a, stddev_samp(value) AS d FROM long GROUP BY feature),
+scaled AS (SELECT feature, round(if(d = 0, 0, (value - a) / d), 6) AS value FROM long JOIN s USING (feature)),
+cat AS (UNPIVOT (SELECT customer_state, product_category_en, seller_state FROM t) ON * INTO NAME feature VALUE name),
+place AS (SELECT feature, name, row_number() OVER (PARTITION BY feature ORDER BY count(*) DESC, name) - 1 AS value
+          FROM cat GROUP BY feature, name),
+every AS (SELECT * FROM scaled UNION ALL SELECT feature, value::double FROM cat JOIN place USING (feature, name))
+SELECT feature, count(*) AS rows, abs(round(sum(value), 2)) AS total, round(sum(value * value) / count(*), 4)
+         AS mean_square, round(min(value), 5) AS lowest, round(max(value), 5) AS highest
+FROM every GROUP BY feature""")
+query("risk_leakage_guard", _leakage, STAR_SQL + """
+, late(c) AS (VALUES ('customer_delivery_ts'), ('delivery_days'), ('review_score'), ('is_delivered'), ('is_on_time'),
+                     ('order_status'), ('approved_ts'), ('carrier_delivery_ts')),
+model(c) AS (VALUES ('purchase_month'), ('purchase_hour'), ('purchase_dow'), ('estimated_lead_days'), ('freight_value'),
+                    ('price'), ('product_weight_g'), ('length_cm'), ('height_cm'), ('width_cm'), ('customer_state'),
+                    ('product_category_en'), ('seller_state')),
+every AS (SELECT c FROM late UNION SELECT c FROM model UNION SELECT unnest(['order_id', 'order_item_id', 'customer_id',
+            'product_id', 'seller_id', 'purchase_date_key', 'purchase_ts', 'estimated_delivery_ts']))
+SELECT c AS column_name, c IN (FROM model) AS is_feature, c IN (FROM late) AS refused, (SELECT count(*) FROM fact) AS items
+FROM every""")
+query("service_scored_requests", _checked_requests, STAR_SQL + TRAINING + """
+, r AS (SELECT order_id, order_item_id, CASE
+          WHEN order_id % 7 = 0 THEN 'estimated_delivery_ts must be on or after purchase_ts'
+          WHEN order_id % 11 = 0 THEN 'price must be positive'
+          WHEN order_id % 13 = 0 THEN 'length_cm must not be negative' END AS reason FROM t)
+SELECT *, if(reason IS NULL, true, NULL) AS in_range, if(reason IS NULL, true, NULL) AS band_agrees FROM r""")

@@ -7,8 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Runtime settings only, so they can be applied to a session somebody else built.
-RUNTIME_CONF = {
+# What our own sessions are built with. A session somebody else built is left as it is: timestamps carry no zone, and no
+# expression relies on either setting.
+OWN_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -29,15 +30,9 @@ def build_session(app: str = "orderlens", master: str | None = None, shuffle_par
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in (conf or {}).items():
+    for key, value in (OWN_CONF | (conf or {})).items():
         builder = builder.config(key, value)
-    return tune(builder.getOrCreate())
-
-
-def tune(spark: SparkSession) -> SparkSession:
-    for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
-    return spark
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -14,8 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.operators.star import calendar, newest_reviews, review_dimension
+from orderlens.operators.star import calendar, date_key, newest_reviews, review_dimension
 from orderlens.schemas import MONEY
+from orderlens.session import scratch_path
 from orderlens.sources.star import Frames, Star
 
 # Schemas of the test tables that are read; given, so that no job is started to infer them.
@@ -87,7 +88,7 @@ def order_facts(spark: SparkSession, folder: str) -> DataFrame:
 def item_key() -> Column:
     """A key of an item within its order. The line number alone is not unique in these tables."""
     return F.concat_ws("-", F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"),
-                       F.round(F.col("l_extendedprice") * 100).cast("bigint"), F.date_format("l_shipdate", "yyyyMMdd"))
+                       F.round(F.col("l_extendedprice") * 100).cast("bigint"), date_key(F.col("l_shipdate")))
 
 
 FACT = ["order_id", "order_item_id", "customer_id", "product_id", "seller_id", "purchase_date_key", "order_status",
@@ -145,6 +146,14 @@ def star(spark: SparkSession, folder: str) -> Star:
     })
 
 
+def stored_star(spark: SparkSession, folder: str) -> Star:
+    """The same star with its fact written once: many reports on it read the items from there instead of joining them
+    each time."""
+    path, lazy = scratch_path(spark, "fact"), star(spark, folder)
+    lazy.fact_orders.write.parquet(path)
+    return lazy.with_fact(spark.read.schema(lazy.fact_orders.schema).parquet(path))
+
+
 def _payments(spark: SparkSession, folder: str) -> DataFrame:
     """A card payment for every order and a voucher for every seventh: one scan, at most two rows per order."""
     orders, key = table(spark, folder, "orders"), F.col("o_orderkey")
@@ -187,7 +196,7 @@ def _reviews(orders: DataFrame) -> DataFrame:
 def raw_frames(spark: SparkSession, folder: str) -> Frames:
     """The same data shaped like the raw files: text timestamps (some unreadable), untrimmed states, untranslated names."""
     def text(column: str) -> Column:
-        return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+        return F.col(column).cast("string")  # whole seconds; formatting would go through the session's time zone
 
     padded = F.concat(F.lit(" "), F.col("n_name"), F.lit("  "))
     no_zip, no_text = F.lit(None).cast("int"), F.lit(None).cast("string")

@@ -63,7 +63,7 @@ def test_confusion_with_no_flag_is_zero_not_null(spark):
 
 def test_area_under_curve_with_ties(spark):
     frame = spark.createDataFrame([(1, 0.9), (0, 0.5), (1, 0.5), (0, 0.1)], "is_late int, late_probability double")
-    assert risk.roc_auc(frame) == pytest.approx(0.875)
+    assert risk.roc_auc(frame).first()[0] == pytest.approx(0.875)
 
 
 def test_missing_numbers_get_the_exact_median(spark):
@@ -116,6 +116,17 @@ def test_scoring_rejects_impossible_orders(spark, trained):
     assert all(0 <= r["late_probability"] <= 1 and r["model"] == trained.name for r in done.values())
 
 
+def test_requests_without_sizes(spark, trained):
+    """Optional fields may be missing altogether; they are imputed like missing values."""
+    frame = trained.test.limit(3).select("order_id", "customer_state", "seller_state", "product_category_en", "price",
+                                         "freight_value").withColumns(
+        {"purchase_ts": F.lit("2017-01-01").cast("timestamp_ntz"), "estimated_delivery_ts": F.lit("2017-02-01").cast(
+            "timestamp_ntz"), "price": F.lit(5.0), "freight_value": F.lit(1.0)})
+    scored, rejected = service.score_orders(frame, trained.model, trained.name)
+    assert scored.columns == [*frame.columns, "late_probability", "risk_band", "model"]
+    assert scored.count() == 3 and rejected.count() == 0
+
+
 def test_unseen_category_is_all_zeros(trained):
     stages = trained.model.stages[:-1]
     row = trained.test.limit(1).withColumns({c: F.lit("never seen") for c in risk.CATEGORICAL})

@@ -22,11 +22,28 @@ class Session:
 def test_the_cluster_names_the_folder():
     session = Session(Context("yarn"), **{"spark.checkpoint.dir": "hdfs:///shared"})
     assert shared_folder(session) == "hdfs:///shared" and session.sparkContext.folder == "hdfs:///shared"
-    assert scratch_path(session, "x").startswith("hdfs:///shared/x-")
-    assert scratch_path(session, "x") != scratch_path(session, "x")
     assert shared_folder(Session(Context("yarn", "s3a://set/by/spark"))) == "s3a://set/by/spark"
 
 
+def test_scratch_paths_are_new(spark):
+    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert first.startswith(f"{shared_folder(spark)}/x-") and first != second
+
+
+def test_queries_leave_the_session_as_it_is(spark, small):
+    from orderlens.plans import all_queries
+
+    other = spark.newSession()
+    for key, value in (("spark.sql.session.timeZone", "America/New_York"), ("spark.sql.ansi.enabled", "false")):
+        other.conf.set(key, value)
+    settings = {k: other.conf.get(k) for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled",
+                                               "spark.sql.adaptive.forceOptimizeSkewedJoin")}
+    for name in ("kpi_revenue_by_month", "etl_orders", "etl_calendar", "report_item_view"):
+        query = all_queries()[name].build
+        assert sorted(map(str, query(other, small).collect())) == sorted(map(str, query(spark, small).collect())), name
+    assert {k: other.conf.get(k) for k in settings} == settings
+
+
 def test_no_local_folder_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session(Context("spark://host:7077")))
