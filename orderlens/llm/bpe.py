@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import ahocorasick
 import numpy as np
@@ -23,7 +23,7 @@ from tokenizers import Tokenizer
 from orderlens.llm.common import Memo, int_lists, pieces, whole_texts
 
 #: Bounds of the caches in each Python worker.
-WORDS, PAIRS = 400_000, 500_000
+WORDS, PAIRS = 250_000, 300_000
 NEVER = 1 << 62
 #: The word pattern of the vocabulary, and the same for lower-case Latin-1 text. Other texts are normalised and cut into
 #: words by the tokenizer file's own rules, since libraries differ in the Unicode version their letters are from.
@@ -53,8 +53,7 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_pattern = re.compile("(" + ("|".join(map(re.escape, self.special)) or "(?!)") + ")")
         self.simple = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] == WORD_PATTERN
-        rules = Tokenizer.from_str(json.dumps(spec))
-        self.normalise, self.cut = rules.normalizer.normalize_str, rules.pre_tokenizer.pre_tokenize_str
+        self.path = path
         self.token_bytes = {i: i.to_bytes(4, "little") for i in [*self.ids.values(), *self.special.values()]}
         self.size = {i: len(s) for s, i in self.ids.items()}
         self._merge_tables(model["merges"])
@@ -163,7 +162,14 @@ class Encoder:
                 return b"".join(map(self.words.__getitem__, LATIN_WORDS.findall(text.lower())))
             except UnicodeEncodeError:
                 pass
-        return b"".join([self.others[w[:-1] + chr(0xE000 + ord(w[-1]))] for w, _ in self.cut(self.normalise(text))])
+        normalise, cut = self.rules
+        return b"".join([self.others[w[:-1] + chr(0xE000 + ord(w[-1]))] for w, _ in cut(normalise(text))])
+
+    @cached_property
+    def rules(self) -> tuple:
+        """The file's own normaliser and word cutter; loaded by workers that meet a text outside Latin-1."""
+        tool = Tokenizer.from_file(self.path)
+        return tool.normalizer.normalize_str, tool.pre_tokenizer.pre_tokenize_str
 
     def decode(self, ids: pa.ListArray) -> pa.StringArray:
         """Tokens as written in the file, joined by a space: slices of one buffer, placed by the offset table."""

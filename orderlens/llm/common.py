@@ -65,8 +65,11 @@ class Memo(dict):
         return value
 
 
-def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The Arrow batches cut into runs of rows with about ``size`` bytes in ``column``; a larger value is a run alone."""
+def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The Arrow batches cut into runs of rows with about ``size`` bytes in ``column``; a larger value is a run alone.
+
+    Python workers live on after a task, so what Arrow keeps for reuse is given back at its end.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -76,6 +79,7 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", size: int =
             stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
             yield batch.slice(at, stop - at)
             at = stop
+    pa.default_memory_pool().release_unused()
 
 
 def int_lists(parts: list[bytes]) -> pa.ListArray:

@@ -68,7 +68,7 @@ def collect_features(sample: DataFrame, features: Featurizer) -> tuple[np.ndarra
     The driver holds about nine bytes a feature: tens of MB for the largest sample.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, size=1 << 19):
             made = features(batch.column("text"))
             ends = pa.array(made.first.astype(np.int32))
             yield pa.RecordBatch.from_pydict({

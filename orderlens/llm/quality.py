@@ -152,7 +152,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, size=1 << 20):
+        for batch in pieces(batches, size=1 << 19):
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"),
                                               "score": shared.value.probability(features(batch.column("text")))})
 

@@ -146,7 +146,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, size=1 << 20):
+        for batch in pieces(batches, size=1 << 19):
             severity = shared.value.severity(features(batch.column("text")))
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "severity": severity,
                                               "toxic": severity >= shared.value.cut})
@@ -160,7 +160,7 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, size=1 << 20):
+        for batch in pieces(batches, size=1 << 19):
             severity = shared.value.severity(features(batch.column("text")))
             yield batch.filter(pa.array(severity < shared.value.cut))
 
