@@ -38,19 +38,6 @@ def id_text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def rows_of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``ids`` (one column, doc_id), once per doc_id; null matches null.
-
-    Of several rows with one doc_id the one with the smallest text stays. Only the semi join shuffles: the window works
-    on the partitions the join made.
-    """
-    keyed = docs.withColumn("__id", id_text("doc_id"))
-    wanted = ids.select(id_text("doc_id").alias("__id")).distinct()
-    order = "row_number() OVER (PARTITION BY __id ORDER BY text NULLS FIRST)"
-    return (keyed.join(wanted, "__id", "left_semi").withColumn("__n", F.expr(order)).filter("__n = 1")
-            .drop("__id", "__n"))
-
-
 class Memo(dict):
     """A cache that computes what it lacks and starts anew at ``limit`` entries, so its memory is bounded."""
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import pieces, rows_of_ids, stored, whole_texts
+from orderlens.llm.common import id_text, pieces, stored, whole_texts
 
 WORDS, SEED, RADIUS = 4, 42, 4
 BLOCKS, BUCKET_ROWS = 6, 8192
@@ -46,17 +46,20 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
     return int(np.packbits(2 * votes > len(starts), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long): one row per row of ``docs``; null text counts as empty, fp 0."""
-    texts = whole_texts(docs).withColumn("text", F.col("text").cast("binary"))
+def fingerprints(docs: DataFrame, words: int = WORDS, *extra: str) -> DataFrame:
+    """doc_id, the named extra columns, fp (the 64 bits as a signed long): one row per row of ``docs``; null text counts as
+    empty, fp 0."""
+    texts = whole_texts(docs, *extra).withColumn("text", F.col("text").cast("binary"))
+    names = ["doc_id", *extra]
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             values = np.array([fingerprint(t, words) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values.view(np.int64))],
-                                             names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(values.view(np.int64))],
+                                             names=[*names, "fp"])
 
-    return texts.mapInArrow(make, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint")
+    kinds = ", ".join(f"{n} {docs.schema[n].dataType.simpleString()}" for n in names)
+    return texts.mapInArrow(make, f"{kinds}, fp bigint")
 
 
 def bit_planes(values: np.ndarray) -> np.ndarray:
@@ -224,6 +227,17 @@ def components(edges: DataFrame) -> DataFrame:
         rows.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _linked(docs: DataFrame, words: int, radius: int, *extra: str) -> tuple[DataFrame, DataFrame]:
+    """Two tables: doc_id, the named extra columns and fp, one row per row of ``docs``; and fp, root, component_id."""
+    rows = stored(fingerprints(docs, words, *extra), "fingerprints")
+    prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
+    roots = stored(components(links(prints, radius)), "components")
+    members = prints.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    lowest = members.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return rows, members.join(lowest, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: one row per row of ``docs``.
 
@@ -232,17 +246,21 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -
     fingerprint zero, which links like any other. Repeated rows appear repeatedly. Other columns are ignored; an empty
     table gives an empty result.
     """
-    rows = stored(fingerprints(docs, words), "fingerprints")
-    prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    roots = stored(components(links(prints, radius)), "components")
-    members = prints.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    lowest = members.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = members.join(lowest, "root").select("fp", "component_id")
+    rows, named = _linked(docs, words, radius)
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                                          "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs``, all columns, of which one per component remains: the row of its smallest doc_id."""
-    return rows_of_ids(docs, near_duplicates(docs, words, radius).select(F.col("component_id").alias("doc_id")))
+    """The rows of ``docs``, all columns, of which one per component remains: the row of its smallest doc_id.
+
+    Of several rows of a component with that doc_id the one with the smallest text stays. Components are told apart by
+    their fingerprints, so unrelated texts with one doc_id, or without any, each stay.
+    """
+    keyed = docs.withColumns({"__digest": F.sha2(F.coalesce("text", F.lit("")), 256), "__id": id_text("doc_id")})
+    rows, named = _linked(keyed, words, radius, "__digest")
+    first = (rows.join(named, "fp").filter("doc_id <=> component_id")
+             .select("__digest", id_text("doc_id").alias("__id"), F.col("root").alias("__root")).distinct())
+    order = "row_number() OVER (PARTITION BY __root ORDER BY text NULLS FIRST)"
+    return (keyed.join(first, ["__digest", "__id"]).withColumn("__n", F.expr(order)).filter("__n = 1")
+            .drop("__digest", "__id", "__root", "__n"))

@@ -84,3 +84,21 @@ def test_test_table(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     rows = docs.select("doc_id", "text").collect()
     assert cases.plain(op.near_duplicates(docs)) == groups([r[0] for r in rows], [by_hand(r[1]) for r in rows])
+
+
+def test_components_of_equal_ids_each_keep_a_row(spark):
+    """One row per component stays, the smallest by doc_id and text, also where rows share a doc_id or have none."""
+    rows = [r[:2] for r in cases.rows()] + [(None, "alone without an id"), (None, "another text that has no id either")]
+    rows += [(5, "zebras graze in the far valley"), (3, "a near copy of a kept row"), (5, "a near  copy of a kept row")]
+    prints = [by_hand(t) for _, t in rows]
+    linked = {i: {j for j, p in enumerate(prints) if (prints[i] ^ p).bit_count() <= 4} for i in range(len(rows))}
+    while (wider := {i: set().union(*(linked[j] for j in near)) for i, near in linked.items()}) != linked:
+        linked = wider
+    wanted = {min((rows[j] for j in near), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")) for near in linked.values()}
+    assert len(wanted) == len(set(map(frozenset, linked.values())))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = op.drop_near_duplicates(docs).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(wanted, key=repr)
+    kept = op.drop_near_duplicates(cases.documents(spark)).select("doc_id", "text").collect()
+    assert [r["text"] for r in kept if r["doc_id"] == 9].count("other text, same id") == 1
+    assert [r["text"] for r in kept if r["doc_id"] == 9].count("unique text") == 1
