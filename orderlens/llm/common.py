@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlens.session import scratch_path
@@ -38,6 +38,26 @@ def id_text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def numbered(rows: DataFrame, order: list[Column], group: str | None, name: str) -> DataFrame:
+    """The rows with ``position`` (from 0, in ``order``, anew for every value of ``group``) and ``size`` of their group.
+
+    Rows are dealt out by ranges of (group, order) and stored in order, so a group of any size lies over many files; what
+    is added up across files is one count per file and group. ``order`` must tell all rows apart that differ.
+    """
+    keys = [*([F.col(group)] if group else []), *order]
+    ranged = stored(rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                    .withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id()}), name)
+    by = [group] if group else []
+    counts = ranged.groupBy("__part", *by).agg(F.count("*").alias("__n"), F.min("__at").alias("__first"))
+    whole = Window.partitionBy(*by)
+    earlier = whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__part", *by, "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
+                            F.sum("__n").over(whole).alias("size"))
+    return (ranged.join(offsets, ["__part", *by])
+            .withColumn("position", F.col("__before") + F.col("__at") - F.col("__first"))
+            .drop("__part", "__at", "__first", "__before"))
+
+
 class Memo(dict):
     """A cache that computes what it lacks and starts anew at ``limit`` entries, so its memory is bounded."""
 

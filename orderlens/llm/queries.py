@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage: op1 to op10 over their whole tables, and their SQL where there is one."""
+"""The registered queries of this subpackage: op1 to op13 over their whole tables, and their SQL where there is one."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import bpe, decontam, exact_dedup, html_extract, pii, quality, simhash, token_counts, token_files, toxicity
+from orderlens.llm import (
+    bpe, decontam, exact_dedup, html_extract, merkle, pii, quality, simhash, token_counts, token_files, toxicity,
+)
 from orderlens.llm.common import documents, labels
 from orderlens.session import scratch_path
 
@@ -68,6 +70,10 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_index(token_files.read_tokens(spark, files))
 
 
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(documents(spark, folder), merkle.tamper_sign(F.col("doc_id")))
+
+
 EXACT_DEDUP_SQL = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pii": op9_pii,
     "op10_token_files": op10_token_files,
+    "op13_merkle": op13_merkle,
 }
 SQL: dict[str, str] = {
     "op8_exact_dedup": EXACT_DEDUP_SQL,
