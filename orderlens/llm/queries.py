@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import (
-    bpe, decontam, exact_dedup, html_extract, merkle, pii, quality, simhash, token_counts, token_files, toxicity,
+    bpe, decontam, exact_dedup, filter_audit, html_extract, merkle, pii, quality, simhash, token_counts, token_files, toxicity,
 )
 from orderlens.llm.common import documents, labels
 from orderlens.session import scratch_path
@@ -70,6 +70,10 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_index(token_files.read_tokens(spark, files))
 
 
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, folder), labels(spark, folder))
+
+
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(documents(spark, folder), merkle.tamper_sign(F.col("doc_id")))
 
@@ -81,6 +85,40 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PART
 FROM d
 """
 
+FILTER_AUDIT_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+l AS (SELECT doc_id, max(quality IS NOT DISTINCT FROM 1) AS good, max(toxic IS NOT DISTINCT FROM 1) AS toxic
+      FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+w AS (SELECT *, len(words) AS n_words,
+             min(doc_id) OVER (PARTITION BY text) AS first_id FROM t),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+             (n_words < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * n_words)::INT
+             + 4 * (100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * len(text))::INT
+             + 8 * regexp_matches(text, '[#$%&*|]')::INT
+             + 16 * (first_id IS NOT NULL AND (w.doc_id IS NULL OR w.doc_id > first_id))::INT AS failed
+      FROM w LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM f GROUP BY part, failed),
+x AS (SELECT unnest(generate_series(0, 4)) AS i),
+p AS (SELECT [a.i, b.i, c.i, d.i, 10 - a.i - b.i - c.i - d.i] AS o FROM x a, x b, x c, x d
+      WHERE a.i <> b.i AND a.i <> c.i AND a.i <> d.i AND b.i <> c.i AND b.i <> d.i AND c.i <> d.i),
+s AS (SELECT list_aggregate(list_transform(o, lambda k: chr((65 + k)::INT)), 'string_agg', '') AS filter_order, x.i + 1 AS step,
+             o[x.i + 1] AS f, list_sum(list_transform(o[1:x.i], lambda k: (1 << k)::INT)) AS done FROM p, x),
+r AS (SELECT part, filter_order, step, f,
+             sum(CASE WHEN failed & (coalesce(done, 0)::INT | (1 << f)::INT) = 0 THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN failed & coalesce(done, 0)::INT = 0 AND failed & (1 << f)::INT > 0 THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN failed & coalesce(done, 0)::INT > 0 AND failed & (1 << f)::INT > 0 THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN failed = 1 << f THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN failed & coalesce(done, 0)::INT = 0 AND failed & (1 << f)::INT > 0 THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN failed & coalesce(done, 0)::INT = 0 AND failed & (1 << f)::INT > 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM c, s GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM r
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
@@ -92,8 +130,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pii": op9_pii,
     "op10_token_files": op10_token_files,
+    "op12_filter_audit": op12_filter_audit,
     "op13_merkle": op13_merkle,
 }
 SQL: dict[str, str] = {
     "op8_exact_dedup": EXACT_DEDUP_SQL,
+    "op12_filter_audit": FILTER_AUDIT_SQL,
 }
