@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import (
-    bpe, decontam, exact_dedup, filter_audit, html_extract, merkle, pii, quality, simhash, token_counts, token_files, toxicity,
+    bpe, decontam, exact_dedup, filter_audit, html_extract, merkle, nearest, pii, quality, simhash, token_counts, token_files, toxicity,
 )
 from orderlens.llm.common import documents, labels
 from orderlens.session import scratch_path
@@ -70,6 +70,10 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_index(token_files.read_tokens(spark, files))
 
 
+def op11_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"), F.col("vec_id") % nearest.EVERY == 0)
+
+
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit(documents(spark, folder), labels(spark, folder))
 
@@ -85,6 +89,16 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PART
 FROM d
 """
 
+NEAREST_SQL = """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+           WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+             AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(q.x, v.x) AS score
+      FROM v AS q, v WHERE q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id AND len(q.x) = len(v.x)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
+SELECT query_id, place::INT AS rank, vec_id, score FROM r WHERE place <= 5
+"""
+
 FILTER_AUDIT_SQL = r"""
 WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
@@ -130,10 +144,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pii": op9_pii,
     "op10_token_files": op10_token_files,
+    "op11_nearest": op11_nearest,
     "op12_filter_audit": op12_filter_audit,
     "op13_merkle": op13_merkle,
 }
 SQL: dict[str, str] = {
     "op8_exact_dedup": EXACT_DEDUP_SQL,
+    "op11_nearest": NEAREST_SQL,
     "op12_filter_audit": FILTER_AUDIT_SQL,
 }
