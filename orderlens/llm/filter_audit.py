@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from orderlens.llm.common import id_text, numbered, pieces, stored
 
 #: Bytes of text in a shard, unless a document alone is longer.
-SHARD_BYTES = 1 << 22
+SHARD_BYTES = 1 << 24
 FILTERS = "ABCDE"
 #: A wants so many words, B this share of distinct words and C at most this share of capitals, in percent.
 WORDS, DISTINCT_PERCENT, CAPITALS_PERCENT = 200, 50, 2
@@ -35,9 +35,18 @@ CAPITALS, SIGNS = bytes(range(65, 91)), b"#$%&*|"
 LATER_BYTES = bytes(range(0x80, 0xC0))
 
 
-def _shard_schema(kind: str) -> str:
-    return (f"shard long, words array<binary>, doc_id array<{kind}>, part array<string>, digest array<binary>, "
-            "capitals array<boolean>, signs array<boolean>, first array<int>, columns array<int>, counts array<int>")
+def _shard_schema(kind: str, entries: str) -> str:
+    return (f"shard long, doc_id array<{kind}>, part array<string>, digest array<binary>, capitals array<boolean>, "
+            f"signs array<boolean>, first array<int>, {entries}")
+
+
+def planes(values: np.ndarray) -> bytes:
+    """32-bit integers as four planes, all lowest bytes first: high planes of small numbers are zeros, which compress."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def _marks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -54,7 +63,7 @@ def local_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("part"),
                         F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     texts = texts.withColumn("digest", F.unhex(F.sha2("text", 256)))
-    schema = _shard_schema(kind)
+    schema = _shard_schema(kind, "words array<binary>, columns binary, counts binary")
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId(), 0
@@ -68,12 +77,12 @@ def local_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
                 counts.append(np.fromiter(row.values(), np.int32, len(row)))
                 first.append(first[-1] + len(row))
             capitals, signs = _marks(documents)
-            lists = [pa.array(list(codes), pa.binary()), batch.column("doc_id"), batch.column("part"),
-                     batch.column("digest"), pa.array(capitals), pa.array(signs), pa.array(np.array(first, np.int32)),
-                     pa.array(np.concatenate(columns)), pa.array(np.concatenate(counts))]
+            lists = [batch.column("doc_id"), batch.column("part"), batch.column("digest"), pa.array(capitals),
+                     pa.array(signs), pa.array(np.array(first, np.int32)), pa.array(list(codes), pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([task << 32 | made]), *(pa.ListArray.from_arrays([0, len(x)], x) for x in lists)],
-                names=["shard", "words", "doc_id", "part", "digest", "capitals", "signs", "first", "columns", "counts"])
+                [pa.array([task << 32 | made]), *(pa.ListArray.from_arrays([0, len(x)], x) for x in lists),
+                 *(pa.array([planes(np.concatenate(x))], pa.binary()) for x in (columns, counts))],
+                names=["shard", "doc_id", "part", "digest", "capitals", "signs", "first", "words", "columns", "counts"])
             made += 1
 
     return stored(texts.mapInArrow(build, schema), "local-shards")
@@ -83,7 +92,7 @@ def document_terms(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[Dat
     """The document-term matrix of ``docs``: the dictionary (word, id from 0 in order) and its shards.
 
     A shard holds whole documents: doc_id, part, digest, capitals and signs have one entry each, ``first`` one more; the
-    entries of document i are columns[first[i]:first[i + 1]], ids of the dictionary in ascending order, and their counts.
+    entries of document i are columns[first[i]:first[i + 1]], distinct ids of the dictionary, and their counts.
     """
     shards = local_shards(docs, shard_bytes)
     words = shards.select(F.col("shard").alias("of"), F.posexplode("words").alias("code", "word"))
@@ -91,25 +100,18 @@ def document_terms(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[Dat
     dictionary = stored(numbered(distinct, [F.col("word")], None, "words").select("word", F.col("position").alias("id")),
                         "dictionary")
     ids = words.join(dictionary, "word").select("of", "code", "id")
-    schema = _shard_schema(docs.schema["doc_id"].dataType.simpleString()).replace("words array<binary>, ", "").replace(
-        "columns array<int>", "columns array<long>")
+    schema = _shard_schema(docs.schema["doc_id"].dataType.simpleString(), "columns array<long>, counts array<int>")
 
     def encode(shard: pa.Table, known: pa.Table) -> pa.Table:
-        row = shard.drop_columns("words")
-        if not known.num_rows:  # only empty texts
-            return row.set_column(row.schema.get_field_index("columns"), "columns", pa.array([[]], pa.list_(pa.int64())))
         place = np.empty(known.num_rows, np.int64)
         place[known.column("code").to_numpy()] = known.column("id").to_numpy()
-        first = row.column("first").combine_chunks().flatten().to_numpy()
-        columns = place[row.column("columns").combine_chunks().flatten().to_numpy()]
-        order = np.lexsort((columns, np.repeat(np.arange(len(first) - 1), np.diff(first))))
-        counts = row.column("counts").combine_chunks().flatten().to_numpy()[order]
-        for name, values in (("columns", columns[order]), ("counts", counts)):
+        columns, counts = (from_planes(shard.column(c)[0].as_py()) for c in ("columns", "counts"))
+        for name, values in (("columns", place[columns]), ("counts", counts.astype(np.int32))):
             lists = pa.ListArray.from_arrays([0, len(values)], pa.array(values))
-            row = row.set_column(row.schema.get_field_index(name), name, lists)
-        return row
+            shard = shard.set_column(shard.schema.get_field_index(name), name, lists)
+        return shard
 
-    return dictionary, (shards.groupBy("shard").cogroup(ids.groupBy("of")).applyInArrow(encode, schema))
+    return dictionary, (shards.drop("words").groupBy("shard").cogroup(ids.groupBy("of")).applyInArrow(encode, schema))
 
 
 def document_flags(shards: DataFrame) -> DataFrame:
