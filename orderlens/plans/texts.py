@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from orderlens.operators import audit, corpus, evidence, retrieval, routing
+from orderlens.operators import audit, corpus, evidence, retrieval, routing, vector_index
 from orderlens.plans.exploration import EVIDENCE_SQL
 from orderlens.plans.registry import STAR_SQL, query
+from orderlens.session import scratch_path
 from orderlens.sources import commerce, texts
 
 # ---------------------------------------------------------------- documents
@@ -164,6 +165,40 @@ query("retrieval_top_k", _hits, CHUNKS + ", " + ASKED + SEARCHED + """
 SELECT query_id, rank::int AS rank, chunk_id AS vector_id, round(s, 3) AS similarity FROM hit""")
 
 
+def _index(spark, folder):
+    return vector_index.build_index(_vectors(spark, folder), scratch_path(spark, "vector-index"))
+
+
+def _asked(spark, folder):
+    return question_vectors(spark, folder).select("query_id", "embedding")
+
+
+ASKS = "WITH " + ASKED + """,
+vecs AS (SELECT vec_id, embedding::double[] AS e FROM embeddings),
+asks AS (SELECT ('0x' || substr(md5(question), 1, 15))::bigint AS query_id,
+                ('0x' || substr(md5(question), 1, 8))::bigint % (SELECT count(*) FROM vecs) AS vec_id
+         FROM (SELECT DISTINCT question FROM q)),
+"""
+query("retrieval_indexed_top_k", lambda spark, folder: vector_index.top_k(_index(spark, folder), _asked(spark, folder)),
+      ASKS + """
+near AS (SELECT a.vec_id AS asked, v.vec_id, round(list_cosine_similarity(b.e, v.e), 12) AS s,
+                row_number() OVER (PARTITION BY a.vec_id ORDER BY s DESC, v.vec_id) AS rank
+         FROM (SELECT DISTINCT vec_id FROM asks) a JOIN vecs b USING (vec_id), vecs v QUALIFY rank <= 4)
+SELECT query_id, rank::int AS rank, near.vec_id AS vector_id, round(s, 3) AS similarity
+FROM asks JOIN near ON asked = asks.vec_id""")
+query("retrieval_pruning", lambda spark, folder: vector_index.pruning(_index(spark, folder), _asked(spark, folder)),
+      ASKS + f"""
+pivots AS (SELECT row_number() OVER (ORDER BY md5(vec_id::varchar), vec_id) AS p, e FROM vecs QUALIFY p <= {vector_index.PIVOTS}),
+far AS (SELECT vec_id, p, sqrt(greatest(2 - 2 * list_cosine_similarity(v.e, r.e), 0)) AS d FROM vecs v, pivots r),
+cell AS (SELECT vec_id, arg_min(p, d) AS p, min(d) AS d FROM far GROUP BY vec_id),
+most AS (SELECT vec_id, min(d) AS least, list_sort(list(d))[4] + 4e-6 AS most FROM far GROUP BY vec_id),
+kept AS (SELECT f.vec_id, count(*) AS n FROM far f JOIN most m USING (vec_id) JOIN cell c USING (p)
+         WHERE abs(f.d - c.d) <= most AND (f.d - least) / 2 <= most GROUP BY f.vec_id)
+SELECT (SELECT count(*) FROM asks) AS questions, (SELECT count(*) FROM vecs) AS vectors,
+       (SELECT count(*) FROM asks) * (SELECT count(*) FROM vecs) AS pairs,
+       (SELECT sum(n) FROM asks JOIN kept USING (vec_id))::bigint AS pairs_left""")
+
+
 def _m(pattern: str) -> str:
     return f"regexp_matches(l, {_text(pattern)})"
 
