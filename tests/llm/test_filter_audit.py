@@ -4,6 +4,7 @@ from itertools import permutations
 
 import cases
 import numpy as np
+import pyarrow as pa
 
 from orderlens.llm import filter_audit as op
 from orderlens.llm.queries import op12_filter_audit
@@ -70,8 +71,7 @@ def test_matrix_is_the_texts_counted(spark):
     docs = cases.documents(spark)
     dictionary, shards = op.document_terms(docs, 2000)
     words = {r["id"]: bytes(r["word"]) for r in dictionary.collect()}
-    assert sorted(words) == list(range(len(words))) and len(set(words.values())) == len(words)
-    assert list(words[i] for i in sorted(words)) == sorted(words.values())
+    assert dictionary.count() == len(words) == len(set(words.values()))
     found, made = [], shards.collect()
     assert len(made) > 4
     for s in made:
@@ -83,6 +83,15 @@ def test_matrix_is_the_texts_counted(spark):
     assert Counter((i, frozenset(c.items())) for i, c in found) == Counter((i, frozenset(c.items())) for i, c in wanted)
 
 
+def test_words_of_texts():
+    texts = ["", " ", "a  b\ta ", "\x0b\x0cé\x85é é\x1ca\r\n", "b", "\u2003 x"]
+    words, first, columns, counts = op._entries(pa.array([t.encode() for t in texts], pa.large_binary()))
+    for n, text in enumerate(texts):
+        span = slice(first[n], first[n + 1])
+        assert Counter(dict(zip((words[int(c)].as_py() for c in columns[span]), counts[span].tolist()))) == Counter(
+            text.encode().split())
+
+
 def test_planes():
     for values in ([], [0], [1, 255, 256, 70_000, 2**31 - 1]):
         assert op.from_planes(op.planes(np.array(values, np.int32))).tolist() == values
@@ -90,7 +99,7 @@ def test_planes():
 
 def test_capitals_and_signs():
     texts = ["", "A" * 2 + "b" * 98, "A" * 3 + "b" * 97, "é" * 50 + "A", "x|y", "plain"]
-    capitals, signs = op._marks([t.encode() for t in texts])
+    capitals, signs = op._marks(pa.array([t.encode() for t in texts], pa.large_binary()))
     assert capitals.tolist() == [False, False, True, False, False, False]
     assert signs.tolist() == [False, False, False, False, True, False]
 
