@@ -27,7 +27,7 @@ from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 from orderlens.llm.common import id_text, pieces, stored
 
 #: Bytes of text in a shard, unless a document alone is longer.
-SHARD_BYTES = 1 << 24
+SHARD_BYTES = 1 << 23
 #: Bits of a word's id for its code in a shard and for the shard in its task; the rest are the task's.
 CODE_BITS, MADE_BITS = 30, 12
 FILTERS = "ABCDE"
