@@ -20,13 +20,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators import retrieval
 
-#: Pivots, vectors of a block at least, blocks in all (the table of blocks stays that small), bytes of all questions.
-PIVOTS, BLOCK_ROWS, BLOCKS, BROADCAST_BYTES = 32, 1024, 16384, 8 << 20
+#: Pivots, vectors of a block at least, blocks in all (the table of blocks stays that small).
+PIVOTS, BLOCK_ROWS, BLOCKS = 32, 1024, 16384
 #: Similarities are compared to 12 decimals; a distance of nearly 0 is then exact to this.
 SLACK = 4e-6
 
@@ -139,17 +139,6 @@ class Questions:
         return (ring <= self.most[:, None]) & (self.gap[:, cell] <= self.most)[:, None]
 
 
-def _collected(queries: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray] | None:
-    """Ids and unit vectors of the questions, or None where they are more than ``limit`` bytes as doubles."""
-    asked = queries.toDF("query_id", "query").filter("query IS NOT NULL")
-    size = asked.agg(F.count("*").alias("n"), F.max(F.size("query")).alias("dims")).first()
-    if not size["n"] or 8 * size["n"] * size["dims"] > limit:
-        return None
-    ids, vectors = retrieval._columns(asked.select(F.col("query_id").cast("bigint"), "query").toArrow(), "query_id", "query")
-    usable = ~np.isnan(vectors).any(axis=1)
-    return ids[usable], vectors[usable]
-
-
 def needed_blocks(index: VectorIndex, questions: Questions, blocks: pa.Table) -> pa.Table:
     """The rows of the table of blocks that may hold an answer to any question."""
     keep = np.zeros(len(blocks), bool)
@@ -167,13 +156,14 @@ FOUND = "query_id bigint, vector_id bigint, similarity double, pairs_left bigint
 def _scan(index: VectorIndex, queries: DataFrame, k: int, others: bool, limit: int) -> DataFrame | None:
     """The best of every task for every question, and a row per task with the number of pairs the bounds left; None where
     the questions are too many for a broadcast."""
-    asked = _collected(queries, limit)
+    asked = retrieval.small_questions(queries, limit)
     if asked is None:
         return None
     spark = queries.sparkSession
     blocks = index.blocks.toArrow().combine_chunks()  # BLOCKS rows at most, but for the rounding up in cells and files
-    questions = Questions(*asked, index, k, others) if len(blocks) else Questions(np.empty(0, np.int64),
-                                                                                  np.empty((0, 1)), index, k, others)
+    if not len(asked[0]) or not len(blocks):  # nothing can be found; widths then need not agree
+        asked = np.empty(0, np.int64), np.empty((0, index.pivots.shape[1]))
+    questions = Questions(*asked, index, k, others)
     needed = needed_blocks(index, questions, blocks)
     shared = spark.sparkContext.broadcast(questions)
     cells = sorted(set(needed.column("cell").to_pylist()))
@@ -199,19 +189,16 @@ def _scan(index: VectorIndex, queries: DataFrame, k: int, others: bool, limit: i
 
 
 def top_k(index: VectorIndex, queries: DataFrame, k: int = retrieval.TOP_K, exclude_self: bool = False,
-          broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+          broadcast_bytes: int = retrieval.BROADCAST_BYTES) -> DataFrame:
     """(query_id, rank, vector_id, similarity), the rows of ``retrieval.top_k`` over the indexed vectors."""
     found = _scan(index, queries, k, exclude_self, broadcast_bytes)
     if found is None:
         return retrieval.top_k(queries, index.vectors.select("id", "embedding"), k, exclude_self)
-    best_first = Window.partitionBy("query_id").orderBy(F.desc("similarity"), F.asc("vector_id"))
-    return (found.filter("vector_id IS NOT NULL").withColumn("rank", F.row_number().over(best_first))
-            .filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vector_id", F.round("similarity", 3).alias("similarity")))
+    return retrieval.ranked(found.filter("vector_id IS NOT NULL"), k)
 
 
 def pruning(index: VectorIndex, queries: DataFrame, k: int = retrieval.TOP_K, exclude_self: bool = False,
-            broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+            broadcast_bytes: int = retrieval.BROADCAST_BYTES) -> DataFrame:
     """What the bounds save: (questions, vectors, pairs, pairs_left), the last the pairs that had to be looked at."""
     asked = queries.toDF("query_id", "query").filter("query IS NOT NULL AND exists(query, x -> x <> 0)")
     counts = [asked.agg(F.count("*")).scalar(), index.blocks.agg(F.coalesce(F.sum("rows"), F.lit(0))).scalar()]

@@ -4,7 +4,7 @@ import importlib
 
 from orderlens.plans.registry import QUERIES, Query
 
-_MODULES = ["kpi", "exploration", "reporting", "quality", "risk", "texts", "files"]
+_MODULES = ["kpi", "exploration", "reporting", "quality", "risk", "forest", "texts", "files"]
 
 
 def all_queries() -> dict[str, Query]:
