@@ -2,8 +2,9 @@
 
 from datetime import date
 
-from orderlens.operators import report
+from orderlens.operators import cells, report
 from orderlens.plans.registry import star_query
+from orderlens.session import scratch_path
 from orderlens.sources.star import Star
 
 FILTERS = report.Filters(date(1996, 3, 15), date(1999, 10, 31),
@@ -29,7 +30,12 @@ ALL = VIEW.format(where="")
 SOME = VIEW.format(where=WHERE)
 
 
+SELECTS = {}  # the SQL of each chart over the selection
+
+
 def _report(name, function, select, filters=report.Filters()):
+    SELECTS[name.removeprefix("report_")] = select
+
     def build(star: Star):
         return function(report.filtered_items(report.item_view(star), filters))
     star_query(name, build, (ALL if filters == report.Filters() else SOME) + select)
@@ -46,11 +52,12 @@ def _with_double(items):
 
 star_query("report_item_view", lambda star: _with_double(report.item_view(star)), ALL + VIEW_COLUMNS)
 _report("report_filtered_items", _with_double, VIEW_COLUMNS, FILTERS)
-star_query("report_filter_domains", lambda star: report.filter_domains(report.item_view(star)), ALL + """
+SELECTS["filter_domains"] = """
 SELECT 'date_min' AS domain, min(purchase_ts)::date::varchar AS value FROM view
 UNION ALL SELECT 'date_max', max(purchase_ts)::date::varchar FROM view
 UNION ALL SELECT DISTINCT 'state', customer_state FROM view
-UNION ALL SELECT DISTINCT 'category', category FROM view""")
+UNION ALL SELECT DISTINCT 'category', category FROM view"""
+star_query("report_filter_domains", lambda star: report.filter_domains(report.item_view(star)), ALL + SELECTS["filter_domains"])
 _report("report_orders", report.orders_view, """
 SELECT order_id, month, customer_state, pid AS customer_unique_id, delivery_days, is_delivered, is_on_time,
        review_score, category FROM ordv""")
@@ -103,3 +110,27 @@ SELECT buyer_type, '% of customers' AS share_type, round(100.0::double * c::doub
 UNION ALL SELECT buyer_type, '% of revenue', round(100.0::double * r::double / tr::double, 1) FROM t""")
 _report("report_orders_per_customer", report.orders_per_customer, """
 SELECT if(n >= 5, '5+', n::varchar) AS orders, count(*) AS customers FROM ppl GROUP BY 1""")
+
+
+# ---------------------------------------------------------------- the same charts from stored cells
+
+DATES = report.Filters(date(1994, 2, 14), date(1996, 7, 3))
+SOME_DAYS = VIEW.format(where="WHERE purchase_ts::date BETWEEN DATE '1994-02-14' AND DATE '1996-07-03'")
+
+
+def _from_cells(name, chart, filters, view):
+    def build(star: Star):
+        spark = star.fact_orders.sparkSession
+        folder = scratch_path(spark, "cells")
+        cells.write_cells(cells.build_cells(report.item_view(star)), folder)
+        return cells.CHARTS[chart](cells.selected(cells.read_cells(spark, folder), filters))
+    star_query(name, build, view + SELECTS[chart])
+
+
+RARE = ("delivery_days_by_state", "worst_reviewed_categories")  # want many orders, so they get the whole selection
+for _chart in cells.CHARTS:
+    _from_cells(f"cells_{_chart}", _chart, *((report.Filters(), ALL) if _chart in RARE else (FILTERS, SOME)))
+_from_cells("cells_kpi_cards_all", "kpi_cards", report.Filters(), ALL)
+_from_cells("cells_kpi_cards_dates", "kpi_cards", DATES, SOME_DAYS)
+_from_cells("cells_buyer_shares_dates", "buyer_shares", DATES, SOME_DAYS)
+_from_cells("cells_late_by_category_dates", "late_by_category", DATES, SOME_DAYS)
