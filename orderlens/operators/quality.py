@@ -142,11 +142,18 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | Non
 
 
 def referential_integrity(star: Star) -> DataFrame:
+    """Items whose customer, product or seller is unknown. One read of the fact: its foreign keys are counted together,
+    each marked with its kind, and meet the keys of all three parents in one join."""
     pairs = {"orphan_cust": (star.dim_customers, "customer_id"), "orphan_prod": (star.dim_products, "product_id"),
              "orphan_sell": (star.dim_sellers, "seller_id")}
-    spark = star.fact_orders.sparkSession
-    return spark.range(1).select(*[orphans(star.fact_orders, parent, key).scalar().alias(alias)
-                                   for alias, (parent, key) in pairs.items()])
+    marked = F.array(*[F.struct(F.lit(alias).alias("kind"), F.col(key).cast("string").alias("k"))
+                       for alias, (_, key) in pairs.items()])
+    keys = star.fact_orders.select(F.inline(marked)).groupBy("kind", "k").agg(F.count("*").alias("n"))
+    parents = _stack([parent.select(F.lit(alias).alias("kind"), F.col(key).cast("string").alias("k"))
+                      for alias, (parent, key) in pairs.items()])
+    orphaned = keys.join(parents, ["kind", "k"], "left_anti")
+    return orphaned.agg(*[F.coalesce(F.sum(F.when(F.col("kind") == alias, F.col("n"))), F.lit(0)).alias(alias)
+                          for alias in pairs])
 
 
 def join_cardinality(star: Star, items: DataFrame) -> DataFrame:
@@ -172,20 +179,24 @@ def _zero(*metrics: str) -> dict[str, int | None]:
     return dict.fromkeys(metrics, 0)
 
 
+def row_wise_metrics(first_day: str, end_day: str) -> list[Column]:
+    """Count and row-wise checks of the fact as aggregates, for one pass over it or for an ``Observation`` of its writing."""
+    return [F.count(F.lit(1)).alias("fact_orders"), count_where(_outside(first_day, end_day)).alias("out_of_range"),
+            *_null_keys(), *_impossible(90)]
+
+
 def check_suite(star: Star, expected_rows: dict[str, int | None], first_day: str, end_day: str,
-                items: DataFrame | None = None) -> DataFrame:
+                items: DataFrame | None = None, measured: DataFrame | None = None) -> DataFrame:
     """All checks as one table: (check_name, metric, value, expected, ok).
 
-    The fact is read five times: once for its count, all row-wise checks and the comparison with the items, once for its
-    keys, and once for each of three foreign keys.
+    The fact is read three times: for its count and all row-wise checks, for its keys, and for its foreign keys. ``measured``
+    is the one row of ``row_wise_metrics`` where those are known already, and the first of these reads is saved.
     """
     others = {name: n for name, n in expected_rows.items() if name != "fact_orders"}
     counts = [row_count_check(star, others).select(
         F.lit("row counts").alias("check_name"), F.col("table_name").alias("metric"), F.col("n").alias("value"),
         "expected", "ok")] if others else []
-    row_wise = star.fact_orders.agg(F.count("*").alias("fact_orders"),
-                                    count_where(_outside(first_day, end_day)).alias("out_of_range"), *_null_keys(),
-                                    *_impossible(90))
+    row_wise = star.fact_orders.agg(*row_wise_metrics(first_day, end_day)) if measured is None else measured
     checks = {"date range": _zero("out_of_range"),
               "nulls in key columns": _zero("null_ts", "null_price", "null_cust", "delivered_wo_days"),
               "delivery days": {"negative_days": 0, "slow_over_90d_info": None}}

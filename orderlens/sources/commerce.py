@@ -193,6 +193,17 @@ def _reviews(orders: DataFrame) -> DataFrame:
     return review_dimension(newest_reviews(parsed))
 
 
+def _places(spark: SparkSession, folder: str) -> DataFrame:
+    """A place for every customer; every ninth has no position."""
+    key = F.col("c_custkey")
+    rows = table(spark, folder, "customer").join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    known = key % 9 != 0
+    return rows.select((key % 1000).cast("int").alias("geolocation_zip_code_prefix"),
+                       F.when(known, (key % 90).cast("double")).alias("geolocation_lat"),
+                       F.when(known, (-(key % 180)).cast("double")).alias("geolocation_lng"),
+                       F.col("c_mktsegment").alias("geolocation_city"), F.col("n_name").alias("geolocation_state"))
+
+
 def raw_frames(spark: SparkSession, folder: str) -> Frames:
     """The same data shaped like the raw files: text timestamps (some unreadable), untrimmed states, untranslated names."""
     def text(column: str) -> Column:
@@ -229,4 +240,5 @@ def raw_frames(spark: SparkSession, folder: str) -> Frames:
             no_text.alias("review_comment_message"), text("created").alias("review_creation_date"),
             text("answered").alias("review_answer_timestamp")),
         "order_payments": lambda: _payments(spark, folder),
+        "geolocation": lambda: _places(spark, folder),
     })

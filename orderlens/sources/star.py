@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.schemas import STAR
@@ -56,18 +56,30 @@ def register(star: Star) -> None:
         frame.createOrReplaceTempView(name)
 
 
-def write_star(star: Star, folder: str) -> None:
+def write_dimensions(star: Star, folder: str) -> None:
+    for name, frame in star.tables().items():
+        if name != "fact_orders":
+            frame.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+
+def purchase_month() -> Column:
+    return F.floor(F.col("purchase_date_key") / 100).cast("int")
+
+
+def write_star(star: Star, folder: str, watch: tuple[Observation, list[Column]] | None = None) -> None:
     """Full refresh, dimensions first. The fact is split into purchase months, so date filters skip whole folders.
 
+    ``watch`` is an observation and the aggregates it collects while the fact is written: it looks at the rows in the last
+    stage, where every task counts once, however often it is tried.
+
     Rebalancing brings a month's rows together for few, evenly sized files; at run time small months share a task and a
     busy month, or an order with very many items, is cut into several.
     """
-    for name, frame in star.tables().items():
-        if name != "fact_orders":
-            frame.write.mode("overwrite").parquet(f"{folder}/{name}")
-    (star.fact_orders.withColumn("purchase_month", F.floor(F.col("purchase_date_key") / 100).cast("int"))
-     .hint("rebalance", "purchase_month")
-     .write.mode("overwrite").partitionBy("purchase_month").parquet(f"{folder}/fact_orders"))
+    write_dimensions(star, folder)
+    fact = star.fact_orders.withColumn("purchase_month", purchase_month()).hint("rebalance", "purchase_month")
+    if watch:
+        fact = fact.observe(watch[0], *watch[1])
+    (fact.write.mode("overwrite").partitionBy("purchase_month").parquet(f"{folder}/fact_orders"))
 
 
 def read_star(spark: SparkSession, folder: str, with_schema: bool = False) -> Star:
