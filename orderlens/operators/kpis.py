@@ -162,8 +162,12 @@ def delivery_distribution(star: Star) -> DataFrame:
 
 
 def payment_types(star: Star) -> DataFrame:
+    return payment_types_of(star.dim_payments)
+
+
+def payment_types_of(payments: DataFrame) -> DataFrame:
     """Payments only, never joined to items. Rows are reduced to (type, order) before the distinct count."""
-    per_order = star.dim_payments.groupBy("payment_type", "order_id").agg(
+    per_order = payments.groupBy("payment_type", "order_id").agg(
         F.count("*").alias("rows"), F.sum("payment_value").alias("value"),
         F.sum("payment_installments").alias("installments"), F.count("payment_installments").alias("n"))
     types = per_order.groupBy("payment_type").agg(

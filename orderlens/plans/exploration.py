@@ -1,10 +1,9 @@
 """Exploratory reports, derived figures and canned evidence."""
 
-from orderlens.operators import evidence, explore
+from orderlens.operators import evidence, explore, kpis, shared
 from orderlens.plans.kpi import BUYER_REVENUE, REPEAT_RATE, REVIEWS_BY_PUNCTUALITY
 from orderlens.plans.registry import STAR_SQL, query, star_query
 from orderlens.sources import commerce
-from orderlens.operators import kpis
 
 star_query("explore_monthly_revenue", kpis.revenue_by_month, """
 SELECT year_month, count(DISTINCT order_id) AS orders, round(sum(rev), 2)::double AS revenue_brl
@@ -48,7 +47,7 @@ star_query("explore_revenue_by_buyer", explore.revenue_by_buyer,
            BUYER_REVENUE.format(label="buyer_type", repeat="repeat", one="one_time"))
 
 query("explore_findings", lambda spark, folder: explore.findings(
-    explore.reports(commerce.stored_star(spark, folder))), STAR_SQL + RANKED + f"""
+    shared.explore_reports(shared.share_scan(commerce.star(spark, folder)))), STAR_SQL + RANKED + f"""
 , m AS (SELECT year_month, round(sum(rev), 2)::double AS r FROM fact GROUP BY year_month),
 s AS ({ON_TIME_STATES}), d AS ({DAYS_BY_STATE}), v AS ({REVIEWS_BY_PUNCTUALITY}),
 o AS ({ON_TIME_ALL}), p AS ({REPEAT_RATE.format(digits=3)}),

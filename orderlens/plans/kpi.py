@@ -1,7 +1,13 @@
 """KPI and service reports."""
 
-from orderlens.operators import kpis, service
-from orderlens.plans.registry import star_query
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from orderlens.operators import kpis, service, shared
+from orderlens.plans.registry import QUERIES, STAR_SQL, query, star_query
+from orderlens.sources import commerce
 
 REVENUE_BY_MONTH = """
 SELECT year_month, count(*) AS orders, round(sum(order_revenue), 2)::double AS revenue_brl
@@ -106,3 +112,40 @@ star_query("service_kpis_by_state", service.kpis_by_state, """
 SELECT customer_state, count_if(is_delivered) AS delivered_orders,
        round(100.0::double * count_if(is_on_time) / nullif(count_if(is_delivered), 0), 1) AS on_time_pct,
        round(avg(delivery_days), 1) AS avg_delivery_days FROM bought_in GROUP BY customer_state""")
+
+# ---------------------------------------------------------------- all fifteen from one pass over the fact
+
+# The registered report behind each stored name, with its key column where it has one.
+STORED = dict(zip(
+    ["01_revenue_by_month", "02_revenue_by_state", "03_revenue_by_category", "04_on_time_delivery_pct", "05_avg_delivery_days",
+     "06_avg_review_score", "07_repeat_purchase_rate", "08_late_vs_ontime_review_scores", "09_top10_categories",
+     "10_delivery_days_distribution", "11_payment_types", "12_repeat_vs_onetime_revenue", "13_worst_states_on_time",
+     "14_worst_categories_on_time", "15_monthly_ontime_vs_reviews"],
+    [("revenue_by_month", "year_month"), ("revenue_by_state", "customer_state"), ("revenue_by_category", "category"),
+     ("on_time_rate", None), ("delivery_days_by_month", "year_month"), ("review_scores", None), ("repeat_rate", None),
+     ("reviews_by_punctuality", "is_on_time"), ("top_categories", "category"), ("delivery_distribution", "delivery_bucket"),
+     ("payment_types", "payment_type"), ("repeat_vs_one_time_revenue", "customer_type"), ("worst_states", "customer_state"),
+     ("worst_categories", "category"), ("monthly_experience", "year_month")]))
+
+
+def _all_reports(spark, folder):
+    """Every figure of every report: (report, key, measure, value)."""
+    parts = []
+    for name, report in shared.kpi_reports(shared.share_scan(commerce.star(spark, folder))).items():
+        key = STORED[name][1]
+        figures = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value"))
+                            for c in report.columns if c != key])
+        parts.append(report.select(F.lit(name).alias("report"), (F.col(key) if key else F.lit("")).cast("string").alias("key"),
+                                   F.inline(figures)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _figures(name, report, key):
+    own = QUERIES[f"kpi_{report}"].sql.removeprefix(STAR_SQL).strip()
+    own = "WITH" + own[1:] if own.startswith(",") else own
+    kept = f"{key}::varchar AS key, COLUMNS(* EXCLUDE ({key}))::double" if key else "'' AS key, COLUMNS(*)::double"
+    return f"""SELECT '{name}' AS report, key, measure, value FROM (SELECT {kept} FROM ({own}))
+  UNPIVOT INCLUDE NULLS (value FOR measure IN (COLUMNS(* EXCLUDE (key))))"""
+
+
+query("shared_kpi_reports", _all_reports, STAR_SQL + " UNION ALL ".join(_figures(n, *r) for n, r in STORED.items()))
