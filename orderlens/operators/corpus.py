@@ -1,15 +1,19 @@
 """Documents to titled chunks of about 500 characters.
 
-All steps are array expressions on whole texts, so a document is one row until its chunks are exploded and nothing leaves
-the JVM. The folds append only when a chunk is finished, so a step moves a few references, not the text read so far.
+Chunks are cut in one Arrow pass that reads a document's paragraphs once, in order, and keeps only the open chunk: the work
+grows with the text, however many paragraphs a document has. Titles and sections of single positions are column expressions.
 """
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.functions.arrays import let
 from orderlens.session import scratch_path
 
 # Chunk size, the length up to which a chunk is left whole (10% more), and the length of a fragment.
@@ -20,8 +24,6 @@ WHITE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\
          "\u2028\u2029\u202f\u205f\u3000")
 BLANK_LINE = f"\n[{WHITE}]*\n"
 
-_CHUNKS = "array<struct<body:string,size:int,start:int>>"
-
 
 def stripped(text: Column) -> Column:
     return F.trim(text, F.lit(WHITE))
@@ -53,80 +55,99 @@ def section_at(heads: Column, position: Column) -> Column:
     return F.coalesce(F.try_element_at(before, F.lit(-1))["title"], F.lit(""))
 
 
-def _chunk(body: Column, size: Column, start: Column) -> Column:
-    """Text, its length (kept, because lambdas would count the characters again at every use) and position."""
-    return F.struct(body.alias("body"), size.alias("size"), start.alias("start"))
-
+_BLANK_LINE, _HEAD = re.compile(BLANK_LINE), re.compile(f"(?:^|(?<=[{LINE_ENDS}]))## ([^{LINE_ENDS}]*)")
 
-def _with(done: Column, last: Column) -> Column:
-    return F.concat(done, F.array(_chunk(last["body"], last["size"], last["start"])))
 
+def packed(text: str) -> Iterator[tuple[str, int]]:
+    """Paragraphs joined up to the chunk size, with the position of the first. Positions add two characters per paragraph,
+    whatever separated them."""
+    opened, size, start, at = [], 0, 0, 0
+    for paragraph in _paragraphs(text):
+        body = paragraph.strip(WHITE)
+        if body:
+            if opened and size + 2 + len(body) > MAX_CHARS:
+                yield "\n\n".join(opened), start
+                opened = []
+            if not opened:
+                size, start = -2, at
+            opened.append(body)
+            size += 2 + len(body)
+        at += len(body) + 2
+    if opened:
+        yield "\n\n".join(opened), start
 
-def _packed(text: Column) -> Column:
-    """Paragraphs joined up to the chunk size. Positions add two characters per paragraph, whatever separated them."""
-    bodies = F.transform(F.split(text, BLANK_LINE), stripped)
-    paragraphs = F.transform(bodies, lambda b: F.struct(b.alias("body"), F.length(b).alias("size")))
-    start = F.struct(F.lit("").alias("body"), F.lit(0).alias("size"), F.lit(0).alias("start"), F.lit(0).alias("at"),
-                     F.array().cast(_CHUNKS).alias("done"))
 
-    def step(now: Column, paragraph: Column) -> Column:
-        body, size = paragraph["body"], paragraph["size"]
-        blank, first = size == 0, now["size"] == 0
-        full = ~blank & ~first & (now["size"] + 2 + size > MAX_CHARS)
-        fresh = first | full
-        return F.struct(
-            F.when(blank, now["body"]).when(fresh, body).otherwise(F.concat(now["body"], F.lit("\n\n"), body))
-            .alias("body"),
-            F.when(blank, now["size"]).when(fresh, size).otherwise(now["size"] + 2 + size).alias("size"),
-            F.when(~blank & fresh, now["at"]).otherwise(now["start"]).alias("start"),
-            (now["at"] + size + 2).alias("at"), F.when(full, _with(now["done"], now)).otherwise(now["done"]).alias("done"))
+def _paragraphs(text: str) -> Iterator[str]:
+    at = 0
+    for gap in _BLANK_LINE.finditer(text):
+        yield text[at:gap.start()]
+        at = gap.end()
+    yield text[at:]
 
-    return F.aggregate(paragraphs, start, step,
-                       lambda now: F.when(now["size"] > 0, _with(now["done"], now)).otherwise(now["done"]))
 
+def pieces(chunks: Iterable[tuple[str, int]]) -> Iterator[tuple[str, int]]:
+    """Chunks that are too long become pieces of the chunk size."""
+    for body, start in chunks:
+        for at in range(0, len(body), MAX_CHARS) if len(body) > WHOLE else (0,):
+            yield body[at:at + MAX_CHARS] if len(body) > WHOLE else body, start
 
-def _cut(chunks: Column) -> Column:
-    """Chunks that are too long become pieces of the chunk size; one linear pass over each."""
-    def pieces(chunk: Column) -> Column:
-        parts = F.regexp_extract_all(chunk["body"], F.lit(f"(?s).{{1,{MAX_CHARS}}}"), F.lit(0))
-        return F.transform(parts, lambda p: _chunk(p, F.length(p), chunk["start"]))
 
-    return F.flatten(F.transform(chunks, lambda c: F.when(c["size"] <= WHOLE, F.array(c)).otherwise(pieces(c))))
+def without_fragments(chunks: Iterable[tuple[str, int]]) -> Iterator[tuple[str, int]]:
+    """Fragments join the chunk before them where the result stays short enough."""
+    last = None
+    for body, start in chunks:
+        if last and len(body) < FRAGMENT and len(last[0]) + 2 + len(body) <= WHOLE:
+            last = f"{last[0]}\n\n{body}", last[1]
+        else:
+            if last:
+                yield last
+            last = body, start
+    if last:
+        yield last
 
 
-def _without_fragments(chunks: Column) -> Column:
-    """Fragments join the chunk before them where the result stays short enough."""
-    start = F.struct(F.lit("").alias("body"), F.lit(-1).alias("size"), F.lit(0).alias("start"),
-                     F.array().cast(_CHUNKS).alias("done"))
+def _sectioned(text: str) -> Iterator[tuple[str, str]]:
+    """Section and content of a document's chunks: the section is the last head at or before the chunk's start."""
+    heads = [(m.start(), m[1].strip(WHITE)) for m in _HEAD.finditer(text)]
+    offsets = [at for at, _ in heads]
+    for body, start in without_fragments(pieces(packed(text))):
+        n = bisect_right(offsets, start)
+        yield heads[n - 1][1] if n else "", body
 
-    def step(last: Column, chunk: Column) -> Column:
-        size = chunk["size"]
-        none = last["size"] < 0
-        joins = ~none & (size < FRAGMENT) & (last["size"] + 2 + size <= WHOLE)
-        return F.struct(
-            F.when(joins, F.concat(last["body"], F.lit("\n\n"), chunk["body"])).otherwise(chunk["body"]).alias("body"),
-            F.when(joins, last["size"] + 2 + size).otherwise(size).alias("size"),
-            F.when(joins, last["start"]).otherwise(chunk["start"]).alias("start"),
-            F.when(joins | none, last["done"]).otherwise(_with(last["done"], last)).alias("done"))
 
-    return F.aggregate(chunks, start, step,
-                       lambda last: F.when(last["size"] >= 0, _with(last["done"], last)).otherwise(last["done"]))
+#: Chunks of an Arrow batch that the cutting hands on.
+BATCH = 4096
 
 
 def chunk_documents(documents: DataFrame, key: str, text: str = "text", fallback_title: str | None = None) -> DataFrame:
-    """(key, chunk_no, title, section, label, content): chunks numbered from 0 within their document."""
-    body = F.col(text)
+    """(key, chunk_no, title, section, label, content): chunks numbered from 0 within their document. A document without
+    text has none."""
+    kind = documents.schema[key].dataType.simpleString()
     fallback = F.col(fallback_title) if fallback_title else F.col(key).cast("string")
-    parsed = documents.select(F.col(key), document_title(body, fallback).alias("title"),
-                              section_heads(body).alias("heads"), _packed(body).alias("packed"))
-    # The section is looked up before the chunks become rows, so the heads of a document are not copied to each.
-    both = F.struct(F.col("heads").alias("heads"), _without_fragments(_cut(F.col("packed"))).alias("chunks"))
-    named = let(both, lambda b: F.transform(b["chunks"], lambda c: F.struct(
-        section_at(b["heads"], c["start"]).alias("section"), c["body"].alias("content"))))
-    titled = parsed.select(key, "title", F.posexplode(named).alias("chunk_no", "c")).select(
-        key, "chunk_no", "title", "c.section", "c.content")
+    titled = documents.select(F.col(key), document_title(F.col(text), fallback).alias("title"), F.col(text).alias("text")).filter(
+        "text IS NOT NULL")
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, numbers, sections, contents = [], [], [], []
+            for row, value in enumerate(batch.column("text")):
+                for number, (section, content) in enumerate(_sectioned(value.as_py())):
+                    rows.append(row), numbers.append(number), sections.append(section), contents.append(content)
+                    if len(rows) == BATCH:
+                        yield made(batch, rows, numbers, sections, contents)
+                        rows, numbers, sections, contents = [], [], [], []
+            if rows:
+                yield made(batch, rows, numbers, sections, contents)
+
+    def made(batch, rows, numbers, sections, contents) -> pa.RecordBatch:
+        of = pa.array(rows, pa.int32())
+        return pa.RecordBatch.from_arrays([batch.column(key).take(of), pa.array(numbers, pa.int32()),
+                                           batch.column("title").take(of), pa.array(sections), pa.array(contents)],
+                                          names=[key, "chunk_no", "title", "section", "content"])
+
+    chunks = titled.mapInArrow(cut, f"`{key}` {kind}, chunk_no int, title string, section string, content string")
     label = F.when(F.col("section") == "", F.col("title")).otherwise(F.concat_ws(" › ", "title", "section"))
-    return titled.select(key, "chunk_no", "title", "section", label.alias("label"), "content")
+    return chunks.select(key, "chunk_no", "title", "section", label.alias("label"), "content")
 
 
 def _written(frame: DataFrame, name: str) -> DataFrame:

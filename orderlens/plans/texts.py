@@ -237,19 +237,25 @@ query("routing_intents", lambda spark, folder: texts.questions(spark, folder).se
     "question_id", F.array_join(routing.intents(F.col("question")), "; ").alias("intents")),
     "WITH " + ROUTED + "SELECT question_id, array_to_string(intents, '; ') AS intents FROM answered")
 
-def _passages(spark, folder):
-    """(question_id, rank, label, content, similarity): the nearest chunks of every question, searched once per text."""
-    table = search_table(spark, folder)
-    found = retrieval.passages(_hits(spark, folder), table).withColumnRenamed("question_id", "query_id")
+def _packs(spark, folder):
+    """Every distinct question is routed, searched and given its evidence once; the packs then go to all who asked it. The
+    table of chunks is built once and stored."""
+    path = scratch_path(spark, "search-table")
+    search_table(spark, folder).write.parquet(path)
+    table = spark.read.parquet(path)
+    asked = question_vectors(spark, folder)
+    found = retrieval.passages(retrieval.top_k(asked.select("query_id", "embedding"), table.select("id", "embedding")), table)
+    distinct = asked.select(F.col("query_id").alias("question_id"), "question")
+    packs = evidence.evidence_packs(routing.route_questions(distinct, texts.YEARS),
+                                    evidence.evidence_table(commerce.stored_star(spark, folder)), found)
+    packs = packs.select(F.col("question_id").alias("query_id"), F.col("blocks").cast("bigint").alias("blocks"),
+                         F.length("pack").cast("bigint").alias("chars"), F.md5("pack").alias("pack_md5"))
     named = texts.questions(spark, folder).select("question_id", F.conv(F.substring(F.md5("question"), 1, 15), 16, 10)
                                                   .cast("bigint").alias("query_id"))
-    return named.join(found, "query_id").drop("query_id")
+    return named.join(packs, "query_id").drop("query_id")
 
 
-query("evidence_packs", lambda spark, folder: evidence.evidence_packs(
-    _routed(spark, folder), evidence.evidence_table(commerce.stored_star(spark, folder)), _passages(spark, folder)).select(
-    "question_id", F.col("blocks").cast("bigint").alias("blocks"), F.length("pack").cast("bigint").alias("chars"),
-    F.md5("pack").alias("pack_md5")), STAR_SQL.replace("WITH", "WITH RECURSIVE", 1) + EVIDENCE_SQL + ", " + DERIVED
+query("evidence_packs", _packs, STAR_SQL.replace("WITH", "WITH RECURSIVE", 1) + EVIDENCE_SQL + ", " + DERIVED
     + CHUNKING + ", " + ROUTED + SEARCHED + """
 , picked AS (SELECT question_id, unnest(intents) AS intent, generate_subscripts(intents, 1) AS k FROM answered
              WHERE route IN ('numeric', 'mixed')),

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -110,3 +111,31 @@ def test_section_is_the_nearest_head_before(spark, position, section):
         corpus.section_at(F.col("h"), F.col("p"))).first()[0]
     heads = [("A", 6), ("B", 14)]
     assert found == section == next((t for t, at in reversed(heads) if at <= position), "")
+
+
+def test_work_grows_with_the_text():
+    """Twice the paragraphs take about twice the time, also in one document."""
+    def seconds(paragraphs):
+        text = "\n\n".join(f"## part {i}\n\n" + "w" * (i % 600) for i in range(paragraphs))
+        best = 9e9
+        for _ in range(3):
+            start = time.perf_counter()
+            n = sum(1 for _ in corpus._sectioned(text))
+            best = min(best, time.perf_counter() - start)
+        assert n > paragraphs / 4
+        return best
+
+    assert seconds(50_000) < 3 * seconds(25_000)
+
+
+def test_one_document_of_many_paragraphs(spark):
+    text = "\n\n".join("p" * (i % 90) for i in range(50_000))
+    assert [r["content"] for r in chunks(spark, text)] == expected_chunks(text)
+
+
+def test_odd_documents(spark):
+    """No text, no chunk; a null key stays a key; white space and line ends as Unicode has them."""
+    frame = spark.createDataFrame([(None, "a\u2028## B\n\u3000\nbody", "t"), (1, None, "u"), (2, "", None)],
+                                  "k int, text string, title string")
+    found = [(r["k"], r["section"], r["content"], r["label"]) for r in corpus.chunk_documents(frame, "k", "text", "title").collect()]
+    assert found == [(None, "", "a\u2028## B\n\nbody", "t")]
