@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import kpis, service, shared
 from orderlens.plans.registry import QUERIES, STAR_SQL, query, star_query
-from orderlens.sources import commerce
+from orderlens.session import scratch_path
+from orderlens.sources import buckets, commerce
 
 REVENUE_BY_MONTH = """
 SELECT year_month, count(*) AS orders, round(sum(order_revenue), 2)::double AS revenue_brl
@@ -149,3 +150,18 @@ def _figures(name, report, key):
 
 
 query("shared_kpi_reports", _all_reports, STAR_SQL + " UNION ALL ".join(_figures(n, *r) for n, r in STORED.items()))
+
+# ---------------------------------------------------------------- the same reports on the fact in buckets by order
+
+
+def _bucketed(report):
+    def build(spark, folder):
+        path = scratch_path(spark, "bucketed")
+        buckets.write_bucketed_star(commerce.star(spark, folder), path, 16)
+        return report(buckets.open_bucketed_star(spark, path))
+    return build
+
+
+query("layout_headline_kpis", _bucketed(service.headline_kpis), STAR_SQL + HEADLINE)
+query("layout_delivery_days_by_month", _bucketed(kpis.delivery_days_by_month), QUERIES["kpi_delivery_days_by_month"].sql)
+query("layout_repeat_rate", _bucketed(kpis.repeat_rate), QUERIES["kpi_repeat_rate"].sql)
