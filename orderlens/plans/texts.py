@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from orderlens.operators import audit, corpus, evidence, retrieval, routing, vector_index
+from orderlens.operators import answers, audit, corpus, evidence, retrieval, routing, vector_index
 from orderlens.plans.exploration import EVIDENCE_SQL
 from orderlens.plans.registry import STAR_SQL, query
 from orderlens.session import scratch_path
@@ -237,19 +237,23 @@ query("routing_intents", lambda spark, folder: texts.questions(spark, folder).se
     "question_id", F.array_join(routing.intents(F.col("question")), "; ").alias("intents")),
     "WITH " + ROUTED + "SELECT question_id, array_to_string(intents, '; ') AS intents FROM answered")
 
-def _packs(spark, folder):
-    """Every distinct question is routed, searched and given its evidence once; the packs then go to all who asked it. The
-    table of chunks is built once and stored."""
+def _evidence(spark, folder):
+    """Every distinct question is routed, searched and given its evidence once: (routed, packs). The table of chunks is
+    built once and stored."""
     path = scratch_path(spark, "search-table")
     search_table(spark, folder).write.parquet(path)
     table = spark.read.parquet(path)
     asked = question_vectors(spark, folder)
     found = retrieval.passages(retrieval.top_k(asked.select("query_id", "embedding"), table.select("id", "embedding")), table)
-    distinct = asked.select(F.col("query_id").alias("question_id"), "question")
-    packs = evidence.evidence_packs(routing.route_questions(distinct, texts.YEARS),
-                                    evidence.evidence_table(commerce.stored_star(spark, folder)), found)
-    packs = packs.select(F.col("question_id").alias("query_id"), F.col("blocks").cast("bigint").alias("blocks"),
-                         F.length("pack").cast("bigint").alias("chars"), F.md5("pack").alias("pack_md5"))
+    routed = routing.route_questions(asked.select(F.col("query_id").alias("question_id"), "question"), texts.YEARS)
+    return routed, evidence.evidence_packs(routed, evidence.evidence_table(commerce.stored_star(spark, folder)), found)
+
+
+def _packs(spark, folder):
+    """The packs go to all who asked the question."""
+    packs = _evidence(spark, folder)[1].select(
+        F.col("question_id").alias("query_id"), F.col("blocks").cast("bigint").alias("blocks"),
+        F.length("pack").cast("bigint").alias("chars"), F.md5("pack").alias("pack_md5"))
     named = texts.questions(spark, folder).select("question_id", F.conv(F.substring(F.md5("question"), 1, 15), 16, 10)
                                                   .cast("bigint").alias("query_id"))
     return named.join(packs, "query_id").drop("query_id")
@@ -381,3 +385,70 @@ query("audit_acceptance", lambda spark, folder: _accepted(spark, folder).select(
       FLAGS + "SELECT id, array_to_string(flags, '; ') AS flags FROM flagged")
 query("audit_acceptance_summary", lambda spark, folder: audit.acceptance_summary(_accepted(spark, folder)),
       FLAGS + "SELECT count(*) AS questions, count_if(len(flags) > 0) AS with_flags FROM flagged")
+
+# ---------------------------------------------------------------- questions to audited answers
+
+# Replies to a pack: {n} its first number, {last} and {next} the number of its last block and one that does not exist.
+PACK_REPLIES = [
+    "ANSWER:\nThe figure is {n} [E1].\n\nCITATIONS:\nE1",
+    "ANSWER: It is {n} [E1] and 123456.789 [E{next}] .\nCITATIONS: E1 E{last}",
+    "ANSWER: I do not have this information. CITATIONS: ",
+    "It was {n} [E1], which is 7% of it [E{last}].",
+    "ANSWER: No figure is given, 12.5% of all delivered orders were late [E{last}].\nCITATIONS: E{next}",
+]
+
+
+def _replied(spark, folder):
+    path = scratch_path(spark, "packs")
+    routed, packs = _evidence(spark, folder)
+    packs.select("question_id", "evidence").write.parquet(path)
+    packs = spark.read.parquet(path)
+    contents = F.array_join(F.transform("evidence", lambda e: e["content"]), " ")
+    number = F.regexp_extract(contents, audit.UNICODE + audit.NUMBER, 0)
+    template = F.element_at(F.array(*[F.lit(t) for t in PACK_REPLIES]),
+                            (F.col("question_id") % len(PACK_REPLIES) + 1).cast("int"))
+    last = F.size("evidence")
+    for name, value in (("{n}", number), ("{last}", last.cast("string")), ("{next}", (last + 1).cast("string"))):
+        template = F.replace(template, F.lit(name), value)
+    return answers.audited_answers(routed, packs, packs.select("question_id", template.alias("raw")))
+
+
+PACKS = STAR_SQL.replace("WITH", "WITH RECURSIVE", 1) + EVIDENCE_SQL + ", " + DERIVED + CHUNKING + ", " \
+    + ROUTED + SEARCHED + """
+, texted AS (SELECT query_id, any_value(route) AS route, any_value(intents) AS intents, any_value(question) AS question
+             FROM answered JOIN asks USING (question) GROUP BY query_id),
+picked AS (SELECT query_id, unnest(intents) AS intent, generate_subscripts(intents, 1) AS k FROM texted
+           WHERE route IN ('numeric', 'mixed')),
+given AS (SELECT query_id, 0 AS kind, k, part, content FROM picked JOIN blocks USING (intent)
+          UNION ALL SELECT query_id, 1, rank, 0, content FROM texted JOIN hit USING (query_id)
+          WHERE route IN ('document', 'mixed', 'refuse')),
+held AS (SELECT query_id, count(*)::int AS nb, string_agg(content, ' ' ORDER BY kind, k, part) AS ev FROM given GROUP BY query_id),
+"""
+
+# The audit of any reply with nb blocks whose contents are ev, as the audits above do it for two blocks.
+AUDIT_ANY = (AUDIT[AUDIT.index("parts AS ("):].replace("clean AS (SELECT id, question, raw, ev,", "clean AS (SELECT id, question, raw, ev, nb,")
+             .replace("x NOT IN ('1', '2')", "NOT (length(x) < 9 AND x::bigint::varchar = x AND x::bigint BETWEEN 1 AND nb)")
+             .replace("x IN ('1', '2')", "length(x) < 9 AND x::bigint::varchar = x AND x::bigint BETWEEN 1 AND nb"))
+REPLIED = PACKS + "reply AS (SELECT query_id AS id, question, nb, ev, replace(replace(replace([" + \
+    ", ".join(_text(t) for t in PACK_REPLIES) + f"][query_id % {len(PACK_REPLIES)} + 1], '{{n}}', " + \
+    f"regexp_extract(ev, {_text(audit.NUMBER)})), '{{last}}', nb::varchar), '{{next}}', (nb + 1)::varchar) AS raw " + \
+    "FROM held JOIN texted USING (query_id)),\n" + AUDIT_ANY + f"""
+, wanted(question, want) AS (VALUES {', '.join(f'({_text(q)}, {_text(r)})' for r, q in routing.ACCEPTANCE)}),
+judged_reply AS (SELECT a.*, t.route, coalesce(w.want, t.route) AS want, w.want IS NOT NULL AS fixed FROM audited a
+                 JOIN texted t ON t.query_id = a.id LEFT JOIN wanted w ON w.question = a.question),
+flagged AS (SELECT *, list_filter([
+    if(route <> want, concat('route-mismatch (expected ', want, ')'), NULL),
+    if(want = 'refuse' AND NOT refusal, 'NOT-A-REFUSAL (never says the info is missing)', NULL),
+    if(len(cited) = 0, 'NO-CITATIONS', NULL),
+    if(len(unsupported_numbers) > 0, concat('INVENTED-NUMBERS ', array_to_string(unsupported_numbers, ', ')), NULL),
+    if(len(unknown_citations) > 0, concat('BOGUS-CITATIONS ', array_to_string(unknown_citations, ', ')), NULL),
+    if(len(missing_denominator) > 0, concat('MISSING-DENOMINATOR ', array_to_string(missing_denominator, ', ')), NULL)
+  ], lambda x: x IS NOT NULL) AS flags FROM judged_reply)
+"""
+query("answers_audited", lambda spark, folder: _replied(spark, folder).select(
+    "question_id", "route", *_joined("cited", "uncited", "unknown_citations", "unsupported_numbers", "missing_denominator",
+                                     "flags")), REPLIED + """
+SELECT id AS question_id, route, """ + ", ".join(f"array_to_string({c}, '; ') AS {c}" for c in (
+    "cited", "uncited", "unknown_citations", "unsupported_numbers", "missing_denominator", "flags")) + " FROM flagged")
+query("answers_acceptance", lambda spark, folder: answers.acceptance_of_fixed_questions(_replied(spark, folder)), REPLIED + """
+SELECT count(*) AS questions, count_if(len(flags) > 0) AS with_flags FROM flagged WHERE fixed""")
