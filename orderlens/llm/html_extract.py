@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import pieces
+from orderlens.llm.common import hashed_sample, id_text, pieces, stored
 from orderlens.llm.html_tree import Page, read_page
 
 #: Sample of pages the model learns from (each also in LAYOUTS other forms), gradient steps, and the prior's strength.
@@ -302,13 +302,20 @@ def training_pages(htmls: list[str], layouts: int = LAYOUTS) -> tuple[list[Page]
     return pages, labels
 
 
+#: Characters from which on a page is not learned from.
+LONGEST_LEARNED = 200_000
+
+
 def fit(pages: DataFrame, rows: int = SAMPLE_PAGES) -> Model:
-    """The model of at most ``rows`` pages with an <article>, those with the smallest hash of page_id (bounded sample).
-    Without such a page the weights are those of the layouts alone, filled with placeholder words."""
+    """The model of at most ``rows`` pages with an <article> and under LONGEST_LEARNED characters, those with the smallest
+    hash of page_id (bounded sample; longer pages are read, only not learned from; of several pages with one id the first in
+    order). Without such a page the weights are those of the layouts alone, filled with placeholder words."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    sample = (pages.filter(html.contains("<article") & (F.length(html) < 200_000))
-              .select(F.xxhash64(F.col("page_id").cast("string")).alias("h"), html.alias("html"))
-              .orderBy("h", "html").limit(rows).collect())
+    able = pages.select(html.alias("html"), id_text("page_id").alias("id")).filter(
+        F.col("html").contains("<article") & (F.length("html") < LONGEST_LEARNED))
+    keys = hashed_sample(stored(able.select("id").distinct(), "page-ids"), rows, "id")  # only the chosen pages' html travels
+    chosen = able.join(F.broadcast(keys), "id").groupBy("id").agg(F.min("html").alias("html"))
+    sample = chosen.orderBy(F.xxhash64("id"), "id").collect()
     found, labels = training_pages([r["html"] for r in sample] or ["<article><h1>x x</h1><p>x x x x x x.</p></article>"])
     return fit_model(found, labels)
 

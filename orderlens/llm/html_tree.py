@@ -9,8 +9,8 @@ from html import unescape
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements without text of the page: their whole content is passed over.
-HIDDEN = frozenset("script style title template noscript iframe object svg math canvas select textarea button datalist "
-                   "audio video map noembed noframes".split())
+HIDDEN = frozenset("script style title template noscript iframe svg canvas select textarea button datalist "
+                   "audio video noembed noframes annotation annotation-xml".split())
 #: Of these the content is not markup.
 RAW = frozenset("script style title textarea iframe noembed noframes".split())
 BLOCK = frozenset("html body main article section div p h1 h2 h3 h4 h5 h6 header footer nav aside form fieldset ul ol "

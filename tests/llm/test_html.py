@@ -2,6 +2,7 @@ import itertools
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orderlens.llm import html_extract as op
 from orderlens.llm.html_tree import read_page
@@ -40,6 +41,22 @@ def test_tree():
         "one", "two", "xy", "z", "1", "2", "3", "q & r s", "tail"]
 
 
+def test_formulas_and_fallback_texts_are_text():
+    page = read_page("<article><p>It says that <math><mi>E</mi>=<mi>m</mi><annotation>E = m</annotation></math> holds.</p>"
+                     "<p>See <object data=x><param name=a>the <b>chart</b></object> and <map name=m>the map</map>.</p>"
+                     "<svg><text>no</text></svg></article>")
+    assert op.main_text(page, np.ones(len(page.tag), bool)).split("\n") == [
+        "It says that E=m holds.", "See the chart and the map."]
+
+
+def test_sample_is_the_same_however_pages_are_spread(spark):
+    """Also where a third of all rows repeat one page; only as many pages as are learned from reach the driver."""
+    pages = spark.read.parquet(PAGES).limit(300)
+    repeated = pages.unionByName(pages.limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(150)))).drop("n"))
+    models = [op.fit(p, 20) for p in (pages.repartition(3), pages.repartition(17), repeated.repartition(11))]
+    assert all(np.array_equal(m.unary, models[0].unary) for m in models)
+
+
 def test_unseen_pages_and_layouts(spark, model):
     htmls = [r["html"] for r in spark.read.parquet(PAGES).orderBy("page_id").limit(400).collect()][200:]
     pages, labels = op.training_pages(htmls)
