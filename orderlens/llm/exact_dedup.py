@@ -6,8 +6,8 @@
    digests with map-side partial summaries. Any digest with more than ``rows / tracked`` rows is among its candidates.
 3. The candidates are counted exactly. Those with copies are the winners: at most ``heavy`` rows, so their broadcast has
    a proven bound. Rows of winners are answered on the map side and never meet in one task.
-4. The remaining digests go through one shuffle. Each has at most ``rows / tracked`` rows (plus the sketch's ties), so
-   no window holds a hot group.
+4. The remaining digests go through one shuffle. The most frequent of them has at most ``rows / heavy`` rows, since at
+   least ``heavy`` winners have more: a group in a window stays small against a task's share of the rows.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import id_text, stored
+from orderlens.llm.common import Marks, id_text, stored
 
 #: Winners broadcast at most, and counters of the Misra-Gries summary.
 HEAVY, TRACKED = 2048, 16384
@@ -64,10 +64,17 @@ def resolve_duplicates(docs: DataFrame, heavy: int = HEAVY, tracked: int = TRACK
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, of which one per distinct normalised text remains (see resolve_duplicates)."""
-    kept = resolve_duplicates(docs).filter("kept").select(F.col("text_sha256").alias("__digest"),
-                                                          id_text("doc_id").alias("__id"))
+    """The rows of ``docs``, all columns, of which one per distinct normalised text remains (see resolve_duplicates).
+
+    Whole texts travel only where they may have a copy: the digests of groups are marked in a bounded set of bits, and rows
+    whose digest is not marked stay where they are.
+    """
+    rows = stored(resolve_duplicates(docs).select(F.col("text_sha256").alias("__digest"), id_text("doc_id").alias("__id"),
+                                                  "group_size", "kept"), "resolved")
+    marks = Marks(rows.filter("group_size > 1").select("__digest").distinct(), "__digest")
     keyed = docs.withColumns({"__digest": text_digest(F.col("text")), "__id": id_text("doc_id")})
+    winners = rows.filter(F.col("kept") & marks.found("__digest")).select("__digest", "__id")
     order = "row_number() OVER (PARTITION BY __digest, __id ORDER BY text)"
-    return (keyed.join(kept, ["__digest", "__id"], "left_semi").withColumn("__n", F.expr(order)).filter("__n = 1")
-            .drop("__digest", "__id", "__n"))
+    grouped = (keyed.filter(marks.found("__digest")).join(winners, ["__digest", "__id"], "left_semi")
+               .withColumn("__n", F.expr(order)).filter("__n = 1").drop("__n"))
+    return keyed.filter(~marks.found("__digest")).unionByName(grouped).drop("__digest", "__id")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import id_text, pieces, stored, whole_texts
+from orderlens.llm.common import Marks, id_text, pieces, stored, whole_texts
 
 WORDS, SEED, RADIUS = 4, 42, 4
 BLOCKS, BUCKET_ROWS = 6, 8192
@@ -155,9 +155,18 @@ def block_masks(blocks: int, radius: int) -> list[int]:
     return [sum(chosen) for chosen in combinations(parts, blocks - radius)]
 
 
-def links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def blocks_for(rows: int, radius: int = RADIUS, bucket: int = 64) -> int:
+    """How many blocks ``rows`` fingerprints want: more blocks leave more bits that must agree, so buckets of about
+    ``bucket`` unlike fingerprints, for more choices of blocks."""
+    blocks = max(BLOCKS, radius + 1)
+    while rows > bucket << 64 * (blocks - radius) // blocks and blocks < radius + 6:
+        blocks += 1
+    return blocks
+
+
+def links(prints: DataFrame, radius: int = RADIUS, blocks: int | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """u, v: links that connect all distinct fingerprints of ``prints`` (column fp) at most ``radius`` bits apart."""
-    masks = block_masks(blocks, radius)
+    masks = block_masks(blocks or blocks_for(prints.count(), radius), radius)
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keyed = prints.select("fp", F.posexplode(F.array(*[F.lit(m).cast("long") for m in signed])).alias("choice", "mask"))
     keyed = keyed.select("fp", "choice", F.col("fp").bitwiseAND(F.col("mask")).alias("part"))
@@ -198,6 +207,23 @@ def _compared(rows: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(values[found]), pa.array(values[root])], names=["u", "v"])
 
 
+#: A node with more than one in so many of all rows is a hub; there are fewer hubs than this.
+HUBS = 1024
+
+
+def _with(rows: DataFrame, lowest: DataFrame, total: int) -> DataFrame:
+    """Rows (u, v) with ``m`` of their u from ``lowest`` (u, m, n: rows of u in ``rows``).
+
+    Hubs are broadcast: since each has over ``total / HUBS`` rows, there are fewer than HUBS, and their rows stay where they
+    are. No task of the join of the others gets more rows of one node than that.
+    """
+    hubs = lowest.filter(F.col("n") > total / HUBS).select("u", F.col("m").alias("hub_m"))
+    marked = rows.join(F.broadcast(hubs), "u", "left")
+    others = marked.filter("hub_m IS NULL").drop("hub_m").join(lowest.select("u", "m"), "u")
+    return marked.filter("hub_m IS NOT NULL").select("u", "v", F.col("hub_m").alias("m")).unionByName(
+        others.select("u", "v", "m"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root for every node of the edges (u, v): root is the smallest node that can be reached.
 
@@ -211,11 +237,11 @@ def components(edges: DataFrame) -> DataFrame:
     seen = signature(rows)
     while seen[0]:
         both = rows.unionByName(rows.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(lowest, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
+        large = _with(both, lowest, 2 * seen[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stored(large, "links")
-        below = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(below, "u").select(F.inline(F.array(
+        below = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = (_with(large, below, seen[0]).select(F.inline(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))))
             .filter("u <> v").distinct())
         rows = stored(small, "links")
@@ -255,12 +281,23 @@ def drop_near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADI
     """The rows of ``docs``, all columns, of which one per component remains: the row of its smallest doc_id.
 
     Of several rows of a component with that doc_id the one with the smallest text stays. Components are told apart by
-    their fingerprints, so unrelated texts with one doc_id, or without any, each stay.
+    their fingerprints, so unrelated texts with one doc_id, or without any, each stay. Whole texts travel only where a
+    component may have more than one row; the others are told by a bounded set of bits and stay where they are.
     """
     keyed = docs.withColumns({"__digest": F.sha2(F.coalesce("text", F.lit("")), 256), "__id": id_text("doc_id")})
     rows, named = _linked(keyed, words, radius, "__digest")
-    first = (rows.join(named, "fp").filter("doc_id <=> component_id")
+    named = stored(named, "named")
+    per_print = rows.groupBy("fp").agg(F.count("*").alias("n"))
+    several = named.join(per_print, "fp").groupBy("root").agg(F.sum("n").alias("n")).filter("n > 1").select("root")
+    in_several = Marks(named.join(several, "root").select("fp"), "fp")
+    touched = rows.filter(in_several.found("fp"))
+    marks = Marks(touched.select("__digest").distinct(), "__digest")
+    first = (touched.join(named, "fp").filter("doc_id <=> component_id")
              .select("__digest", id_text("doc_id").alias("__id"), F.col("root").alias("__root")).distinct())
+    alone = rows.filter(~in_several.found("fp") & marks.found("__digest"))  # shares its digest's bits with others
+    first = first.unionByName(alone.join(named, "fp").select("__digest", id_text("doc_id").alias("__id"),
+                                                             F.col("root").alias("__root")).distinct())
     order = "row_number() OVER (PARTITION BY __root ORDER BY text NULLS FIRST)"
-    return (keyed.join(first, ["__digest", "__id"]).withColumn("__n", F.expr(order)).filter("__n = 1")
-            .drop("__digest", "__id", "__root", "__n"))
+    grouped = (keyed.filter(marks.found("__digest")).join(first, ["__digest", "__id"])
+               .withColumn("__n", F.expr(order)).filter("__n = 1").drop("__root", "__n"))
+    return keyed.filter(~marks.found("__digest")).unionByName(grouped).drop("__digest", "__id")

@@ -1,10 +1,11 @@
 import re
 
 import cases
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orderlens.llm import bpe, decontam, simhash, toxicity
-from orderlens.llm.common import documents, labels, stored
+from orderlens.llm import bpe, decontam, exact_dedup, simhash, toxicity
+from orderlens.llm.common import Marks, documents, labels, stored
 
 
 def test_stages_keep_what_they_should(spark, small):
@@ -53,3 +54,26 @@ def test_stages_on_difficult_rows(spark, small, tmp_path):
                 assert after.columns == docs.columns
             docs = after
     assert docs.count() == 0
+
+
+def test_marks_lose_no_key(spark):
+    keys = spark.range(0, 50_000, 7).select(F.col("id").cast("string").alias("k"))
+    marks = Marks(keys, "k")
+    every = spark.range(50_000).select("id", F.col("id").cast("string").alias("k")).filter(marks.found("k"))
+    found = {r["id"] for r in every.collect()}
+    assert set(range(0, 50_000, 7)) <= found and len(found) < 1.5 * 50_000 / 7
+    assert spark.range(100).withColumn("k", F.lit("x")).filter(Marks(keys.limit(0), "k").found("k")).count() == 0
+
+
+def test_dedup_stages_with_useless_marks(spark, small, monkeypatch):
+    """Where every row may have a copy, all travel, and the result is the same."""
+    docs = documents(spark, small)
+    wanted = [cases.plain(op(docs)) for op in (exact_dedup.drop_duplicates, simhash.drop_near_duplicates)]
+    for always in (True, None):
+        if always:
+            monkeypatch.setattr(Marks, "found", lambda self, key: F.col(key).isNotNull())
+        else:  # a third of the keys by mistake
+            monkeypatch.undo()
+            right = Marks.found
+            monkeypatch.setattr(Marks, "found", lambda self, key: right(self, key) | (F.pmod(F.xxhash64(key), F.lit(3)) == 0))
+        assert [cases.plain(op(docs)) for op in (exact_dedup.drop_duplicates, simhash.drop_near_duplicates)] == wanted

@@ -83,6 +83,36 @@ def test_chains_and_split_buckets(spark):
         assert found == {(p, 0) for p in prints[:12]} | {(p, prints[12]) for p in prints[12:]}
 
 
+def test_a_hub_is_answered_without_a_join(spark, monkeypatch):
+    """A node with most of all links, chains beside it, and whatever number of hubs."""
+    rows = [(0, i) for i in range(1, 400)] + [(1000 + i, 1001 + i) for i in range(30)] + [(399, 2000), (2000, 2001)]
+    edges = spark.createDataFrame(rows, "u long, v long").repartition(5)
+    wanted = {i: 0 for i in range(400)} | {2000: 0, 2001: 0} | {1000 + i: 1000 for i in range(31)}
+    for hubs in (1, 4, 1024, 10**9):
+        monkeypatch.setattr(op, "HUBS", hubs)
+        assert {r["node"]: r["root"] for r in op.components(edges).collect()} == wanted
+
+
+def test_blocks_follow_the_number_of_fingerprints():
+    counts = [op.blocks_for(n) for n in (0, 10**6, 10**8, 10**9, 10**10, 10**11, 10**14)]
+    assert counts == sorted(counts) and counts[0] == 6 and counts[-1] > 6
+    for blocks in (6, 7, 8):
+        masks = op.block_masks(blocks, 4)
+        draw = np.random.default_rng(blocks)
+        for _ in range(200):  # whatever four bits differ, some choice of blocks agrees
+            flipped = sum(1 << int(b) for b in draw.choice(64, 4, replace=False))
+            assert any(flipped & m == 0 for m in masks)
+
+
+@pytest.mark.parametrize("blocks", [7, 8])
+def test_more_blocks_find_the_same_links(spark, blocks):
+    draw = np.random.default_rng(blocks)
+    base = [int(x) for x in draw.integers(0, 1 << 62, 30)]
+    prints = base + [b ^ sum(1 << int(i) for i in draw.choice(60, draw.integers(1, 7), replace=False)) for b in base * 3]
+    frame = spark.createDataFrame([(p,) for p in set(prints)], "fp long")
+    assert cases.plain(op.components(op.links(frame, blocks=blocks))) == cases.plain(op.components(op.links(frame)))
+
+
 def test_test_table(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     rows = docs.select("doc_id", "text").collect()
