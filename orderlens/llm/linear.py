@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import pieces, whole_texts
+from orderlens.llm.common import hashed_sample, pieces, whole_texts
 
 #: Labelled rows a classifier learns from at most; a parameter of both.
 SAMPLE_ROWS = 6144
@@ -56,8 +57,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, a
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).dropna()
     known = known.filter(allowed) if allowed is not None else known
-    chosen = (known.groupBy("doc_id").agg(F.min("label").alias("label"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+    chosen = hashed_sample(known.groupBy("doc_id").agg(F.min("label").alias("label")), rows, "doc_id")
     sample = whole_texts(docs).join(F.broadcast(chosen), "doc_id")
     return sample.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
@@ -91,7 +91,9 @@ def collect_features(sample: DataFrame, features: Featurizer) -> tuple[np.ndarra
 
 
 def fold(ids: np.ndarray, folds: int = 4) -> np.ndarray:
-    """A fixed fold for each id, by a multiplicative hash."""
+    """A fixed fold for each id, by a multiplicative hash; ids that are no integers go by the crc32 of their text."""
+    if ids.dtype.kind not in "iu":
+        ids = np.array([crc32(str(i).encode()) for i in ids], np.uint64)
     return ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(folds)
 
 

@@ -13,7 +13,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.byte_tokens import with_end
@@ -43,6 +43,11 @@ def read_tokens(spark: SparkSession, folder: str, kind: str = "bigint") -> DataF
     return rows.select("*", F.col("_metadata.file_name").alias("part"))
 
 
+def file_number(part: Column) -> Column:
+    """The number in the name of a file that Spark wrote."""
+    return F.regexp_extract(part, r"part-([0-9]+)", 1).cast("bigint")
+
+
 def token_index(tokens: DataFrame) -> DataFrame:
     """doc_id, start (ids of all rows before), n_tokens, ids_crc32 (of the ids as little-endian 32-bit integers)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,9 +64,10 @@ def token_index(tokens: DataFrame) -> DataFrame:
     kind = tokens.schema["doc_id"].dataType.simpleString()
     rows = stored(tokens.mapInArrow(run, f"doc_id {kind}, part string, first bigint, n_tokens bigint, ids_crc32 bigint"),
                   "token-index")
-    # One row per file, so the window below orders as many rows as there are files.
+    # One row per file, so the window below orders as many rows as there are files. Names pad the number of a file to five
+    # digits only, so files go by that number.
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(file_number(F.col("part")), "part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
     return rows.join(bases, "part").select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens",
                                            "ids_crc32")

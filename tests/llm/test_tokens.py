@@ -7,10 +7,11 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from orderlens.llm import bpe, byte_tokens, queries, token_counts, token_files
-from orderlens.llm.common import int_lists
+from orderlens.llm.common import LONGEST, int_lists
 from orderlens.session import scratch_path
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -146,3 +147,22 @@ def test_token_counts(spark, byte):
 def test_two_level_sums_do_not_depend_on_the_bucket(spark):
     counted = spark.createDataFrame([(n, 1 + n % 5) for n in range(0, 400, 3)], "n_tokens long, documents long")
     assert cases.plain(token_counts.suffix_sums(counted, 7)) == cases.plain(token_counts.suffix_sums(counted, 10_000))
+
+
+def test_files_go_by_their_number(spark):
+    """Names pad numbers to five digits, so from 100,000 files on they are not in order of names."""
+    names = [f"part-{n:05d}-abc.c000.orc" for n in (99_998, 99_999, 100_000, 100_001, 1_000_000)]
+    frame = spark.createDataFrame([(n,) for n in names], "part string")
+    assert [r["part"] for r in frame.orderBy(token_files.file_number(F.col("part"))).collect()] == names
+    assert [r["part"] for r in frame.orderBy("part").collect()] != names
+
+
+def test_long_words_are_not_remembered():
+    """Caches hold short texts only: a few hundred words of 100,000 letters leave no trace in them."""
+    tools = bpe.Encoder(WORD), byte_tokens.ByteEncoder(BYTE)
+    for n in range(20):
+        for tool in tools:
+            tool.encode(f"{'abcdefghij'[n % 10] * 20_000}{n} short{n}")
+    for cache in (tools[0].words, tools[0].others, tools[1].known):
+        assert all(len(key) <= LONGEST for key in cache)
+    assert 1 < len(tools[0].words) < 100 and 1 < len(tools[1].known) < 100
