@@ -42,6 +42,7 @@ def main() -> None:
                            "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{folder}/orders.parquet").groupBy("o_orderstatus").count().collect()
+
     def seconds(name: str) -> float:
         start = time.perf_counter()
         all_queries()[name].build(spark, folder).write.format("noop").mode("overwrite").save()

@@ -43,12 +43,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def calendar_days(spark: SparkSession, folder: str) -> tuple[Column, Column]:
     """First and last day of the years in which orders were placed, as scalars of the plan: purchases outside a calendar
     would drop out of monthly reports."""
-    orders = table(spark, folder, "orders")
-
-    def day(bound: Column, month: int, of_month: int) -> Column:
-        return orders.agg(F.make_date(F.year(bound), F.lit(month), F.lit(of_month))).scalar()
-
-    return day(F.min("o_orderdate"), 1, 1), day(F.max("o_orderdate"), 12, 31)
+    date = F.col("o_orderdate")
+    ends = table(spark, folder, "orders").agg(F.struct(F.year(F.min(date)).alias("lo"), F.year(F.max(date)).alias("hi"))).scalar()
+    return F.make_date(ends["lo"], F.lit(1), F.lit(1)), F.make_date(ends["hi"], F.lit(12), F.lit(31))
 
 
 def _plus_hours(ts: str, hours: Column) -> Column:
