@@ -133,6 +133,53 @@ SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIG
 FROM r
 """
 
+# crc32 is written out bit by bit; levels and folds are recursive.
+MERKLE_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce('+' || lang, '') AS tree, doc_id::varchar AS i, source, lang, n_chars, text,
+       xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''),
+             lambda c: ascii(c)::bigint)), lambda a, c: list_reduce(list_prepend(xor(a, c), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+             lambda x, z: xor(x >> 1, 3988292384 * (x & 1))))) AS crc FROM documents),
+f AS (SELECT *, [coalesce(strlen(i) || ':' || i, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                 coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(text) || ':' || text, '-')] AS s FROM d),
+leaf AS (SELECT doc_id, tree, sha256(s[1] || s[2] || s[3] || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || s[4]) AS h,
+                CASE WHEN crc % 7 = 0 THEN sha256(s[1] || s[2] || s[3]
+                     || coalesce(strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1), '-') || s[4]) END AS tampered FROM f),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS LAST, h) - 1 AS pos,
+                  count(*) OVER (PARTITION BY tree) AS n FROM leaf),
+nodes AS (SELECT tree, 0 AS level, pos, n, h FROM placed
+          UNION ALL
+          SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+          FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+subs AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (SELECT 0 AS level, pos, n, h FROM subs
+         UNION ALL
+         SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+         FROM tops WHERE n > 1 GROUP BY level, pos // 2, n),
+root AS (SELECT h AS root FROM tops WHERE n = 1),
+chain AS (SELECT p.tree, p.pos AS leaf_pos, k.level, k.pos % 2 AS side, k.h
+          FROM placed p JOIN nodes k ON k.tree = p.tree AND k.n > 1 AND k.pos = xor(p.pos >> k.level, 1)
+          UNION ALL
+          SELECT p.tree, p.pos, 1000 + k.level, k.pos % 2, k.h
+          FROM placed p JOIN subs s USING (tree) JOIN tops k ON k.n > 1 AND k.pos = xor(s.pos >> k.level, 1)),
+steps AS (SELECT tree, leaf_pos, sha256(string_agg(h, '' ORDER BY level)) AS proof FROM chain GROUP BY tree, leaf_pos),
+every AS (SELECT p.tree, p.pos, l.level, c.side, c.h
+          FROM placed p
+          JOIN (SELECT DISTINCT tree, level FROM nodes WHERE n > 1
+                UNION ALL SELECT DISTINCT s.tree, 1000 + t.level FROM subs s, tops t WHERE t.n > 1) l USING (tree)
+          LEFT JOIN chain c ON c.tree = p.tree AND c.leaf_pos = p.pos AND c.level = l.level),
+way AS (SELECT tree, pos, list({'side': side, 'h': h} ORDER BY level) AS w FROM every GROUP BY tree, pos),
+fold AS (SELECT tree, pos, 0 AS k, coalesce(tampered, h) AS g FROM placed
+         UNION ALL
+         SELECT fold.tree, fold.pos, k + 1, sha256(CASE WHEN w[k + 1].side = 0 THEN w[k + 1].h ELSE '' END || g
+                || CASE WHEN w[k + 1].side = 1 THEN w[k + 1].h ELSE '' END)
+         FROM fold JOIN way USING (tree, pos) WHERE k < len(w)),
+last AS (SELECT tree, pos, arg_max(g, k) AS folded_root FROM fold GROUP BY tree, pos)
+SELECT doc_id, p.h AS leaf, s.h AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded_root,
+       folded_root = root AS verified
+FROM placed p JOIN subs s ON s.tree = p.tree JOIN last l ON l.tree = p.tree AND l.pos = p.pos
+LEFT JOIN steps x ON x.tree = p.tree AND x.leaf_pos = p.pos, root
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
@@ -152,4 +199,5 @@ SQL: dict[str, str] = {
     "op8_exact_dedup": EXACT_DEDUP_SQL,
     "op11_nearest": NEAREST_SQL,
     "op12_filter_audit": FILTER_AUDIT_SQL,
+    "op13_merkle": MERKLE_SQL,
 }
