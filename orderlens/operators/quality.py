@@ -180,7 +180,7 @@ def _zero(*metrics: str) -> dict[str, int | None]:
 
 
 def row_wise_metrics(first_day: str, end_day: str) -> list[Column]:
-    """Count and row-wise checks of the fact as aggregates, for one pass over it or for an ``Observation`` of its writing."""
+    """Count and row-wise checks of the fact as aggregates, for one pass over it."""
     return [F.count(F.lit(1)).alias("fact_orders"), count_where(_outside(first_day, end_day)).alias("out_of_range"),
             *_null_keys(), *_impossible(90)]
 
