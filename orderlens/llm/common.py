@@ -51,30 +51,6 @@ def hashed_sample(frame: DataFrame, rows: int, *key: str) -> DataFrame:
     return hashed.orderBy("__h", *key).limit(rows).drop("__h")
 
 
-class Marks:
-    """A bounded set of bits in which keys are marked: a key that is not ``found`` was never marked; one that is, may have
-    been. Too many keys make it useless, never wrong. The bits are a scalar of the plan, at most 8 MB."""
-
-    def __init__(self, keys: DataFrame, key: str):
-        words = 1 << 14
-        while words < min(keys.count() // 4, 1 << 20):  # sixteen bits a key
-            words <<= 1
-        self.words = words
-        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), self._place(key) % 64)
-        marked = keys.groupBy(F.floor(self._place(key) / 64).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits"))
-        every = keys.sparkSession.range(words).select(F.col("id").cast("int").alias("word"))
-        dense = stored(every.join(marked, "word", "left").select("word", F.coalesce("bits", F.lit(0)).alias("bits")), "marks")
-        in_order = F.array_sort(F.collect_list(F.struct("word", "bits")))  # ``words`` entries
-        self.bits = dense.agg(F.transform(in_order, lambda w: w["bits"])).scalar()
-
-    def _place(self, key: str) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.words * 64)).cast("int")
-
-    def found(self, key: str) -> Column:
-        word = F.get(self.bits, F.floor(self._place(key) / 64).cast("int"))
-        return F.getbit(word, self._place(key) % 64) == 1
-
-
 def numbered(rows: DataFrame, order: list[Column], group: str | None, name: str) -> DataFrame:
     """The rows with ``position`` (from 0, in ``order``, anew for every value of ``group``) and ``size`` of their group.
 
