@@ -1,17 +1,21 @@
 """A random forest grown by aggregations, whose model is a table of nodes.
 
-Rows are reduced to small bin numbers once. A level of all trees is then one aggregation: rows count into (tree, node,
-feature, bin) cells with map-side sums, running sums over a node's few bins give the impurity of every split, and the rows
-move on to their child by a join with the chosen splits. Nothing but cells and nodes grows with the forest, and all counts are
-whole numbers, so any engine that is given the table of nodes, or the rows, comes to the same trees and the same scores.
+Rows are reduced to small bin numbers and their weight in every tree once. A level of all trees is then one pass over them:
+every task walks its Arrow batches down the trees grown so far and counts into (tree, node, feature, bin) cells, the cells of
+the tasks are summed, and running sums over a node's few bins give the impurity of every split. Rows are neither copied per
+tree nor moved; only cells and nodes grow with the forest, and all counts are whole numbers, so any engine that is given the
+table of nodes, or the rows, comes to the same trees and the same scores.
 ``risk`` fits the deep forest of ``pyspark.ml``; this one is for models that must be read, checked and moved as tables.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from math import e, factorial
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -102,7 +106,8 @@ def binned(rows: DataFrame, numbers: DataFrame, categories: DataFrame, *keep: st
     for i, name in enumerate(NUMERIC):
         r = ranges[i]
         cell = _cell(_number(name), F.lit(r["lo"]).cast("double"), F.lit(r["hi"]).cast("double"))
-        bins.append(sum(((cell >= c).cast("int") for c in r["cells"]), F.lit(-1)))
+        of_cell = np.searchsorted(r["cells"], np.arange(-1, CELLS), side="right") - 1
+        bins.append(F.get(F.split(F.lit(",".join(map(str, of_cell))), ",").cast("array<int>"), cell + 1))
     for i, name in enumerate(CATEGORICAL):
         known = categories.filter(F.col("feature") == len(NUMERIC) + i).select(F.col("value").alias(name),
                                                                               F.col("bin").alias(f"_b{i}"))
@@ -118,23 +123,92 @@ def _tried(shape: Shape, seed: int) -> Column:
     return F.transform(F.slice(F.array_sort(F.array(*drawn)), 1, shape.tried), lambda d: d["feature"])
 
 
+def _listed(column: pa.Array) -> np.ndarray:
+    """An Arrow column of equally long lists of whole numbers, as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+class _Trees:
+    """Split feature (-1: none) and bin of every node of every tree by number, and where a row with given bins ends."""
+
+    def __init__(self, depth: int, trees: Iterable[int]):
+        self.depth = depth
+        self.feature = {tree: np.full(2 ** (depth + 1), -1, np.int32) for tree in trees}
+        self.bin = {tree: np.zeros(2 ** (depth + 1), np.int32) for tree in trees}
+
+    def add(self, rows: Iterable) -> None:
+        for r in rows:
+            if r["feature"] is not None:
+                self.feature[r["tree"]][r["node"]], self.bin[r["tree"]][r["node"]] = r["feature"], r["bin"]
+
+    def ends(self, tree: int, bins: np.ndarray, levels: int) -> np.ndarray:
+        """The node of every row after at most ``levels`` steps."""
+        at, flat, place = np.ones(len(bins), np.int64), bins.ravel(), np.arange(len(bins)) * bins.shape[1]
+        for _ in range(levels):
+            feature = self.feature[tree][at]
+            beyond = flat[place + np.maximum(feature, 0)] > self.bin[tree][at]
+            at = np.where(feature < 0, at, 2 * at + beyond)
+        return at
+
+
+CELL_COUNTS = "tree int, node int, feature int, bin int, w bigint, l bigint"
+
+
+def cell_counts(members: DataFrame, grown: _Trees, level: int, asked: dict[tuple[int, int], list[int]],
+                shape: Shape) -> DataFrame:
+    """(tree, node, feature, bin, w, l): weight and late weight of the rows in the cells of a level's nodes. ``members`` has
+    late, bins and weights (one per tree), ``asked`` the features each node may split by."""
+    first, width, tried = 2 ** level, shape.bins + 1, max(map(len, asked.values()), default=0)
+    features = {tree: np.full((first, tried), -1, np.int32) for tree in grown.feature}
+    for (tree, node), some in asked.items():
+        features[tree][node - first] = some
+    shared = members.sparkSession.sparkContext.broadcast((grown, features))
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grown, features = shared.value
+        sums = {tree: np.zeros((2, first * tried * width), np.int64) for tree in features}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bins, weights = _listed(batch.column("bins")), _listed(batch.column("weights"))
+            late = batch.column("late").to_numpy()
+            for n, tree in enumerate(sorted(features)):
+                of = np.flatnonzero(weights[:, n])
+                node = grown.ends(tree, bins[of], level) - first
+                of, node = of[node >= 0], node[node >= 0]
+                w, y = weights[of, n].astype(np.float64), weights[of, n] * late[of].astype(np.float64)
+                for j in range(tried):
+                    feature = features[tree][node, j]
+                    known = feature >= 0
+                    cell = ((node * tried + j) * width + bins[of, np.maximum(feature, 0)] + 1)[known]
+                    for side, x in enumerate((w, y)):
+                        sums[tree][side] += np.bincount(cell, x[known], sums[tree].shape[1]).astype(np.int64)
+        for tree, (w, y) in sums.items():
+            cell = np.flatnonzero(w)
+            node, j = cell // (tried * width), cell // width % tried
+            yield pa.RecordBatch.from_pydict({
+                "tree": pa.array(np.full(len(cell), tree, np.int32)), "node": pa.array((node + first).astype(np.int32)),
+                "feature": pa.array(features[tree][node, j]), "bin": pa.array((cell % width - 1).astype(np.int32)),
+                "w": pa.array(w[cell]), "l": pa.array(y[cell])})
+
+    return (members.select("late", "bins", "weights").mapInArrow(count, CELL_COUNTS).groupBy("tree", "node", "feature", "bin")
+            .agg(F.sum("w").alias("w"), F.sum("l").alias("l")))
+
+
 def _purity(late: Column, n: Column) -> Column:
     """Rows times the chance that two of them are alike: a split is best where the sum over both sides is largest."""
     late, n = late.cast("double"), n.cast("double")
     return (late * late + (n - late) * (n - late)) / n
 
 
-def best_splits(members: DataFrame, shape: Shape, seed: int) -> DataFrame:
+def best_splits(cells: DataFrame, shape: Shape) -> DataFrame:
     """(tree, node, n, late, feature, bin, n_left, late_left) for every node of a level; a node that stays a leaf has no
-    feature. ``members`` has tree, node, weight, late and bins."""
-    asked = members.groupBy("tree", "node").agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("late")).alias("late"))
-    asked = asked.withColumn("tried", _tried(shape, seed))
-    cells = (members.join(asked.select("tree", "node", F.explode("tried").alias("feature")), ["tree", "node"])
-             .groupBy("tree", "node", "feature", F.col("bins")[F.col("feature")].alias("bin"))
-             .agg(F.sum("weight").alias("w"), F.sum(F.col("weight") * F.col("late")).alias("l")))
+    feature. ``cells`` are those of ``cell_counts``."""
+    of_feature = cells.groupBy("tree", "node", "feature").agg(F.sum("w").alias("n"), F.sum("l").alias("late"))
+    asked = of_feature.groupBy("tree", "node").agg(F.max("n").alias("n"), F.max("late").alias("late"))  # all features agree
     up_to = Window.partitionBy("tree", "node", "feature").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     sides = cells.select("tree", "node", "feature", "bin", F.sum("w").over(up_to).alias("n_left"),
-                         F.sum("l").over(up_to).alias("late_left")).join(asked.drop("tried"), ["tree", "node"])
+                         F.sum("l").over(up_to).alias("late_left")).join(asked, ["tree", "node"])
     n_right, late_right = F.col("n") - F.col("n_left"), F.col("late") - F.col("late_left")
     valid = sides.filter((F.col("n_left") >= shape.min_leaf) & (n_right >= shape.min_leaf))
     gained = valid.withColumn("g", _purity(F.col("late_left"), F.col("n_left")) + _purity(late_right, n_right)).filter(
@@ -152,15 +226,15 @@ def fit(rows: DataFrame, shape: Shape = Shape(), seed: int = 42, keys: list[str]
     spark = rows.sparkSession
     rows = _stored(rows.select(*keys, *FEATURES, LABEL), "forest-rows")
     numbers, categories = (_stored(t, "forest-bins") for t in fit_bins(rows, shape))
-    trees = F.explode(F.sequence(F.lit(1), F.lit(shape.trees)))
-    drawn = binned(rows, numbers, categories, *keys, F.col(LABEL).alias("late").cast("bigint")).withColumn("tree", trees)
-    u = draw([*keys, "tree"], seed)
-    weight = sum(((u >= w).cast("bigint") for w in WEIGHTS), F.lit(0).cast("bigint"))
-    members = _stored(drawn.select("tree", F.lit(1).alias("node"), weight.alias("weight"), "late", "bins")
-                      .filter("weight > 0"), "forest-members")
-    levels = []
+    drawn = F.array(*[draw([*keys, F.lit(tree)], seed) for tree in range(1, shape.trees + 1)])
+    weights = F.transform(drawn, lambda u: sum(((u >= w).cast("int") for w in WEIGHTS), F.lit(0)))
+    members = _stored(binned(rows, numbers, categories, F.coalesce(LABEL, F.lit(0)).alias("late"), weights.alias("weights")), "forest-members")
+    grown, levels = _Trees(shape.depth, range(1, shape.trees + 1)), []
+    nodes = [(tree, 1) for tree in range(1, shape.trees + 1)]
     for level in range(shape.depth):
-        splits = _stored(best_splits(members, shape, seed), "forest-splits")
+        tried = spark.createDataFrame(nodes, "tree int, node int").select("tree", "node", _tried(shape, seed).alias("tried"))
+        asked = {(r["tree"], r["node"]): r["tried"] for r in tried.collect()}  # the nodes of a level
+        splits = _stored(best_splits(cell_counts(members, grown, level, asked, shape), shape), "forest-splits")
         levels.append(splits.select("tree", "node", "n", "late", "feature", "bin"))
         split = splits.filter("feature IS NOT NULL")
         if level + 1 == shape.depth:
@@ -170,9 +244,9 @@ def fit(rows: DataFrame, shape: Shape = Shape(), seed: int = 42, keys: list[str]
             last = split.select("tree", F.inline(F.array(left, right)))
             levels.append(last.select("*", F.lit(None).cast("int").alias("feature"), F.lit(None).cast("int").alias("bin")))
             break
-        beyond = (F.col("bins")[F.col("feature")] > F.col("bin")).cast("int")
-        members = _stored(members.join(split.select("tree", "node", "feature", "bin"), ["tree", "node"]).select(
-            "tree", (2 * F.col("node") + beyond).alias("node"), "weight", "late", "bins"), "forest-members")
+        found = split.select("tree", "node", "feature", "bin").collect()  # the nodes of a level
+        grown.add(found)
+        nodes = [(r["tree"], 2 * r["node"] + side) for r in found for side in (0, 1)]
     nodes = levels[0]
     for more in levels[1:]:
         nodes = nodes.unionByName(more)
@@ -181,26 +255,25 @@ def fit(rows: DataFrame, shape: Shape = Shape(), seed: int = 42, keys: list[str]
 
 def score(rows: DataFrame, forest: Forest, *keep: str) -> DataFrame:
     """The kept columns and ``late_probability``: the mean over the trees of the late share in the row's leaf, in whole
-    millionths. A tree is an array by node number, so a row finds its leaf in ``depth`` steps and nothing is shuffled but
-    what the categories need."""
-    slots = 2 ** (forest.depth + 1)
-    value = F.floor(F.col("late") * UNIT / F.col("n")).cast("bigint")
-    listed = F.map_from_entries(F.collect_list(F.struct("node", F.struct("feature", "bin", value.alias("score")))))
-    tree = forest.nodes.groupBy("tree").agg(listed.alias("m"))  # at most ``slots`` nodes each
-    arrays = tree.select(F.transform(F.sequence(F.lit(1), F.lit(slots - 1)), lambda i: F.col("m")[i]).alias("t"))
-    trees = arrays.agg(F.collect_list("t")).scalar()  # one model
-
-    def leaf(tree: Column) -> Column:
-        def step(at: Column, _: Column) -> Column:
-            here = F.get(tree, at - 1)
-            return F.when(here["feature"].isNull(), at).otherwise(
-                2 * at + (F.col("bins")[here["feature"]] > here["bin"]).cast("int"))
-
-        return F.get(tree, F.aggregate(F.sequence(F.lit(1), F.lit(forest.depth)), F.lit(1), step) - 1)["score"]
-
-    total = F.aggregate(F.col("_trees"), F.lit(0).cast("bigint"), lambda sum_, tree: sum_ + leaf(tree))
-    ready = binned(rows, forest.numbers, forest.categories, *keep).withColumn("_trees", trees)
-    return ready.select(*keep, (total.cast("double") / (F.size("_trees") * UNIT).cast("double")).alias("late_probability"))
+    millionths. A tree is an array by node number, so the rows of an Arrow batch find their leaves in ``depth`` steps and
+    nothing is shuffled but what the categories need."""
+    nodes = forest.nodes.withColumn("score", F.floor(F.col("late") * UNIT / F.col("n")).cast("bigint")).collect()  # one model
+    trees = sorted({r["tree"] for r in nodes})
+    grown, scores = _Trees(forest.depth, trees), {tree: np.zeros(2 ** (forest.depth + 1), np.int64) for tree in trees}
+    grown.add(nodes)
+    for r in nodes:
+        scores[r["tree"]][r["node"]] = r["score"]
+    shared = rows.sparkSession.sparkContext.broadcast((grown, scores))
+
+    @F.arrow_udf("bigint")
+    def total(bins: pa.Array) -> pa.Array:
+        grown, scores = shared.value
+        matrix = _listed(bins) if len(bins) else np.empty((0, len(FEATURES)), np.int32)
+        return pa.array(sum((scores[tree][grown.ends(tree, matrix, grown.depth)] for tree in scores),
+                            np.zeros(len(bins), np.int64)))
+
+    ready = binned(rows, forest.numbers, forest.categories, *keep)
+    return ready.select(*keep, (total("bins").cast("double") / F.lit(float(len(trees) * UNIT))).alias("late_probability"))
 
 
 def save(forest: Forest, folder: str) -> None:

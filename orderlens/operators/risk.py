@@ -59,9 +59,9 @@ def with_label(rows: DataFrame) -> DataFrame:
     return rows.withColumn(LABEL, (~F.col("is_on_time")).cast("int"))
 
 
-def draw(keys: list[str], seed: int) -> Column:
+def draw(keys: list[str | Column], seed: int) -> Column:
     """A number in [0, 2**52) that depends only on the row's key and the seed, not on partitions or retries."""
-    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    text = F.concat_ws("|", *[(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys], F.lit(str(seed)))
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint")
 
 

@@ -103,3 +103,16 @@ def test_one_class_gives_single_leaves(matrix):
     assert {r[0] for r in rows(forest.score(matrix.limit(20), grown))} == {1.0}
     with pytest.raises(ValueError):
         forest.fit(matrix, forest.Shape(depth=13))
+
+
+def test_rows_are_not_copied_per_tree(matrix, monkeypatch):
+    sizes, stored = {}, forest._stored
+
+    def counted(frame, name):
+        table = stored(frame, name)
+        sizes.setdefault(name, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(forest, "_stored", counted)
+    forest.fit(matrix, forest.Shape(4, 2), 7)
+    assert sizes["forest-members"] == [matrix.count()]
