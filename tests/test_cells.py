@@ -83,3 +83,9 @@ def test_cells_of_later_months_are_added(spark, view, stored):
         cells.write_cells(cells.Cells(*(getattr(several, t).filter(F.col("month").isin(months)) for t in cells.TABLES)), folder)
     both, whole = (cells.selected(cells.read_cells(spark, f)) for f in (folder, stored))
     assert rows(cells.kpi_cards(both)) == rows(cells.kpi_cards(whole))
+
+
+def test_buyers_kinds_are_joined_once_for_all_tables(view):
+    built = cells.build_cells(view)
+    for name in cells.TABLES:
+        assert "Join" not in getattr(built, name)._jdf.queryExecution().optimizedPlan().toString()
