@@ -3,7 +3,7 @@
 1. Generators propose spans: four strict ones (the base patterns) and looser ones of the same kinds. Proposals may overlap.
    Documents shrink to their proposals here: match, gap to the one before, a little context on both sides.
 2. A proposal of a strict generator that passes its kind's check is a base span, and always stays.
-3. Boosted trees score every proposal by format and context. They learn from a bounded sample of labelled examples. A base
+3. Boosted trees score every proposal by format and context. They learn from all labelled examples. A base
    span is a positive one, and so is the same span written the way a loose generator expects it (``a [at] b [dot] c``, a
    number without its country code, a card with dots), in the place where it stands. Negative are strict matches that fail
    their check, the same in disguise, and loose proposals that are named as something else (an order, a hash, a version) or
@@ -24,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import hashed_sample, stored, whole_texts
+from orderlens.llm.common import stored, whole_texts
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns, in order of KINDS, written so that they match the same spans in linear time.
@@ -47,8 +47,8 @@ LOOSE = (
 NEEDS = ("@", r"[0-9]\.[0-9]", r"[0-9][\x20-]?[0-9]", r"\+[0-9]")
 GENERATORS = [(k, p, n) for k, (p, n) in enumerate(zip(BASE, NEEDS))] + [(k, p, n) for k, p, n in LOOSE]
 CONTEXT = 24
-#: Examples the trees learn from at most, and their number and depth; precision that an added span's kind must reach.
-SAMPLE, TREES, DEPTH, PRECISION = 20_000, 10, 4, 0.98
+#: Number and depth of the trees; precision that an added span's kind must reach.
+TREES, DEPTH, PRECISION = 10, 4, 0.98
 
 
 def _found(text: Column, generator: int) -> Column:
@@ -176,11 +176,10 @@ def examples(candidates: DataFrame) -> DataFrame:
 
 
 def fit(candidates: DataFrame) -> tuple[GBTClassificationModel, list[float]] | None:
-    """Boosted trees on a bounded sample of the examples, and a threshold per kind from the held-out fourth of it. None if
-    the sample has one class only."""
-    sample = hashed_sample(examples(candidates), SAMPLE, "row", "generator", "start", "disguised")
-    featured, names = with_features(sample.withColumn("h", F.xxhash64("match", "left", "right")))
-    table = stored(featured.select("h", "kind", "label", "disguised", *names), "pii-sample")
+    """Boosted trees on three fourths of all examples, and a threshold per kind from the held-out fourth. None if the
+    examples to learn from have one class only."""
+    featured, names = with_features(examples(candidates).withColumn("h", F.xxhash64("match", "left", "right")))
+    table = stored(featured.select("h", "kind", "label", "disguised", *names), "pii-examples")
     table = VectorAssembler(inputCols=names, outputCol="features").transform(table)
     learn, held = table.filter(F.pmod("h", F.lit(4)) != 0), table.filter(F.pmod("h", F.lit(4)) == 0)
     if learn.agg(F.countDistinct("label")).first()[0] < 2:

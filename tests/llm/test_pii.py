@@ -180,3 +180,22 @@ def test_no_addable_proposal_is_a_negative_by_construction(spark):
     positive = [r["match"] for r in caught["examples"] if r["label"] and r["disguised"]]
     loose = [re.compile(p) for _, p, _ in op.LOOSE]
     assert len(positive) > 200 and sum(any(p.fullmatch(m) for p in loose) for m in positive) > 0.95 * len(positive)
+
+
+def test_trees_learn_from_every_example(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def seen(frame, name):
+        raise Seen(frame.count())
+
+    candidates = spark.range(11_000).select(
+        F.col("id").alias("row"), F.lit(3).alias("kind"), F.lit(3).alias("generator"), F.lit(4).cast("long").alias("start"),
+        F.lit("+49 30 1234567").alias("match"), F.lit("tel ").alias("left"), F.lit("").alias("right"), F.lit(True).alias("base"))
+    monkeypatch.setattr(op, "stored", seen)
+    try:
+        op.fit(candidates)
+    except Seen as found:
+        assert found.args == (22_000,)  # each as it stands and in disguise
+    else:
+        raise AssertionError("no examples were stored")
