@@ -2,9 +2,9 @@
 
 1. Passages are windows of two and of four blocks of sixteen words, one starting at every block of every document. Inverse
    document frequencies of hashed terms are counted over all blocks of all documents.
-2. A randomised SVD of TF-IDF passages gives the latent space: the matrix of all benchmark items and of a bounded sample of
-   corpus passages is multiplied block by block in the tasks, partial products are summed by ranges of terms, and only the
-   thin factors meet on the driver. Corpus passages are sampled for the fit only; every passage is projected and searched.
+2. A randomised SVD of TF-IDF passages gives the latent space: the matrix of all words of all benchmark items and of all
+   documents, a row for each run of up to four blocks, is multiplied batch by batch in the tasks, partial products are
+   summed by ranges of terms, and only the thin factors meet on the driver.
 3. Each passage's cosine with every item (a bounded block of items at a time) yields candidates. For them the longest
    common subsequence of words decides; where the item's ``answer`` column gives an answer, that must be there too. So
    moved, cut and reworded copies are found, and chance resemblance is not.
@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import hashed_sample, pieces, stored, whole_texts
+from orderlens.llm.common import pieces, stored, whole_texts
 from orderlens.llm.vectext import Words, split_words
 
 #: Hashed terms, dimensions of the space, extra ones while it is fitted, words of a block, blocks of a passage.
 TERMS, RANK, EXTRA, BLOCK, PASSAGES = 1 << 16, 64, 8, 16, (2, 4)
-#: Documents of the fitting sample and passages taken of each; ranges that partial products are summed by; items searched
-#: in one go, which bounds the broadcast.
+#: Documents and passages of each whose weight all passages of the corpus have together in the fit, however many they are;
+#: ranges that partial products are summed by; items searched in one go, which bounds the broadcast.
 SAMPLE_DOCS, SAMPLE_EACH, RANGES, ITEMS = 2048, 4, 64, 10_000
 #: Weight of the items' own passages while the space is fitted, so that its directions tell items apart.
 ITEM_WEIGHT = 4.0
@@ -50,6 +50,13 @@ def block_starts(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(words.first[:-1], counts) + inner * BLOCK, first
 
 
+def first_of_runs(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of rows that are equal in all columns begins."""
+    fresh = np.ones(len(columns[0]), bool)
+    fresh[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return fresh
+
+
 def term_weights(docs: DataFrame) -> np.ndarray:
     """Inverse document frequency of every hashed term over all blocks of all documents."""
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,11 +65,11 @@ def term_weights(docs: DataFrame) -> np.ndarray:
             words = split_words(batch.column("text"))
             starts, _ = block_starts(words)
             block = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words.hashes))))
-            # A term counts once a block: sorting within blocks brings its repeats together.
-            keys = np.sort(block * TERMS + term_ids(words))
-            fresh = np.ones(len(keys), bool)
-            fresh[1:] = keys[1:] != keys[:-1]
-            found[:TERMS] += np.bincount(keys[fresh] & (TERMS - 1), minlength=TERMS)
+            # A term counts once a block: a stable sort by term brings its repeats within a block together.
+            terms = term_ids(words).astype(np.uint16)
+            order = np.argsort(terms, kind="stable")
+            terms, block = terms[order], block[order]
+            found[:TERMS] += np.bincount(terms[first_of_runs(terms, block)], minlength=TERMS)
             blocks += len(starts)
         found[TERMS] = blocks
         used = np.flatnonzero(found)
@@ -75,39 +82,76 @@ def term_weights(docs: DataFrame) -> np.ndarray:
     return np.log(1 + blocks[TERMS] / np.maximum(blocks[:TERMS], 1)).astype(np.float32)
 
 
-def passage_rows(texts: DataFrame, idf: np.ndarray, each: int, length: float = 1.0) -> DataFrame:
-    """terms, weights: TF-IDF rows, of the given length, of at most ``each`` passages a text, spread evenly over it."""
+def passage_starts(words: Words) -> np.ndarray:
+    """First word of each passage when every document is cut into the fewest runs of up to four blocks, about equally long."""
+    starts, first = block_starts(words)
+    blocks = np.diff(first)
+    runs = -(-blocks // max(PASSAGES))
+    run = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
+    return starts[np.repeat(first[:-1], runs) + run * np.repeat(blocks, runs) // np.maximum(np.repeat(runs, runs), 1)]
+
+
+def passage_rows(texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """terms, weights: TF-IDF rows of length 1 of the passages that all texts are cut into; every word is in one."""
     shared = texts.sparkSession.sparkContext.broadcast(idf)
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = BLOCK * max(PASSAGES)
         for batch in pieces(batches, size=1 << 19):
             words = split_words(batch.column("text"))
-            ids, terms, weights = term_ids(words), [], []
-            for a, b in zip(words.first[:-1], words.first[1:]):
-                for at in np.unique(np.linspace(a, max(a, b - size), each).astype(int)) if b > a else ():
-                    term, count = np.unique(ids[at: min(at + size, b)], return_counts=True)
-                    weight = count * shared.value[term]
-                    terms.append(term.astype(np.int32))
-                    weights.append((length / np.linalg.norm(weight) * weight).astype(np.float32))
-            yield pa.RecordBatch.from_pydict({"terms": pa.array(terms, pa.list_(pa.int32())),
-                                              "weights": pa.array(weights, pa.list_(pa.float32()))})
+            starts = passage_starts(words)
+            if not len(starts):
+                continue
+            passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words.hashes))))
+            terms = term_ids(words).astype(np.uint16)
+            order = np.argsort(terms, kind="stable")
+            terms, passage = terms[order], passage[order]
+            once = np.flatnonzero(first_of_runs(terms, passage))
+            weights = np.diff(np.append(once, len(terms))) * shared.value[terms[once]]
+            terms, passage = terms[once], passage[once]
+            norm = np.sqrt(np.bincount(passage, weights.astype(np.float64) ** 2, len(starts)))
+            order = np.argsort(passage.astype(np.uint16) if len(starts) < 2 ** 16 else passage, kind="stable")
+            weights = (weights / norm[passage])[order].astype(np.float32)
+            ends = pa.array(np.append(0, np.cumsum(np.bincount(passage, minlength=len(starts)))).astype(np.int32))
+            yield pa.RecordBatch.from_pydict({"terms": pa.ListArray.from_arrays(ends, pa.array(terms[order].astype(np.int32))),
+                                              "weights": pa.ListArray.from_arrays(ends, pa.array(weights))})
 
     return texts.select("text").mapInArrow(make, "terms array<int>, weights array<float>")
 
 
+#: Entries of sparse rows that are multiplied in one go, so that their rows of the factor stay in the processor's cache.
+ENTRIES = 1 << 13
+
+
+def add_gram(total: np.ndarray, factor: np.ndarray, terms: np.ndarray, weights: np.ndarray, ends: np.ndarray) -> None:
+    """Adds A'A times ``factor`` to ``total`` for sparse rows that lie one after the other and end at ``ends``; none is empty."""
+    at = 0
+    while at < len(ends):
+        begin = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, begin + ENTRIES, side="right")))
+        term, weight = terms[begin:ends[stop - 1]], weights[begin:ends[stop - 1], None]
+        first = np.append(begin, ends[at:stop - 1]) - begin
+        product = np.add.reduceat(factor[term] * weight, first)
+        row = np.repeat(np.arange(stop - at), np.diff(np.append(first, len(term))))
+        order = np.argsort(term.astype(np.uint16), kind="stable")
+        term = term[order]
+        once = np.flatnonzero(first_of_runs(term))
+        total[term[once]] += np.add.reduceat(product[row[order]] * weight[order], once)
+        at = stop
+
+
 def gram_product(rows: DataFrame, factor: np.ndarray) -> np.ndarray:
     """A'A times ``factor``, where A has the given sparse rows: each task multiplies its rows, the parts are summed by
-    ranges of terms."""
+    ranges of terms. A part is as large as the factor, so a task takes the rows of several files where there are many."""
     shared = rows.sparkSession.sparkContext.broadcast(factor.astype(np.float32))
     width, step = factor.shape[1], TERMS // RANGES
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions() // 8)
 
     def multiply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((TERMS, width), np.float32)
         for batch in batches:
-            for terms, weights in zip(batch.column("terms"), batch.column("weights")):
-                at, values = terms.values.to_numpy(), weights.values.to_numpy()
-                total[at] += values[:, None] * (values @ shared.value[at])
+            sizes = np.diff(batch.column("terms").offsets.to_numpy())
+            terms, weights = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("terms", "weights"))
+            add_gram(total, shared.value, terms, weights.astype(np.float32), np.cumsum(sizes[sizes > 0]))
         parts = [total[r * step: (r + 1) * step] for r in range(RANGES)]
         used = [r for r in range(RANGES) if parts[r].any()]
         yield pa.RecordBatch.from_pydict({"range": pa.array(used, pa.int32()),
@@ -117,7 +161,7 @@ def gram_product(rows: DataFrame, factor: np.ndarray) -> np.ndarray:
         total = np.sum([np.frombuffer(p, np.float32) for p in group["part"]], axis=0, dtype=np.float32)
         return pd.DataFrame({"range": [key[0]], "part": [total.tobytes()]})
 
-    summed = rows.mapInArrow(multiply, "range int, part binary").groupBy("range").applyInPandas(
+    summed = rows.coalesce(tasks).mapInArrow(multiply, "range int, part binary").groupBy("range").applyInPandas(
         add, "range int, part binary")
     out = np.zeros((TERMS, width), np.float32)
     for row in summed.collect():  # RANGES rows of fixed size
@@ -131,15 +175,20 @@ def latent_space(docs: DataFrame, items: DataFrame, idf: np.ndarray) -> np.ndarr
     Randomised range finding from a fixed seed, one multiplication by A'A to sharpen it, then the eigenvectors of the
     projected matrix. Strong directions are shrunk, in the way of a ridge whose strength is one item's passage: else those
     of the languages and of common words would make all passages look alike.
+    All passages of all documents together weigh as much as a fixed number of them, so the items keep their directions
+    however large the corpus is.
     """
-    chosen = hashed_sample(docs.select("doc_id").dropna().distinct(), SAMPLE_DOCS, "doc_id")
-    sample = whole_texts(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-    own = passage_rows(whole_texts(items.withColumnRenamed("item_id", "doc_id")), idf, SAMPLE_EACH, ITEM_WEIGHT)
-    rows = stored(passage_rows(sample, idf, SAMPLE_EACH).coalesce(4).unionByName(own), "passages")
+    corpus = stored(passage_rows(whole_texts(docs), idf), "passages")
+    own = stored(passage_rows(whole_texts(items.withColumnRenamed("item_id", "doc_id")), idf), "item-passages")
+    share = min(1.0, SAMPLE_DOCS * SAMPLE_EACH / max(corpus.count(), 1))
+
+    def product(factor: np.ndarray) -> np.ndarray:
+        return share * gram_product(corpus, factor) + ITEM_WEIGHT ** 2 * gram_product(own, factor)
+
     width = RANK + EXTRA
     start = np.random.default_rng(3).standard_normal((TERMS, width)).astype(np.float32)
-    basis = np.linalg.qr(gram_product(rows, start))[0]
-    projected = basis.T @ gram_product(rows, basis)
+    basis = np.linalg.qr(product(start))[0]
+    projected = basis.T @ product(basis)
     squares, vectors = (x[..., ::-1][..., :RANK] for x in np.linalg.eigh((projected + projected.T) / 2))
     scale = 1 / np.sqrt(np.maximum(squares, 0) + ITEM_WEIGHT ** 2)
     return (idf[:, None] * (basis @ (vectors * scale))).astype(np.float32)
@@ -166,11 +215,13 @@ def word_masks(words: list[int]) -> dict[int, int]:
 
 @dataclass
 class Index:
-    """A block of items: ids, unit coordinates, word hashes and answers (empty where none is given)."""
+    """A block of items: ids, unit coordinates of each item and of the passages of long ones with the item they belong to,
+    word hashes and answers (empty where none is given)."""
 
     ids: list
     table: np.ndarray
     places: np.ndarray
+    owners: np.ndarray
     words: list[list[int]]
     answers: list[list[int]]
 
@@ -219,7 +270,11 @@ class Index:
         vectors = vectors / np.maximum(norm, 1e-9)[:, None]
         for a in range(0, len(at), 1024):
             cosine = vectors[a: a + 1024] @ self.places.T
-            for window, item in np.argwhere(cosine >= COSINE).tolist():
+            near: dict[tuple[int, int], float] = {}
+            window, place = np.nonzero(cosine >= COSINE)
+            for pair, value in zip(zip(window.tolist(), self.owners[place].tolist()), cosine[window, place].tolist()):
+                near[pair] = max(near.get(pair, value), value)
+            for (window, item), value in near.items():
                 block = at[a + window]
                 row, reach = int(doc[block]), len(self.words[item])
                 last = min(block + size, first[row + 1]) - 1
@@ -227,7 +282,7 @@ class Index:
                 high = min(words.first[row + 1], word_ends[last] + reach)
                 share = self.share(item, words.hashes[low:high].tolist())
                 if share:
-                    best = (share, float(cosine[window, item]))
+                    best = (share, value)
                     found[row, item] = max(found.get((row, item), best), best)
 
 
@@ -255,11 +310,20 @@ class ItemBlocks:
         texts, answers = (split_words(part.column(c).combine_chunks()) for c in ("text", "answer"))
         ids, each = term_ids(texts), [slice(a, b) for a, b in zip(texts.first[:-1], texts.first[1:])]
         kept = [i for i, s in enumerate(each) if s.stop > s.start]
-        places = np.array([self.table[ids[each[i]]].sum(axis=0) for i in kept], np.float32).reshape(len(kept), -1)
+        cuts = passage_starts(texts)
+        parts = [(n, words) for n, i in enumerate(kept) for words in _parts(each[i], cuts)]
+        places = np.array([self.table[ids[words]].sum(axis=0) for _, words in parts], np.float32).reshape(len(parts), -1)
         places /= np.maximum(np.linalg.norm(places, axis=1), 1e-9)[:, None]
         words = [texts.hashes[each[i]].tolist() for i in kept]
         given = [answers.hashes[answers.first[i]: answers.first[i + 1]].tolist() for i in kept]
-        return Index([part.column("item_id")[i].as_py() for i in kept], self.table, places, words, given)
+        owners = np.array([n for n, _ in parts], np.int64)
+        return Index([part.column("item_id")[i].as_py() for i in kept], self.table, places, owners, words, given)
+
+
+def _parts(whole: slice, cuts: np.ndarray) -> list[slice]:
+    """The words of an item and, where it is longer than a passage, those of its passages: no window is like a long item."""
+    ends = [*cuts[np.searchsorted(cuts, whole.start): np.searchsorted(cuts, whole.stop)].tolist(), whole.stop]
+    return [whole, *(slice(a, b) for a, b in zip(ends, ends[1:]) if len(ends) > 2)]
 
 
 def build(docs: DataFrame, items: DataFrame) -> ItemBlocks:

@@ -176,3 +176,46 @@ def test_copies_cut_at_either_end(spark):
     got = {(r["doc_id"], r["item_id"]) for r in op.contaminated(docs, bench).collect()}
     assert len(got & wanted) >= 0.97 * len(wanted)
     assert len(got - wanted) <= 3
+
+
+def test_passages_of_the_fit_hold_every_word(spark):
+    """Rows have length 1 and are cut into runs of two to four blocks, but for texts of one block, up to the last word."""
+    texts = ["", None, "a", "b " * 16, "c " * 17, "d " * 64, "e " * 65, "f " * 1000, "g h g " * 40]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    idf = np.random.default_rng(1).random(op.TERMS).astype(np.float32) + 1
+    got = sorted((sorted(r["terms"]), len(r["terms"])) for r in op.passage_rows(op.whole_texts(docs), idf).collect())
+    term = {w: int(op.term_ids(split_words(pa.array([w])))[0]) for w in "abcdefgh"}
+    counts = [(w, n) for w, n in (("a", 1), ("b", 1), ("c", 1), ("d", 1), ("e", 2), ("f", 16))]
+    wanted = [([term[w]], 1) for w, n in counts for _ in range(n)] + [(sorted([term["g"], term["h"]]), 2)] * 2
+    assert got == sorted(wanted)
+    for r in op.passage_rows(op.whole_texts(docs), idf).collect():
+        assert np.linalg.norm(r["weights"]) == pytest.approx(1, abs=1e-5)
+        if len(r["terms"]) == 2:
+            weight = dict(zip(r["terms"], r["weights"]))
+            assert weight[term["g"]] / weight[term["h"]] == pytest.approx(2 * idf[term["g"]] / idf[term["h"]], rel=0.1)
+
+
+def test_every_document_enters_the_fit(spark, monkeypatch):
+    """Documents beyond any sample count: the space is that of a dense decomposition over all of them."""
+    monkeypatch.setattr(op, "SAMPLE_DOCS", 3)
+    draw = random.Random(2)
+    texts = [prose(draw, draw.choice([10, 90, 200])) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(0, prose(draw, 30))], "item_id long, text string")
+    seen, plain = [], op.gram_product
+    monkeypatch.setattr(op, "gram_product", lambda rows, factor: seen.append(rows.count()) or plain(rows, factor))
+    table = op.latent_space(docs, bench, op.term_weights(docs))
+    passages = sum(-(--(-len(t.split()) // op.BLOCK) // 4) for t in texts)
+    assert seen == [passages, 1] * 2 and np.isfinite(table).all()
+    for word in {w for t in texts for w in t.split()}:
+        assert np.abs(table[op.term_ids(split_words(pa.array([word])))[0]]).max() > 0
+
+
+def test_long_items_are_found(spark):
+    """A passage cut out of a document meets the passages of an item that is many times as long."""
+    draw = random.Random(4)
+    long = prose(draw, 1500)
+    texts = [" ".join([prose(draw, 40), long, prose(draw, 40)]), *(prose(draw, 1500) for _ in range(40))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(3, long), (4, prose(draw, 40))], "item_id long, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in op.contaminated(docs, bench).collect()] == [(0, 3)]
