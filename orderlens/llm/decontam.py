@@ -118,25 +118,17 @@ def passage_rows(texts: DataFrame, idf: np.ndarray) -> DataFrame:
     return texts.select("text").mapInArrow(make, "terms array<int>, weights array<float>")
 
 
-#: Entries of sparse rows that are multiplied in one go, so that their rows of the factor stay in the processor's cache.
-ENTRIES = 1 << 13
-
-
 def add_gram(total: np.ndarray, factor: np.ndarray, terms: np.ndarray, weights: np.ndarray, ends: np.ndarray) -> None:
-    """Adds A'A times ``factor`` to ``total`` for sparse rows that lie one after the other and end at ``ends``; none is empty."""
+    """Adds A'A times ``factor`` to ``total`` for sparse rows that lie one after the other and end at ``ends``. No term comes
+    twice in a row."""
     at = 0
-    while at < len(ends):
-        begin = ends[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(ends, begin + ENTRIES, side="right")))
-        term, weight = terms[begin:ends[stop - 1]], weights[begin:ends[stop - 1], None]
-        first = np.append(begin, ends[at:stop - 1]) - begin
-        product = np.add.reduceat(factor[term] * weight, first)
-        row = np.repeat(np.arange(stop - at), np.diff(np.append(first, len(term))))
-        order = np.argsort(term.astype(np.uint16), kind="stable")
-        term = term[order]
-        once = np.flatnonzero(first_of_runs(term))
-        total[term[once]] += np.add.reduceat(product[row[order]] * weight[order], once)
-        at = stop
+    for end in ends.tolist():
+        term, weight = terms[at:end], weights[at:end]
+        part = factor.take(term, axis=0)
+        np.multiply(weight[:, None], weight @ part, out=part)
+        part += total.take(term, axis=0)
+        total[term] = part
+        at = end
 
 
 def gram_product(rows: DataFrame, factor: np.ndarray) -> np.ndarray:
@@ -151,7 +143,7 @@ def gram_product(rows: DataFrame, factor: np.ndarray) -> np.ndarray:
         for batch in batches:
             sizes = np.diff(batch.column("terms").offsets.to_numpy())
             terms, weights = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("terms", "weights"))
-            add_gram(total, shared.value, terms, weights.astype(np.float32), np.cumsum(sizes[sizes > 0]))
+            add_gram(total, shared.value, terms.astype(np.int64), weights.astype(np.float32), np.cumsum(sizes))
         parts = [total[r * step: (r + 1) * step] for r in range(RANGES)]
         used = [r for r in range(RANGES) if parts[r].any()]
         yield pa.RecordBatch.from_pydict({"range": pa.array(used, pa.int32()),
