@@ -7,6 +7,7 @@ from helpers import rows
 from orderlens.operators import cells, report
 from orderlens.session import scratch_path
 from orderlens.sources import commerce
+from orderlens.sources.star import Star
 
 FILTERS = {
     "all": report.Filters(),
@@ -89,3 +90,23 @@ def test_buyers_kinds_are_joined_once_for_all_tables(view):
     built = cells.build_cells(view)
     for name in cells.TABLES:
         assert "Join" not in getattr(built, name)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_star_cells_are_those_of_its_view(spark, small):
+    """Also where customers and products are there twice, in two states or without one, or the person is unknown."""
+    plain = commerce.star(spark, small)
+    buyers, products = plain.dim_customers, plain.dim_products
+    again = buyers.filter("customer_id % 5 = 0").withColumn("customer_state", F.expr(
+        "CASE customer_id % 3 WHEN 0 THEN customer_state WHEN 1 THEN 'elsewhere' END")).withColumn(
+        "customer_unique_id", F.expr("if(customer_id % 2 = 0, customer_unique_id, NULL)"))
+    odd = Star({n: (lambda n=n: getattr(plain, n)) for n in Star.NAMES} | {
+        "dim_customers": lambda: buyers.unionByName(again).unionByName(again),
+        "dim_products": lambda: products.unionByName(products.filter("product_id % 7 = 0")).withColumn(
+            "product_category_en", F.expr("if(product_id % 11 = 0, NULL, product_category_en)"))})
+    for star in (plain, odd):
+        got, wanted = cells.build_star_cells(star), cells.build_cells(report.item_view(star))
+        for name in cells.TABLES:
+            columns = sorted(getattr(wanted, name).columns)
+            assert sorted(getattr(got, name).columns) == columns
+            assert sorted(map(repr, rows(getattr(got, name).select(columns)))) == sorted(
+                map(repr, rows(getattr(wanted, name).select(columns)))), name
