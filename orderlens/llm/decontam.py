@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import pieces, stored, whole_texts
-from orderlens.llm.vectext import Words, split_words
+from orderlens.llm.vectext import Words, flat_bytes, split_words
 
 #: Hashed terms, dimensions of the space, extra ones while it is fitted, words of a block, blocks of a passage.
 TERMS, RANK, EXTRA, BLOCK, PASSAGES = 1 << 16, 64, 8, 16, (2, 4)
@@ -91,8 +91,26 @@ def passage_starts(words: Words) -> np.ndarray:
     return starts[np.repeat(first[:-1], runs) + run * np.repeat(blocks, runs) // np.maximum(np.repeat(runs, runs), 1)]
 
 
-def passage_rows(texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """terms, weights: TF-IDF rows of length 1 of the passages that all texts are cut into; every word is in one."""
+def packed_lists(ends: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Runs of ``values`` that end at ``ends``, each as its bytes."""
+    places = np.append(0, ends).astype(np.int32) * np.int32(values.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(places), pa.py_buffer(values)])
+
+
+def unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all rows one after the other and where each row ends, from an array column or from bytes of ``kind``."""
+    if pa.types.is_list(column.type):
+        return column.flatten().to_numpy(zero_copy_only=False), np.cumsum(np.diff(column.offsets.to_numpy()))
+    data, offsets = flat_bytes(column)
+    return data.view(kind), offsets[1:] // np.dtype(kind).itemsize
+
+
+def passage_rows(texts: DataFrame, idf: np.ndarray, packed: bool = False) -> DataFrame:
+    """terms, weights: TF-IDF rows of length 1 of the passages that all texts are cut into; every word is in one.
+
+    ``packed`` rows hold the bytes of 16-bit terms and 32-bit weights: arrays are copied element by element on their way
+    from Python to files and back.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(idf)
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,11 +129,17 @@ def passage_rows(texts: DataFrame, idf: np.ndarray) -> DataFrame:
             norm = np.sqrt(np.bincount(passage, weights.astype(np.float64) ** 2, len(starts)))
             order = np.argsort(passage.astype(np.uint16) if len(starts) < 2 ** 16 else passage, kind="stable")
             weights = (weights / norm[passage])[order].astype(np.float32)
-            ends = pa.array(np.append(0, np.cumsum(np.bincount(passage, minlength=len(starts)))).astype(np.int32))
-            yield pa.RecordBatch.from_pydict({"terms": pa.ListArray.from_arrays(ends, pa.array(terms[order].astype(np.int32))),
-                                              "weights": pa.ListArray.from_arrays(ends, pa.array(weights))})
+            terms, ends = terms[order], np.cumsum(np.bincount(passage, minlength=len(starts)))
+            if packed:
+                yield pa.RecordBatch.from_pydict({"terms": packed_lists(ends, terms), "weights": packed_lists(ends, weights)})
+                continue
+            places = pa.array(np.append(0, ends).astype(np.int32))
+            yield pa.RecordBatch.from_pydict({
+                "terms": pa.ListArray.from_arrays(places, pa.array(terms.astype(np.int32))),
+                "weights": pa.ListArray.from_arrays(places, pa.array(weights))})
 
-    return texts.select("text").mapInArrow(make, "terms array<int>, weights array<float>")
+    kinds = "terms binary, weights binary" if packed else "terms array<int>, weights array<float>"
+    return texts.select("text").mapInArrow(make, kinds)
 
 
 def add_gram(total: np.ndarray, factor: np.ndarray, terms: np.ndarray, weights: np.ndarray, ends: np.ndarray) -> None:
@@ -132,8 +156,8 @@ def add_gram(total: np.ndarray, factor: np.ndarray, terms: np.ndarray, weights:
 
 
 def gram_product(rows: DataFrame, factor: np.ndarray) -> np.ndarray:
-    """A'A times ``factor``, where A has the given sparse rows: each task multiplies its rows, the parts are summed by
-    ranges of terms. A part is as large as the factor, so a task takes the rows of several files where there are many."""
+    """A'A times ``factor``, where A has the given sparse rows, packed or not: each task multiplies its rows, the parts are
+    summed by ranges of terms. A part is as large as the factor, so a task takes the rows of several files where there are many."""
     shared = rows.sparkSession.sparkContext.broadcast(factor.astype(np.float32))
     width, step = factor.shape[1], TERMS // RANGES
     tasks = max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions() // 8)
@@ -141,9 +165,8 @@ def gram_product(rows: DataFrame, factor: np.ndarray) -> np.ndarray:
     def multiply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((TERMS, width), np.float32)
         for batch in batches:
-            sizes = np.diff(batch.column("terms").offsets.to_numpy())
-            terms, weights = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("terms", "weights"))
-            add_gram(total, shared.value, terms.astype(np.int64), weights.astype(np.float32), np.cumsum(sizes))
+            (terms, ends), (weights, _) = unpacked(batch.column("terms"), np.uint16), unpacked(batch.column("weights"), np.float32)
+            add_gram(total, shared.value, terms.astype(np.int64), weights.astype(np.float32), ends)
         parts = [total[r * step: (r + 1) * step] for r in range(RANGES)]
         used = [r for r in range(RANGES) if parts[r].any()]
         yield pa.RecordBatch.from_pydict({"range": pa.array(used, pa.int32()),
@@ -156,8 +179,28 @@ def gram_product(rows: DataFrame, factor: np.ndarray) -> np.ndarray:
     summed = rows.coalesce(tasks).mapInArrow(multiply, "range int, part binary").groupBy("range").applyInPandas(
         add, "range int, part binary")
     out = np.zeros((TERMS, width), np.float32)
-    for row in summed.collect():  # RANGES rows of fixed size
-        out[row["range"] * step: (row["range"] + 1) * step] = np.frombuffer(row["part"], np.float32).reshape(step, width)
+    table = summed.toArrow()  # RANGES rows of fixed size
+    for r, part in zip(table.column("range").to_pylist(), table.column("part")):
+        out[r * step: (r + 1) * step] = np.frombuffer(part.as_buffer(), np.float32).reshape(step, width)
+    shared.destroy()  # the sums are here; else the driver keeps each factor until its garbage is collected
+    return out
+
+
+def first_factor(width: int) -> np.ndarray:
+    """Normal numbers from a fixed seed, drawn by ranges of terms: all at once in double precision would be twice as large."""
+    draw, step = np.random.default_rng(3), TERMS // RANGES
+    return np.concatenate([draw.standard_normal((step, width)).astype(np.float32) for _ in range(RANGES)])
+
+
+def orthonormal(tall: np.ndarray) -> np.ndarray:
+    """An orthonormal basis of the columns, by ranges of rows: those bases, turned by the basis of their stacked triangles.
+    At once, the driver would hold several copies in double precision."""
+    step, width = len(tall) // RANGES, tall.shape[1]
+    parts = [np.linalg.qr(tall[a: a + step]) for a in range(0, len(tall), step)]
+    turns = np.linalg.qr(np.concatenate([triangle for _, triangle in parts]))[0]
+    out = np.empty_like(tall)
+    for n, (basis, _) in enumerate(parts):
+        np.matmul(basis, turns[n * width: (n + 1) * width], out=out[n * step: (n + 1) * step])
     return out
 
 
@@ -170,20 +213,24 @@ def latent_space(docs: DataFrame, items: DataFrame, idf: np.ndarray) -> np.ndarr
     All passages of all documents together weigh as much as a fixed number of them, so the items keep their directions
     however large the corpus is.
     """
-    corpus = stored(passage_rows(whole_texts(docs), idf), "passages")
-    own = stored(passage_rows(whole_texts(items.withColumnRenamed("item_id", "doc_id")), idf), "item-passages")
+    corpus = stored(passage_rows(whole_texts(docs), idf, packed=True), "passages")
+    own = stored(passage_rows(whole_texts(items.withColumnRenamed("item_id", "doc_id")), idf, packed=True), "item-passages")
     share = min(1.0, SAMPLE_DOCS * SAMPLE_EACH / max(corpus.count(), 1))
 
     def product(factor: np.ndarray) -> np.ndarray:
-        return share * gram_product(corpus, factor) + ITEM_WEIGHT ** 2 * gram_product(own, factor)
-
-    width = RANK + EXTRA
-    start = np.random.default_rng(3).standard_normal((TERMS, width)).astype(np.float32)
-    basis = np.linalg.qr(product(start))[0]
+        total = gram_product(corpus, factor)
+        total *= np.float32(share)
+        more = gram_product(own, factor)
+        more *= np.float32(ITEM_WEIGHT ** 2)
+        total += more
+        return total
+
+    basis = orthonormal(product(first_factor(RANK + EXTRA)))
     projected = basis.T @ product(basis)
     squares, vectors = (x[..., ::-1][..., :RANK] for x in np.linalg.eigh((projected + projected.T) / 2))
-    scale = 1 / np.sqrt(np.maximum(squares, 0) + ITEM_WEIGHT ** 2)
-    return (idf[:, None] * (basis @ (vectors * scale))).astype(np.float32)
+    table = basis @ (vectors / np.sqrt(np.maximum(squares, 0) + ITEM_WEIGHT ** 2)).astype(np.float32)
+    table *= idf[:, None]
+    return table
 
 
 def common_length(masks: dict[int, int], size: int, words: list[int]) -> int:
@@ -219,16 +266,21 @@ class Index:
 
     def __post_init__(self) -> None:
         self.masks = [word_masks(w) for w in self.words]
+        self.known = [np.unique(np.array(w, np.uint64)) for w in self.words]
         self.answer_masks = [word_masks(a) for a in self.answers]
 
-    def share(self, item: int, words: list[int]) -> float:
+    def share(self, item: int, words: np.ndarray) -> float:
         """Share of the item's words in its common subsequence with ``words``; 0 if a given answer is not there."""
-        size, answer = len(self.words[item]), self.answers[item]
+        size, answer, known = len(self.words[item]), self.answers[item], self.known[item]
         if size < SHORT:
-            wanted = self.words[item]
+            wanted, words = self.words[item], words.tolist()
             return float(any(words[i: i + size] == wanted for i in range(len(words) - size + 1)))
-        share = common_length(self.masks[item], size, words) / size
-        if share < SHARE or common_length(self.answer_masks[item], len(answer), words) < ANSWER * len(answer):
+        # Only words of the item are in the subsequence, so with too few of them its length need not be known.
+        shared = words[known[np.minimum(np.searchsorted(known, words), len(known) - 1)] == words]
+        if len(shared) / size < SHARE:
+            return 0.0
+        share = common_length(self.masks[item], size, shared.tolist()) / size
+        if share < SHARE or common_length(self.answer_masks[item], len(answer), words.tolist()) < ANSWER * len(answer):
             return 0.0
         return share
 
@@ -241,9 +293,11 @@ class Index:
         ids, word_ends = term_ids(words), np.append(starts[1:], len(words.hashes))
         doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
         sums = np.empty((len(starts), self.table.shape[1]), np.float32)
-        for a in range(0, len(starts), 512):
-            b = min(a + 512, len(starts))
-            sums[a:b] = np.add.reduceat(self.table[ids[starts[a]: word_ends[b - 1]]], starts[a:b] - starts[a])
+        for a in range(0, len(starts), 256):
+            word = starts[a: a + 256, None] + np.arange(BLOCK)
+            rows = self.table.take(ids[np.minimum(word, len(ids) - 1)], axis=0)
+            rows[word >= word_ends[a: a + 256, None]] = 0  # the last block of a document is shorter
+            rows.sum(axis=1, out=sums[a: a + 256])
         found: dict[tuple[int, int], tuple[float, float]] = {}
         window, have = sums, 1
         for size in PASSAGES:
@@ -263,7 +317,7 @@ class Index:
         for a in range(0, len(at), 1024):
             cosine = vectors[a: a + 1024] @ self.places.T
             near: dict[tuple[int, int], float] = {}
-            window, place = np.nonzero(cosine >= COSINE)
+            window, place = np.divmod(np.flatnonzero(cosine >= COSINE), cosine.shape[1])
             for pair, value in zip(zip(window.tolist(), self.owners[place].tolist()), cosine[window, place].tolist()):
                 near[pair] = max(near.get(pair, value), value)
             for (window, item), value in near.items():
@@ -272,7 +326,7 @@ class Index:
                 last = min(block + size, first[row + 1]) - 1
                 low = max(words.first[row], starts[block] - reach)
                 high = min(words.first[row + 1], word_ends[last] + reach)
-                share = self.share(item, words.hashes[low:high].tolist())
+                share = self.share(item, words.hashes[low:high])
                 if share:
                     best = (share, value)
                     found[row, item] = max(found.get((row, item), best), best)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 
 #: Multiplier of the polynomial hash, and two of the finishing mix.
 BASE, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+#: What undoes the multiplier; it is odd, so there is one.
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
 @dataclass
@@ -45,9 +48,14 @@ SOLID_BYTE = _byte_table(lambda b: not (b == 32 or 9 <= b <= 13))
 SHAPE = _byte_table(lambda b: 65 if 65 <= b <= 90 else 97 if b >= 128 or 97 <= b <= 122 else 48 if 48 <= b <= 57 else b)
 
 
+def mapped(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The table's entry for every byte, in an array that may be written to."""
+    return np.frombuffer(bytearray(data).translate(table.tobytes()), np.uint8)
+
+
 def lower(data: np.ndarray) -> np.ndarray:
     """Lower-case ASCII and the capitals of the Latin-1 block in UTF-8 (C3 80 to C3 9E, without the times sign)."""
-    out = LOWER[data]
+    out = mapped(data, LOWER)
     if len(out) > 1:
         second = np.flatnonzero(out[:-1] == 0xC3) + 1
         second = second[(out[second] >= 0x80) & (out[second] <= 0x9E) & (out[second] != 0x97)]
@@ -55,8 +63,17 @@ def lower(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _powers(count: int) -> np.ndarray:
-    return np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(max(count - 1, 0), BASE))), dtype=np.uint64)
+def _powers(count: int, base: np.uint64 = BASE) -> np.ndarray:
+    return np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(max(count - 1, 0), base))), dtype=np.uint64)
+
+
+#: Bytes for which the powers are kept; the batches of ``common.pieces`` are of that size or shorter, but for single texts.
+KEPT = 1 << 20
+
+
+@cache
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(KEPT), _powers(KEPT, INVERSE)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -80,30 +97,33 @@ def _runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run of bytes; runs ascend and do not overlap."""
+    """A 64-bit hash of each run of bytes: the polynomial of its bytes is a difference of running sums over all bytes, set
+    back to the run's start. Integers wrap around, so that is exact."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    sizes = ends - starts
-    firsts = np.cumsum(sizes) - sizes
-    inner = np.arange(sizes.sum()) - np.repeat(firsts, sizes)
-    codes = data[inner + np.repeat(starts, sizes)].astype(np.uint64) + np.uint64(1)
-    codes *= _powers(int(sizes.max()))[inner]
-    return mixed(np.add.reduceat(codes, firsts))
+    size = len(data)
+    powers, back = _kept_powers() if size <= KEPT else (_powers(size), _powers(size, INVERSE))
+    sums = np.zeros(size + 1, np.uint64)
+    codes = data.astype(np.uint64)
+    codes += np.uint64(1)
+    codes *= powers[:size]
+    np.cumsum(codes, out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * back[starts])
 
 
 def split_words(column: pa.Array, longest: int | None = None) -> Words:
     """Lower-case words of letters and digits; ``longest`` hashes only so many leading bytes of each."""
     data, offsets = flat_bytes(column)
     data = lower(data)
-    starts, ends, first = _runs(WORD_BYTE[data].view(bool), offsets)
+    starts, ends, first = _runs(mapped(data, WORD_BYTE).view(bool), offsets)
     return Words(run_hashes(data, starts, ends if longest is None else np.minimum(ends, starts + longest)), first)
 
 
 def split_shapes(column: pa.Array) -> tuple[Words, Words]:
     """Tokens between white space, by hash of the token and by hash of its shape: runs of one kind count once."""
     data, offsets = flat_bytes(column)
-    starts, ends, first = _runs(SOLID_BYTE[data].view(bool), offsets)
-    kinds = SHAPE[data]
+    starts, ends, first = _runs(mapped(data, SOLID_BYTE).view(bool), offsets)
+    kinds = mapped(data, SHAPE)
     keep = np.ones(len(kinds), bool)
     keep[1:] = kinds[1:] != kinds[:-1]
     keep[starts] = True

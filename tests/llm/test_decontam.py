@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import cases
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.llm import decontam as op
+from orderlens.llm import vectext
 from orderlens.llm.vectext import split_words
 
 
@@ -219,3 +221,59 @@ def test_long_items_are_found(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     bench = spark.createDataFrame([(3, long), (4, prose(draw, 40))], "item_id long, text string")
     assert [(r["doc_id"], r["item_id"]) for r in op.contaminated(docs, bench).collect()] == [(0, 3)]
+
+
+def test_packed_passages_are_the_same_rows(spark):
+    draw = random.Random(6)
+    texts = ["", None, "a", *(prose(draw, draw.choice([3, 17, 64, 400])) for _ in range(30))]
+    docs = op.whole_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    idf = np.random.default_rng(1).random(op.TERMS).astype(np.float32) + 1
+    plain, packed = op.passage_rows(docs, idf), op.passage_rows(docs, idf, packed=True)
+    got = sorted((np.frombuffer(r["terms"], np.uint16).tolist(), np.frombuffer(r["weights"], np.float32).tolist())
+                 for r in packed.collect())
+    assert got == sorted((r["terms"], r["weights"]) for r in plain.collect())
+    factor = np.random.default_rng(2).standard_normal((op.TERMS, 3))
+    assert np.allclose(op.gram_product(packed, factor), op.gram_product(plain, factor), atol=1e-4)
+
+
+def test_basis_by_ranges_is_one_and_small():
+    """The basis spans the columns, also where rows or columns are empty, and takes little more than it holds."""
+    tall = np.random.default_rng(0).standard_normal((op.TERMS, 24)).astype(np.float32)
+    tall[: op.TERMS // 2] = 0
+    tall[:, 3] = tall[:, 2]
+    tracemalloc.start()
+    basis = op.orthonormal(tall)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(basis.T @ basis, np.eye(24), atol=1e-5) and np.allclose(basis @ (basis.T @ tall), tall, atol=1e-4)
+    assert peak < 2.5 * tall.nbytes
+
+
+def test_shares_are_those_of_the_whole_subsequence():
+    draw = random.Random(9)
+    lists = [[draw.randint(1, 12) for _ in range(draw.randint(op.SHORT, 30))] for _ in range(40)]
+    answers = [draw.sample(range(1, 12), draw.randint(0, 3)) for _ in lists]
+    index = op.Index(list(range(40)), np.zeros((1, 1)), np.zeros((40, 1)), np.arange(40), lists, answers)
+    seen = set()
+    for item, (words, answer) in enumerate(zip(lists, answers)):
+        for _ in range(20):
+            text = [w for w in words if draw.random() < 0.85] + [draw.randint(1, 40) for _ in range(draw.randint(0, 30))]
+            share = lcs(words, text) / len(words)
+            there = share >= op.SHARE and lcs(answer, text) >= op.ANSWER * len(answer)
+            assert index.share(item, np.array(text, np.uint64)) == (share if there else 0.0)
+            seen.add(there)
+    assert seen == {True, False}
+
+
+def test_hashes_of_words_are_polynomials(monkeypatch):
+    """Also in texts longer than the powers that are kept."""
+    texts = pa.array(["Aa b\u00c9 " + "x" * 70 + " 9", None, "", "\u4e2d y,z " * 5])
+    def plain(word):
+        value = sum((b + 1) * pow(int(vectext.BASE), i, 1 << 64) for i, b in enumerate(word.encode())) % (1 << 64)
+        return int(vectext.mixed(np.array([value], np.uint64))[0])
+    words = [re.findall(r"\w+", (t or "").lower()) for t in texts.to_pylist()]
+    for kept in (vectext.KEPT, 8):
+        monkeypatch.setattr(vectext, "KEPT", kept)
+        got = vectext.split_words(texts)
+        assert got.hashes.tolist() == [plain(w) for doc in words for w in doc]
+        assert np.diff(got.first).tolist() == [len(doc) for doc in words]
