@@ -139,3 +139,22 @@ def test_unseen_category_is_all_zeros(trained):
 @pytest.mark.parametrize("p, band", [(0.0, "Low"), (0.2999, "Low"), (0.3, "Medium"), (0.6, "Medium"), (0.6001, "High")])
 def test_bands(spark, p, band):
     assert spark.createDataFrame([(p,)], "p double").select(service.risk_band(F.col("p"))).first()[0] == band
+
+
+def test_models_of_the_named_queries_are_fitted_on_all_training_rows(spark, small, monkeypatch):
+    """Failed before: beyond 10,000 rows a draw of them was used."""
+    from dataclasses import replace
+
+    from orderlens.plans import risk as plans
+
+    matrix = risk.with_label(risk.with_features(risk.training_set(commerce.star(spark, small))))
+    rows_ = matrix.withColumn("copy", F.explode(F.array(*[F.lit(i) for i in range(4)]))).withColumn(
+        "order_item_id", F.concat_ws("/", "order_item_id", "copy")).drop("copy")
+    seen = []
+    for learner in (risk.LogisticRegression, risk.RandomForestClassifier):
+        def fit(self, data, params=None, own=learner.fit):
+            seen.append(data.count())
+            return own(self, data)
+        monkeypatch.setattr(learner, "fit", fit)
+    risk.fit_models(rows_, replace(plans.FOREST, trees=1, depth=1))
+    assert seen == [rows_.count()] * 2 and seen[0] > 10_000
