@@ -10,7 +10,7 @@ block. A question q with distances d(q, p) to all pivots knows without reading a
 
 Cells are folders and blocks are ranges of a sorted column, so cells and row groups without a possible answer are never
 read. Questions travel to the vectors in a broadcast whose size is checked; the vectors are not shuffled. More questions
-than that go through ``retrieval.top_k``, which gives the same rows.
+than that go through ``retrieval.top_k``, which gives the same rows; what the bounds exclude is then counted in slices.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -153,12 +154,10 @@ def needed_blocks(index: VectorIndex, questions: Questions, blocks: pa.Table) ->
 FOUND = "query_id bigint, vector_id bigint, similarity double, pairs_left bigint"
 
 
-def _scan(index: VectorIndex, queries: DataFrame, k: int, others: bool, limit: int) -> DataFrame | None:
-    """The best of every task for every question, and a row per task with the number of pairs the bounds left; None where
-    the questions are too many for a broadcast."""
-    asked = retrieval.small_questions(queries, limit)
-    if asked is None:
-        return None
+def _scan(index: VectorIndex, queries: DataFrame, k: int, others: bool) -> tuple[DataFrame, Broadcast]:
+    """The best of every task for every question, and a row per task with the number of pairs the bounds left; with it the
+    broadcast of the questions, which are those of a slice."""
+    asked = retrieval.questions(queries)
     spark = queries.sparkSession
     blocks = index.blocks.toArrow().combine_chunks()  # BLOCKS rows at most, but for the rounding up in cells and files
     if not len(asked[0]) or not len(blocks):  # nothing can be found; widths then need not agree
@@ -176,35 +175,45 @@ def _scan(index: VectorIndex, queries: DataFrame, k: int, others: bool, limit: i
             cell, d = batch.column("cell").to_numpy(), batch.column("d").to_numpy().astype(np.float64)
             ids, vectors = retrieval._columns(batch, "id", "embedding")
             for c in np.unique(cell):
-                of = np.flatnonzero(cell == c)
-                may = q.may_hold(c, d[of], d[of])
-                left += int(may.sum())
-                best.add(ids[of], vectors[of], may)
+                whole, rows = np.flatnonzero(cell == c), max(1, retrieval.BLOCK // max(1, len(q.ids)))
+                for at in range(0, len(whole), rows):  # a few vectors at a time where questions are many
+                    of = whole[at:at + rows]
+                    may = q.may_hold(c, d[of], d[of])
+                    left += int(may.sum())
+                    best.add(ids[of], vectors[of], may)
         found = best.batch()
         yield found.append_column("pairs_left", pa.nulls(len(found), pa.int64()))
         yield pa.RecordBatch.from_pydict({"query_id": pa.nulls(1, pa.int64()), "vector_id": pa.nulls(1, pa.int64()),
                                           "similarity": pa.nulls(1, pa.float64()), "pairs_left": pa.array([left])})
 
-    return read.select("cell", "d", "id", "embedding").mapInArrow(search, FOUND)
+    return read.select("cell", "d", "id", "embedding").mapInArrow(search, FOUND), shared
 
 
 def top_k(index: VectorIndex, queries: DataFrame, k: int = retrieval.TOP_K, exclude_self: bool = False,
           broadcast_bytes: int = retrieval.BROADCAST_BYTES) -> DataFrame:
     """(query_id, rank, vector_id, similarity), the rows of ``retrieval.top_k`` over the indexed vectors."""
-    found = _scan(index, queries, k, exclude_self, broadcast_bytes)
-    if found is None:
+    count, size = retrieval.question_sizes(queries)
+    if count * size > broadcast_bytes:
         return retrieval.top_k(queries, index.vectors.select("id", "embedding"), k, exclude_self)
+    found = _scan(index, queries, k, exclude_self)[0]
     return retrieval.ranked(found.filter("vector_id IS NOT NULL"), k)
 
 
 def pruning(index: VectorIndex, queries: DataFrame, k: int = retrieval.TOP_K, exclude_self: bool = False,
             broadcast_bytes: int = retrieval.BROADCAST_BYTES) -> DataFrame:
-    """What the bounds save: (questions, vectors, pairs, pairs_left), the last the pairs that had to be looked at."""
+    """What the bounds save: (questions, vectors, pairs, pairs_left), the last the pairs that had to be looked at. They are
+    counted for every question, however many there are; more than ``broadcast_bytes`` of them in slices."""
     asked = queries.toDF("query_id", "query").filter("query IS NOT NULL AND exists(query, x -> x <> 0)")
     counts = [asked.agg(F.count("*")).scalar(), index.blocks.agg(F.coalesce(F.sum("rows"), F.lit(0))).scalar()]
-    found = _scan(index, queries, k, exclude_self, broadcast_bytes)
-    pairs = F.col("questions") * F.col("vectors")
-    totals = (queries.sparkSession.range(1) if found is None else found).agg(
-        counts[0].alias("questions"), counts[1].alias("vectors"),
-        (F.lit(None).cast("bigint") if found is None else F.coalesce(F.sum("pairs_left"), F.lit(0))).alias("left"))
-    return totals.select("questions", "vectors", pairs.alias("pairs"), F.coalesce("left", pairs).alias("pairs_left"))
+    slices, left = retrieval.question_slices(queries, broadcast_bytes, broadcast_bytes), F.coalesce(F.sum("pairs_left"), F.lit(0))
+    if len(slices) == 1:
+        totals = _scan(index, slices[0], k, exclude_self)[0].agg(left.alias("pairs_left"))
+    else:
+        looked_at = 0
+        for part in slices:
+            found, shared = _scan(index, part, k, exclude_self)
+            looked_at += found.agg(left).first()[0]
+            shared.destroy()
+        totals = queries.sparkSession.range(1).select(F.lit(looked_at).cast("bigint").alias("pairs_left"))
+    return totals.select(counts[0].alias("questions"), counts[1].alias("vectors"), (counts[0] * counts[1]).alias("pairs"),
+                         "pairs_left")

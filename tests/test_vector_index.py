@@ -73,3 +73,14 @@ def test_odd_vectors_and_empty_tables(spark):
     assert rows(vector_index.top_k(empty, odd)) == []
     assert rows(vector_index.pruning(empty, odd.filter("id = 2"))) == [(1, 0, 0, 0)]
     assert rows(vector_index.top_k(index, odd.filter("id > 9"))) == []
+
+
+def test_pruning_counts_every_pair_however_many_questions_there_are(spark):
+    """Failed before: with more questions than a broadcast holds, all pairs were given as looked at."""
+    ids, vectors = clustered()
+    table = frame(spark, ids, vectors)
+    index = vector_index.build_index(table, scratch_path(spark, "index"), 24, 16)
+    asked = table.filter("id % 7 = 0").repartition(3)
+    together = rows(vector_index.pruning(index, asked))
+    assert together[0][3] < together[0][2]
+    assert rows(vector_index.pruning(index, asked, broadcast_bytes=8 * 12 * 30)) == together
