@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import forest, risk, service
 from orderlens.plans.registry import STAR_SQL, query
-from orderlens.plans.risk import KEYS, SPLIT, _matrix, _order_requests
+from orderlens.plans.risk import KEYS, SPLIT, _order_requests, stored_rows
 from orderlens.session import scratch_path
 from orderlens.sources import commerce
 
@@ -15,15 +15,15 @@ SHAPE, SEED = forest.Shape(), 42
 FEATURES = len(risk.FEATURES)
 
 
-def _split(spark, folder):
-    rows = _matrix(commerce.star(spark, folder)).select(*KEYS, *risk.FEATURES, risk.LABEL)
-    path = scratch_path(spark, "matrix")
-    risk.stratified_split(rows, KEYS).write.parquet(path)
-    return spark.read.parquet(path)
+def _training_rows(spark, folder):
+    """The items with their outcome, joined once; the split, the trees and the requests read them from where they are stored."""
+    return stored_rows(spark, risk.training_set(commerce.star(spark, folder)))
 
 
-def _grown(spark, folder):
-    split = _split(spark, folder)
+def _grown(rows):
+    """The forest and the test rows."""
+    matrix = risk.with_label(risk.with_features(rows)).select(*KEYS, *risk.FEATURES, risk.LABEL)
+    split = risk.split_of_stored(matrix, KEYS)
     return forest.fit(split.filter("NOT is_test"), SHAPE, SEED), split.filter("is_test")
 
 
@@ -115,7 +115,7 @@ best AS (SELECT model FROM metrics ORDER BY roc_auc DESC, model LIMIT 1)
 
 def _nodes(spark, folder):
     names = F.array(*[F.lit(c) for c in risk.FEATURES])
-    return _grown(spark, folder)[0].nodes.withColumn("feature", F.get(names, F.col("feature")))
+    return _grown(_training_rows(spark, folder))[0].nodes.withColumn("feature", F.get(names, F.col("feature")))
 
 
 def _candidates(grown, test):
@@ -135,26 +135,27 @@ def _compared(scored):
 
 
 def _metrics(spark, folder):
-    metrics = _compared(_candidates(*_grown(spark, folder)))
+    metrics = _compared(_candidates(*_grown(_training_rows(spark, folder))))
     best = risk.best_model(metrics).select("model").scalar()
     return metrics.withColumn("selected", F.col("model") == best)
 
 
 def _bands(spark, folder):
     """Band figures of the selected candidate as it is after saving and loading."""
-    grown, test = _grown(spark, folder)
+    grown, test = _grown(_training_rows(spark, folder))
     scored = _candidates(grown, test)
     name = risk.best_model(_compared(scored)).first()["model"]  # one row
     saved = scratch_path(spark, "forest-model")
     forest.save(scored[name][0], saved)
-    again = forest.score(test, forest.load(spark, saved), *KEYS, risk.LABEL)
+    again = stored_rows(spark, forest.score(test, forest.load(spark, saved), *KEYS, risk.LABEL))
     return risk.band_quality(again).withColumn("model", F.lit(name))
 
 
 def _served(spark, folder):
-    grown, _ = _grown(spark, folder)
-    scored, rejected = service.score_by_forest(_order_requests(commerce.star(spark, folder)), grown, "forest")
-    return (scored.select(*KEYS, "late_probability", "risk_band", "model", F.lit(None).cast("string").alias("reason"))
+    rows = _training_rows(spark, folder)
+    scored, rejected = service.score_by_forest(_order_requests(rows), _grown(rows)[0], "forest")
+    scored = stored_rows(spark, scored.select(*KEYS, "late_probability", "risk_band", "model"))
+    return (scored.withColumn("reason", F.lit(None).cast("string"))
             .unionByName(rejected.select(*KEYS, F.col("reject_reason").alias("reason")), allowMissingColumns=True))
 
 

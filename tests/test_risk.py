@@ -158,3 +158,33 @@ def test_models_of_the_named_queries_are_fitted_on_all_training_rows(spark, smal
         monkeypatch.setattr(learner, "fit", fit)
     risk.fit_models(rows_, replace(plans.FOREST, trees=1, depth=1))
     assert seen == [rows_.count()] * 2 and seen[0] > 10_000
+
+
+def test_cuts_come_from_the_stored_table(spark, small, monkeypatch):
+    """Failed before: the star was joined again for the cuts of the split."""
+    from orderlens.plans import all_queries
+
+    frame = spark.range(1000).selectExpr("id AS order_id", "id % 3 AS order_item_id", "CAST(id % 10 = 0 AS int) AS is_late")
+    keys = ["order_id", "order_item_id"]
+    assert risk.split_of_stored(frame, keys).exceptAll(risk.stratified_split(frame, keys)).count() == 0
+    late = frame.filter("is_late = 1")
+    assert risk.split_of_stored(late, keys).exceptAll(risk.stratified_split(late, keys)).count() == 0
+    read, own = [], risk.stratified_cuts
+
+    def cuts(rows_, *args, **kwargs):
+        read.extend(rows_.inputFiles())
+        return own(rows_, *args, **kwargs)
+    monkeypatch.setattr(risk, "stratified_cuts", cuts)
+    all_queries()["risk_logistic_mean"].build(spark, small)
+    assert read and not any("lineitem" in path for path in read)
+
+
+def test_the_forest_queries_join_the_items_once(spark, small, monkeypatch):
+    """Failed before: once for the matrix, once more for the cuts and twice for the requests."""
+    from orderlens.plans import all_queries
+
+    made, read, own, cuts = [], [], risk.training_set, risk.stratified_cuts
+    monkeypatch.setattr(risk, "training_set", lambda star: made.append(1) or own(star))
+    monkeypatch.setattr(risk, "stratified_cuts", lambda rows_, *a, **k: read.extend(rows_.inputFiles()) or cuts(rows_, *a, **k))
+    served = all_queries()["service_forest_scoring"].build(spark, small)
+    assert made == [1] and read and not any("lineitem" in path for path in [*read, *served.inputFiles()])
